@@ -10,20 +10,68 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from adtally import fixtures as fx
 from adtally.functions import ip_to_long
-from adtally.operators import enrich_ips, kpi_report
+from adtally.operators import (
+    dictionary_from_regions,
+    enrich_ips,
+    kpi_counts,
+    kpi_report,
+    map_feed,
+    region_distribution,
+    region_top,
+    top_n_by_measure,
+    top_n_by_total,
+    top_n_per_measure,
+)
+from adtally.plans import daily_reports, kpi_report_cte, kpi_report_two_step, run_etl, stamp_date
+from adtally.schema import DATED_LOG_SCHEMA
+from adtally.session import scratch_path, unique_name
+from adtally.sinks import upsert_partitions, write_partitions, write_table_partitions
+from adtally.sources import read_ad_log, read_day
 
 SMOKE_DIR = "/root/testdata/sf0.001"
+REGION = ("province", "city")
 
 
 def _enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
     return enrich_ips(fx.ad_log_from(spark, sf_dir), fx.ip_dict_from(spark, sf_dir))
 
 
+def _enriched_day(spark: SparkSession, sf_dir: str, day: str = fx.DAY) -> DataFrame:
+    return _enriched(spark, sf_dir).where(F.col("date_str") == day)
+
+
+def _kpi(dims, rules="strict"):
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return kpi_report(_enriched(spark, sf_dir), dims, rules, fx.ALL_DAYS_REPORT_DATE)
+
+    return run
+
+
+def _counts(rules):
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return kpi_counts(_enriched(spark, sf_dir), REGION, rules)
+
+    return run
+
+
 def q_region_kpi_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return kpi_report(_enriched(spark, sf_dir), rules="strict", report_date=fx.ALL_DAYS_REPORT_DATE)
+    return kpi_report(_enriched(spark, sf_dir), REGION, "strict", fx.ALL_DAYS_REPORT_DATE)
+
+
+def q_region_kpi_strict_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kpi_report(_enriched_day(spark, sf_dir), REGION, "strict", fx.DAY)
+
+
+def q_region_kpi_loose(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kpi_report_two_step(_enriched(spark, sf_dir), REGION, "loose", fx.ALL_DAYS_REPORT_DATE)
+
+
+def q_region_kpi_cte(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kpi_report_cte(_enriched(spark, sf_dir), REGION, "loose", fx.ALL_DAYS_REPORT_DATE)
 
 
 def q_ip_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -35,6 +83,117 @@ def q_ip_to_long(spark: SparkSession, sf_dir: str) -> DataFrame:
     return log.select("uuid", "ip", ip_to_long("ip").alias("ip_num"))
 
 
+def q_dict_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dictionary_from_regions(fx.region_strings(fx.ip_dict_from(spark, sf_dir)))
+
+
+def q_etl_stamp_date(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stamp_date(_enriched(spark, sf_dir), fx.ETL_RUN_DATE)
+
+
+def q_region_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return region_distribution(_enriched(spark, sf_dir), REGION, fx.ALL_DAYS_REPORT_DATE)
+
+
+def q_region_distribution_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return region_distribution(_enriched_day(spark, sf_dir), REGION, fx.DAY)
+
+
+def q_region_top10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return region_top(_enriched(spark, sf_dir), 10, REGION, fx.ALL_DAYS_REPORT_DATE)
+
+
+def q_top_n_by_measure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_n_by_measure(fx.load(spark, sf_dir, "customer"), "c_custkey", "c_acctbal", 10)
+
+
+def q_top_n_by_total(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_n_by_total(fx.load(spark, sf_dir, "orders"), "o_custkey", "o_totalprice", 10, "total")
+
+
+TOP_MEASURES = ("ad_show_cnt", "ad_click_cnt", "dsp_pay_money")
+
+
+def q_top_n_per_measure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = kpi_counts(_enriched(spark, sf_dir), REGION, "strict")
+    return top_n_per_measure(counts, "city", TOP_MEASURES, 10)
+
+
+def q_province_map_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    features = fx.load(spark, sf_dir, "region").select(F.col("r_name").alias("province"))
+    return map_feed(features, _enriched(spark, sf_dir), "province", "events")
+
+
+def q_city_map_feed_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    features = fx.load(spark, sf_dir, "nation").select(F.col("n_name").alias("city"))
+    return map_feed(features, _enriched_day(spark, sf_dir), "city", "events")
+
+
+def _json_log(spark: SparkSession, sf_dir: str) -> str:
+    """Write the fixture log as JSON lines to the shared scratch area."""
+    path = scratch_path(spark, "json-log")
+    fx.ad_log_from(spark, sf_dir).drop("ip_num").write.json(path)
+    return path
+
+
+def q_scan_json_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_ad_log(spark, _json_log(spark, sf_dir), schema=DATED_LOG_SCHEMA)
+
+
+def q_scan_partitioned_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JSON log -> ETL (enrich, keep event day) -> partitioned parquet -> one day."""
+    out = scratch_path(spark, "etl")
+    run_etl(spark, _json_log(spark, sf_dir), fx.ip_dict_from(spark, sf_dir), out,
+            log_schema=DATED_LOG_SCHEMA, stamp=False)
+    return read_day(spark, out, fx.DAY)
+
+
+def q_sink_parquet_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write all days twice, then one day again: every day survives, no duplicates."""
+    enriched = _enriched(spark, sf_dir)
+    out = scratch_path(spark, "parquet-sink")
+    write_partitions(enriched, out)
+    write_partitions(enriched, out)
+    write_partitions(enriched.where(F.col("date_str") == fx.DAY), out)
+    schema = enriched.select(*[c for c in enriched.columns if c != "date_str"], "date_str").schema
+    return spark.read.schema(schema).parquet(out)
+
+
+def q_sink_table_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
+    enriched = _enriched(spark, sf_dir)
+    table = unique_name("adtally_enriched")
+    path = scratch_path(spark, "table-sink")
+    write_table_partitions(enriched, table, path=path)
+    write_table_partitions(enriched, table)
+    write_table_partitions(enriched.where(F.col("date_str") == fx.DAY), table)
+    return spark.read.table(table)
+
+
+def q_report_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Upsert per-day distributions; a stale version of a day is replaced."""
+    enriched = _enriched(spark, sf_dir)
+    prev = enriched.where(F.col("date_str") == fx.PREVIOUS_DAY)
+    day = enriched.where(F.col("date_str") == fx.DAY)
+    out = scratch_path(spark, "report-upsert")
+    upsert_partitions(region_distribution(prev, REGION, fx.PREVIOUS_DAY), out, REGION)
+    upsert_partitions(region_distribution(prev, REGION, fx.DAY), out, REGION)  # stale
+    upsert_partitions(region_distribution(day, REGION, fx.DAY), out, REGION)
+    schema = region_distribution(day, REGION, fx.DAY).schema
+    return spark.read.schema(schema).parquet(out)
+
+
+def q_daily_kpi_region(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return daily_reports(_enriched_day(spark, sf_dir), fx.DAY)["kpi_region"]
+
+
+def q_daily_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return daily_reports(_enriched_day(spark, sf_dir), fx.DAY)["region_distribution"]
+
+
+def q_daily_kpi_channel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return daily_reports(_enriched_day(spark, sf_dir), fx.DAY)["kpi_channel"]
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: strict region KPI report over the sf0.001 ad log."""
     return q_region_kpi_strict(spark, SMOKE_DIR)
@@ -42,9 +201,37 @@ def entry(spark: SparkSession) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
-        "region_kpi_strict": q_region_kpi_strict,
         "ip_enrich": q_ip_enrich,
         "ip_to_long": q_ip_to_long,
+        "dict_split": q_dict_split,
+        "etl_stamp_date": q_etl_stamp_date,
+        "region_distribution": q_region_distribution,
+        "region_distribution_day": q_region_distribution_day,
+        "kpi_counts_strict": _counts("strict"),
+        "kpi_counts_loose": _counts("loose"),
+        "region_kpi_strict": q_region_kpi_strict,
+        "region_kpi_strict_day": q_region_kpi_strict_day,
+        "region_kpi_loose": q_region_kpi_loose,
+        "region_kpi_cte": q_region_kpi_cte,
+        "kpi_by_app": _kpi(("appname",)),
+        "kpi_by_device": _kpi(("device",)),
+        "kpi_by_network": _kpi(("network",)),
+        "kpi_by_isp": _kpi(("isp",)),
+        "kpi_by_channel": _kpi(("channelid",)),
+        "region_top10": q_region_top10,
+        "top_n_by_measure": q_top_n_by_measure,
+        "top_n_by_total": q_top_n_by_total,
+        "top_n_per_measure": q_top_n_per_measure,
+        "province_map_feed": q_province_map_feed,
+        "city_map_feed_day": q_city_map_feed_day,
+        "scan_json_log": q_scan_json_log,
+        "scan_partitioned_day": q_scan_partitioned_day,
+        "sink_parquet_rerun": q_sink_parquet_rerun,
+        "sink_table_rerun": q_sink_table_rerun,
+        "report_upsert": q_report_upsert,
+        "daily_kpi_region": q_daily_kpi_region,
+        "daily_distribution": q_daily_distribution,
+        "daily_kpi_channel": q_daily_kpi_channel,
     }
 
 
@@ -111,7 +298,10 @@ _NONZERO = """join_rtx_cnt <> 0 AND success_rtx_cnt <> 0 AND ad_show_cnt <> 0
   AND ad_click_cnt <> 0 AND media_show_cnt <> 0 AND media_click_cnt <> 0"""
 
 
-def _kpi_sql(dims: str, measures: str, date: str, where: str = "TRUE") -> str:
+def _kpi_sql(dims: str, measures: str, date: str, where: str = "TRUE", date_first: bool = False) -> str:
+    date_col = f"'{date}' AS report_date"
+    head = f"{date_col}, " if date_first else ""
+    tail = "" if date_first else f",\n  {date_col}"
     return fx.with_fixtures(
         f"""
 , counts AS (
@@ -119,18 +309,103 @@ def _kpi_sql(dims: str, measures: str, date: str, where: str = "TRUE") -> str:
   FROM enriched WHERE {where}
   GROUP BY {dims}
 )
-SELECT {dims}, counts.* EXCLUDE ({dims}),
-  {_RATES},
-  '{date}' AS report_date
+SELECT {head}{dims}, counts.* EXCLUDE ({dims}),
+  {_RATES}{tail}
 FROM counts
 WHERE {_NONZERO}
 """
     )
 
 
+def _counts_sql(measures: str) -> str:
+    return fx.with_fixtures(f"SELECT province, city, {measures} FROM enriched GROUP BY province, city")
+
+
+def _distribution_sql(date: str, where: str = "TRUE", limit: str = "") -> str:
+    return fx.with_fixtures(
+        f"""SELECT province, city, count(*) AS count, '{date}' AS report_date
+FROM enriched WHERE {where} GROUP BY province, city
+ORDER BY count DESC, province NULLS LAST, city NULLS LAST {limit}"""
+    )
+
+
+_ENRICHED_COLS = """uuid, ip, requestmode, processnode, adplatformproviderid, iseffective, isbilling,
+  isbid, iswin, adorderid, adcreativeid, winprice, adpayment, appname, device, network, isp,
+  channelid, province, city, date_str"""
+
+_LOG_COLS = """uuid, ip, requestmode, processnode, adplatformproviderid, iseffective, isbilling,
+  isbid, iswin, adorderid, adcreativeid, winprice, adpayment, appname, device, network, isp,
+  channelid, date_str"""
+
+_DAY = f"date_str = '{fx.DAY}'"
+
+
 def oracle_sql() -> dict[str, str]:
+    strict, loose = _STRICT_MEASURES, _LOOSE_MEASURES
+    all_days = fx.ALL_DAYS_REPORT_DATE
     return {
-        "region_kpi_strict": _kpi_sql("province, city", _STRICT_MEASURES, fx.ALL_DAYS_REPORT_DATE),
         "ip_enrich": fx.with_fixtures("SELECT * FROM enriched"),
         "ip_to_long": fx.with_fixtures("SELECT uuid, ip, ip_num FROM ad_log"),
+        "dict_split": fx.with_fixtures("SELECT ip_start, ip_end, province, city FROM ip_dict"),
+        "etl_stamp_date": fx.with_fixtures(
+            f"SELECT * REPLACE ('{fx.ETL_RUN_DATE}' AS date_str) FROM enriched"
+        ),
+        "region_distribution": _distribution_sql(all_days),
+        "region_distribution_day": _distribution_sql(fx.DAY, _DAY),
+        "kpi_counts_strict": _counts_sql(strict),
+        "kpi_counts_loose": _counts_sql(loose),
+        "region_kpi_strict": _kpi_sql("province, city", strict, all_days),
+        "region_kpi_strict_day": _kpi_sql("province, city", strict, fx.DAY, _DAY),
+        "region_kpi_loose": _kpi_sql("province, city", loose, all_days, date_first=True),
+        "region_kpi_cte": _kpi_sql("province, city", loose, all_days, date_first=True),
+        "kpi_by_app": _kpi_sql("appname", strict, all_days),
+        "kpi_by_device": _kpi_sql("device", strict, all_days),
+        "kpi_by_network": _kpi_sql("network", strict, all_days),
+        "kpi_by_isp": _kpi_sql("isp", strict, all_days),
+        "kpi_by_channel": _kpi_sql("channelid", strict, all_days),
+        "region_top10": _distribution_sql(all_days, limit="LIMIT 10"),
+        "top_n_by_measure": """SELECT c_custkey, c_acctbal FROM customer
+ORDER BY c_acctbal DESC NULLS LAST, c_custkey NULLS LAST LIMIT 10""",
+        "top_n_by_total": """SELECT o_custkey,
+  CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DECIMAL(18,2)) AS total
+FROM orders GROUP BY o_custkey
+ORDER BY total DESC NULLS LAST, o_custkey NULLS LAST LIMIT 10""",
+        "top_n_per_measure": fx.with_fixtures(
+            f""", counts AS (SELECT province, city, {strict} FROM enriched GROUP BY province, city),
+long AS (
+  SELECT city, 'ad_show_cnt' AS measure, CAST(ad_show_cnt AS DOUBLE) AS value FROM counts
+  UNION ALL SELECT city, 'ad_click_cnt', CAST(ad_click_cnt AS DOUBLE) FROM counts
+  UNION ALL SELECT city, 'dsp_pay_money', CAST(dsp_pay_money AS DOUBLE) FROM counts
+),
+ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY measure
+      ORDER BY value DESC NULLS LAST, city NULLS LAST) AS INTEGER) AS rank
+  FROM long
+)
+SELECT * FROM ranked WHERE rank <= 10"""
+        ),
+        "province_map_feed": fx.with_fixtures(
+            """SELECT r.r_name AS province, CAST(coalesce(t.events, 0) AS BIGINT) AS events
+FROM (SELECT DISTINCT r_name FROM region WHERE r_name IS NOT NULL) r
+LEFT JOIN (SELECT province, count(*) AS events FROM enriched
+           WHERE province IS NOT NULL GROUP BY province) t ON r.r_name = t.province"""
+        ),
+        "city_map_feed_day": fx.with_fixtures(
+            f"""SELECT n.n_name AS city, CAST(coalesce(t.events, 0) AS BIGINT) AS events
+FROM (SELECT DISTINCT n_name FROM nation WHERE n_name IS NOT NULL) n
+LEFT JOIN (SELECT city, count(*) AS events FROM enriched
+           WHERE city IS NOT NULL AND {_DAY} GROUP BY city) t ON n.n_name = t.city"""
+        ),
+        "scan_json_log": fx.with_fixtures(f"SELECT {_LOG_COLS} FROM ad_log"),
+        "scan_partitioned_day": fx.with_fixtures(f"SELECT {_ENRICHED_COLS} FROM enriched WHERE {_DAY}"),
+        "sink_parquet_rerun": fx.with_fixtures("SELECT * FROM enriched"),
+        "sink_table_rerun": fx.with_fixtures("SELECT * FROM enriched"),
+        "report_upsert": fx.with_fixtures(
+            f"""SELECT province, city, count(*) AS count, date_str AS report_date
+FROM enriched WHERE date_str IN ('{fx.PREVIOUS_DAY}', '{fx.DAY}')
+GROUP BY province, city, date_str"""
+        ),
+        "daily_kpi_region": _kpi_sql("province, city", strict, fx.DAY, _DAY),
+        "daily_distribution": _distribution_sql(fx.DAY, _DAY),
+        "daily_kpi_channel": _kpi_sql("channelid", strict, fx.DAY, _DAY),
     }
