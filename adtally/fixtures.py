@@ -52,18 +52,26 @@ ETL_RUN_DATE = "2024-01-31"
 
 
 def _h(pair: tuple[int, int]) -> Column:
-    """((event_id + 1) * a) % b without leaving bigint for any event_id.
+    """((event_id + 1) * a) % b, exact in bigint for every event_id.
 
-    (x * a) % b == ((x % b) * (a % b)) % b; both factors are below b, so the
-    product fits a bigint whenever b < 3.03e9. The IP hash has a larger
-    modulus and is computed in decimal(38,0) instead.
+    (x * a) % b == ((x % b) * (a % b)) % b. When b * b could overflow, ``a`` is
+    taken 16 bits at a time (Horner): r = (r * 2^16 + x * limb) % b, where
+    every intermediate stays below b * 2^16 < 2^63 for b < 2^47.
     """
     a, b = pair
-    x = F.col("event_id") + 1
+    x = (F.col("event_id") + 1) % b
+    a %= b
     if b * b < (1 << 63):
-        return ((x % b) * (a % b)) % b
-    wide = (x.cast("decimal(38,0)") * F.lit(a).cast("decimal(38,0)")) % F.lit(b).cast("decimal(38,0)")
-    return wide.cast("bigint")
+        return (x * a) % b
+    assert b < (1 << 47)
+    limbs = []
+    while a:
+        limbs.append(a & 0xFFFF)
+        a >>= 16
+    r = F.lit(0).cast("bigint")
+    for limb in reversed(limbs):
+        r = (r * 65536 + x * limb) % b
+    return r
 
 
 def _pick(index: Column, values: tuple[int, ...]) -> Column:
@@ -73,8 +81,22 @@ def _pick(index: Column, values: tuple[int, ...]) -> Column:
     return out
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Give an under-partitioned input at least the default parallelism.
+
+    The driver's tables are single files with one row group, i.e. one scan
+    task; spreading them lets the per-row work run on every core. A large
+    input already has many splits and is returned unchanged (no shuffle).
+    """
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
+
+
 def ad_log(events: DataFrame) -> DataFrame:
     """One ad-event row per ``events`` row (FIXTURES.md section 1)."""
+    events = spread(events.select("event_id", "ts", "user_id", "event_type", "value"))
     eid = F.col("event_id")
     ip_hidden = (eid % NULL_IP_MOD == 0) | (eid % BAD_IP_MOD == 0)
     i = _h(IP_HASH)

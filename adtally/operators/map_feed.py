@@ -13,6 +13,8 @@ def map_feed(features: DataFrame, events: DataFrame, key: str = "province", valu
     The events are aggregated first (partial aggregation, then one row per
     name), so the join only ever sees one small row per name.
     """
-    totals = events.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias(value))
+    # No NULL filter on the events: the join drops the NULL group anyway, and
+    # a filter here would turn an upstream left join into an inner one.
+    totals = events.groupBy(key).agg(F.count(F.lit(1)).alias(value))
     names = features.select(key).where(F.col(key).isNotNull()).distinct()
     return names.join(totals, key, "left").select(key, F.coalesce(F.col(value), F.lit(0)).cast("bigint").alias(value))

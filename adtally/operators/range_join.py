@@ -3,7 +3,9 @@
 Spark has no native range join; a plain ``key BETWEEN start AND end`` join is
 planned as a nested-loop join. Here each range is exploded into the fixed-width
 buckets it touches (bucket = key >> bucket_bits) and the join becomes an
-equi-join on the bucket with the range test as a residual condition:
+equi-join on the bucket with the range test as a residual condition. The
+width is chosen from the dictionary (about its median range width), so a
+typical range touches one or two buckets and a probe meets few candidates:
 
 * rows after exploding = sum(width / 2^bits + 1) <= n_ranges + 2^(32 - bits)
   for non-overlapping ranges in [0, 2^32), so the dictionary side is bounded by
@@ -30,7 +32,11 @@ from adtally.errors import OverlappingRangesError
 
 # IPv4 keys live in [0, 2^32).
 KEY_DOMAIN_BITS = 32
-DEFAULT_BUCKET_BITS = 16
+# Candidate bucket widths 2^bits; the lookup picks one from the dictionary.
+BUCKET_BITS_CHOICES = (8, 10, 12, 14, 16, 18, 20, 22, 24)
+# Buckets of the validation pass (independent of the lookup's width):
+# at most n_ranges + 2^12 exploded rows.
+CHECK_BUCKET_BITS = 20
 DEFAULT_SALT_BUCKETS = 16
 DEFAULT_MAX_BROADCAST_BYTES = 256 * 1024 * 1024
 # Estimated bytes per exploded dictionary row besides its strings
@@ -43,10 +49,26 @@ _B, _S, _LO, _HI = "_rl_bucket", "_rl_salt", "_rl_start", "_rl_end"
 @dataclass(frozen=True)
 class DictionaryStats:
     ranges: int
-    exploded_rows: int
-    estimated_bytes: int
-    overlaps: int
     malformed: int
+    overlaps: int
+    median_width: int
+    payload_bytes: int
+    exploded_rows: dict  # bucket bits -> rows after exploding at that width
+
+    def bucket_bits(self) -> int:
+        """Bucket width ~ the median range width: a typical range touches one
+        or two buckets and a bucket holds a few ranges, so both the exploded
+        dictionary and the candidates per probe stay small."""
+        best = BUCKET_BITS_CHOICES[0]
+        for bits in BUCKET_BITS_CHOICES:
+            if (1 << bits) <= max(self.median_width, 1):
+                best = bits
+        return best
+
+    def estimated_bytes(self, bits: int) -> int:
+        rows = self.exploded_rows[bits]
+        per_row = _ROW_OVERHEAD_BYTES + (self.payload_bytes // max(self.ranges, 1))
+        return rows * per_row
 
 
 def explode_ranges(
@@ -68,49 +90,57 @@ def dictionary_stats(
     start: str = "ip_start",
     end: str = "ip_end",
     payload: list[str] | None = None,
-    bucket_bits: int = DEFAULT_BUCKET_BITS,
 ) -> DictionaryStats:
-    """One distributed pass over the dictionary: size estimate and validity.
+    """ONE distributed job over the dictionary: validity, width, size.
 
     Overlap test: two ranges overlap only if they share a bucket, so ordering
     each bucket's ranges by start and comparing with the previous end finds
-    every overlap. A bucket holds at most 2^bucket_bits non-overlapping ranges,
-    so no window partition is unbounded.
+    every overlap. Malformed ranges (NULL bound, start > end, outside
+    [0, 2^32)) are counted in the same pass. The exploded size for every
+    candidate width is a sum over ranges, so no second pass is needed.
     """
     payload = list(payload or [])
-    domain_max = (1 << KEY_DOMAIN_BITS) - 1
-    malformed_rows = ranges.where(
-        F.col(start).isNull()
-        | F.col(end).isNull()
-        | (F.col(start) > F.col(end))
-        | (F.col(start) < 0)
-        | (F.col(end) > domain_max)
-    )
-    valid = ranges.where(
-        (F.col(start) <= F.col(end)) & (F.col(start) >= 0) & (F.col(end) <= domain_max)
+    lo, hi = F.col(start).cast("bigint"), F.col(end).cast("bigint")
+    ok = lo.isNotNull() & hi.isNotNull() & (lo <= hi) & (lo >= 0) & (hi < (1 << KEY_DOMAIN_BITS))
+    nbytes = F.lit(0)
+    for c in payload:
+        nbytes = nbytes + F.coalesce(F.length(c), F.lit(0))
+    base = ranges.select(
+        lo.alias(_LO), hi.alias(_HI), ok.alias("_ok"), nbytes.alias("_bytes")
     )
-    exploded = explode_ranges(valid, start, end, payload, bucket_bits)
+    buckets = F.when(
+        F.col("_ok"),
+        F.sequence(F.shiftright(_LO, CHECK_BUCKET_BITS), F.shiftright(_HI, CHECK_BUCKET_BITS)),
+    ).otherwise(F.array(F.lit(None).cast("bigint")))
+    exploded = base.withColumn(_B, F.explode(buckets))
+    # The first bucket of each valid range stands for the range itself.
+    first = F.col("_ok") & (F.col(_B) == F.shiftright(_LO, CHECK_BUCKET_BITS))
     w = Window.partitionBy(_B).orderBy(_LO, _HI)
-    string_bytes = [F.coalesce(F.length(c), F.lit(0)) for c in payload]
-    width = F.lit(0)
-    for s in string_bytes:
-        width = width + s
+    per_bits = [
+        F.sum(
+            F.when(first, F.shiftright(_HI, b) - F.shiftright(_LO, b) + 1).otherwise(0)
+        ).alias(f"rows_{b}")
+        for b in BUCKET_BITS_CHOICES
+    ]
     row = (
-        exploded.withColumn("_prev_end", F.lag(_HI).over(w))
+        exploded.withColumn("_prev_end", F.when(F.col("_ok"), F.lag(_HI).over(w)))
         .agg(
-            F.count(F.lit(1)).alias("rows"),
-            F.count_distinct(_LO, _HI).alias("ranges"),
-            F.sum(width + _ROW_OVERHEAD_BYTES).alias("bytes"),
+            F.count_if(first).alias("ranges"),
+            F.count_if(~F.col("_ok")).alias("malformed"),
             F.count_if(F.col("_prev_end") >= F.col(_LO)).alias("overlaps"),
+            F.percentile_approx(F.when(first, F.col(_HI) - F.col(_LO) + 1), 0.5).alias("median"),
+            F.sum(F.when(first, F.col("_bytes")).otherwise(0)).alias("bytes"),
+            *per_bits,
         )
         .first()
     )
     return DictionaryStats(
         ranges=int(row["ranges"] or 0),
-        exploded_rows=int(row["rows"] or 0),
-        estimated_bytes=int(row["bytes"] or 0),
+        malformed=int(row["malformed"] or 0),
         overlaps=int(row["overlaps"] or 0),
-        malformed=malformed_rows.limit(1).count(),
+        median_width=int(row["median"] or 1),
+        payload_bytes=int(row["bytes"] or 0),
+        exploded_rows={b: int(row[f"rows_{b}"] or 0) for b in BUCKET_BITS_CHOICES},
     )
 
 
@@ -121,7 +151,7 @@ def range_lookup(
     start: str = "ip_start",
     end: str = "ip_end",
     payload: tuple[str, ...] = ("province", "city"),
-    bucket_bits: int = DEFAULT_BUCKET_BITS,
+    bucket_bits: int | None = None,
     broadcast: bool | None = None,
     max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES,
     salt_buckets: int = DEFAULT_SALT_BUCKETS,
@@ -131,25 +161,29 @@ def range_lookup(
     (NULL when the key is NULL or falls in no range).
 
     ``key`` is a column name or Column giving a bigint in [0, 2^32).
-    ``broadcast=None`` measures the exploded dictionary and broadcasts it only
-    if it fits ``max_broadcast_bytes``; True/False force the strategy.
+    ``bucket_bits=None`` derives the bucket width from the dictionary's
+    median range width. ``broadcast=None`` broadcasts the exploded dictionary
+    only if its measured size fits ``max_broadcast_bytes``; True/False force
+    the strategy. With ``validate=False`` and both fixed, no job runs here.
     """
     payload = list(payload)
     clash = set(payload) & set(events.columns)
     if clash:
         raise ValueError(f"events already have columns {sorted(clash)}")
-    if not 0 < bucket_bits < KEY_DOMAIN_BITS:
+    if bucket_bits is not None and not 0 < bucket_bits < KEY_DOMAIN_BITS:
         raise ValueError("bucket_bits must be in (0, 32)")
 
-    if validate or broadcast is None:
-        stats = dictionary_stats(ranges, start, end, payload, bucket_bits)
+    if validate or broadcast is None or bucket_bits is None:
+        stats = dictionary_stats(ranges, start, end, payload)
         if stats.overlaps or stats.malformed:
             raise OverlappingRangesError(
                 f"range dictionary has {stats.overlaps} overlapping pair(s) and "
-                f"{'some' if stats.malformed else 'no'} malformed range(s)"
+                f"{stats.malformed} malformed range(s)"
             )
+        if bucket_bits is None:
+            bucket_bits = stats.bucket_bits()
         if broadcast is None:
-            broadcast = stats.estimated_bytes <= max_broadcast_bytes
+            broadcast = stats.estimated_bytes(bucket_bits) <= max_broadcast_bytes
 
     key_col = F.col(key) if isinstance(key, str) else key
     cols = events.columns
