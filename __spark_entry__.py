@@ -400,10 +400,18 @@ LEFT JOIN (SELECT city, count(*) AS events FROM enriched
         "scan_partitioned_day": fx.with_fixtures(f"SELECT {_ENRICHED_COLS} FROM enriched WHERE {_DAY}"),
         "sink_parquet_rerun": fx.with_fixtures("SELECT * FROM enriched"),
         "sink_table_rerun": fx.with_fixtures("SELECT * FROM enriched"),
+        # Upsert semantics: the stale copy of DAY (built from PREVIOUS_DAY's
+        # rows) survives only for keys the real DAY does not report.
         "report_upsert": fx.with_fixtures(
-            f"""SELECT province, city, count(*) AS count, date_str AS report_date
-FROM enriched WHERE date_str IN ('{fx.PREVIOUS_DAY}', '{fx.DAY}')
-GROUP BY province, city, date_str"""
+            f""", prev AS (SELECT province, city, count(*) AS count FROM enriched
+              WHERE date_str = '{fx.PREVIOUS_DAY}' GROUP BY province, city),
+cur AS (SELECT province, city, count(*) AS count FROM enriched
+        WHERE date_str = '{fx.DAY}' GROUP BY province, city)
+SELECT province, city, count, '{fx.PREVIOUS_DAY}' AS report_date FROM prev
+UNION ALL SELECT province, city, count, '{fx.DAY}' FROM cur
+UNION ALL SELECT p.province, p.city, p.count, '{fx.DAY}' FROM prev p
+  WHERE NOT EXISTS (SELECT 1 FROM cur c WHERE c.province IS NOT DISTINCT FROM p.province
+                                          AND c.city IS NOT DISTINCT FROM p.city)"""
         ),
         "daily_kpi_region": _kpi_sql("province, city", strict, fx.DAY, _DAY),
         "daily_distribution": _distribution_sql(fx.DAY, _DAY),
