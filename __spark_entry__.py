@@ -27,10 +27,11 @@ from adtally.operators import (
     top_n_per_measure,
 )
 from adtally.plans import daily_reports, kpi_report_cte, kpi_report_two_step, run_etl, stamp_date
-from adtally.schema import DATED_LOG_SCHEMA
+from adtally.schema import DATED_LOG_SCHEMA, ENRICHED_SCHEMA
 from adtally.session import scratch_path, unique_name
 from adtally.sinks import upsert_partitions, write_partitions, write_table_partitions
 from adtally.sources import read_ad_log, read_day
+from adtally.streaming import start_etl_stream
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 REGION = ("province", "city")
@@ -182,6 +183,19 @@ def q_report_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(schema).parquet(out)
 
 
+def q_stream_etl(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ETL as a file-stream query run to completion (availableNow)."""
+    out = scratch_path(spark, "stream-etl")
+    query = start_etl_stream(
+        spark, _json_log(spark, sf_dir), fx.ip_dict_from(spark, sf_dir), out,
+        checkpoint_location=scratch_path(spark, "stream-etl-checkpoint"), available_now=True,
+    )
+    query.awaitTermination()
+    if query.exception() is not None:
+        raise RuntimeError(str(query.exception()))
+    return spark.read.schema(ENRICHED_SCHEMA).parquet(out)
+
+
 def q_daily_kpi_region(spark: SparkSession, sf_dir: str) -> DataFrame:
     return daily_reports(_enriched_day(spark, sf_dir), fx.DAY)["kpi_region"]
 
@@ -232,6 +246,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "daily_kpi_region": q_daily_kpi_region,
         "daily_distribution": q_daily_distribution,
         "daily_kpi_channel": q_daily_kpi_channel,
+        "stream_etl": q_stream_etl,
     }
 
 
@@ -416,4 +431,5 @@ UNION ALL SELECT p.province, p.city, p.count, '{fx.DAY}' FROM prev p
         "daily_kpi_region": _kpi_sql("province, city", strict, fx.DAY, _DAY),
         "daily_distribution": _distribution_sql(fx.DAY, _DAY),
         "daily_kpi_channel": _kpi_sql("channelid", strict, fx.DAY, _DAY),
+        "stream_etl": fx.with_fixtures(f"SELECT {_ENRICHED_COLS} FROM enriched"),
     }

@@ -202,5 +202,7 @@ def range_lookup(
             & (probe[_S] == dim[_S])
             & probe["_rl_key"].between(dim[_LO], dim[_HI])
         )
-        joined = probe.join(dim, on, "left")
+        # Measured too large to broadcast: keep Spark from broadcasting it on
+        # its own (often optimistic) size estimate of the exploded side.
+        joined = probe.join(dim.hint("merge"), on, "left")
     return joined.select(*[probe[c] for c in cols], *[dim[c] for c in payload])
