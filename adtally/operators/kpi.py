@@ -40,7 +40,8 @@ def kpi_counts(df: DataFrame, dims: Sequence[str] = REGION, rules: str = "strict
     """The eleven measures per group, without the non-zero filter."""
     dims = list(dims)
     aggs = [measure_column(m) for m in measures(rules)]
-    return df.select(*dims, *INPUT_COLUMNS).groupBy(*dims).agg(*aggs)
+    needed = dims + [c for c in INPUT_COLUMNS if c not in dims]
+    return df.select(*needed).groupBy(*dims).agg(*aggs)
 
 
 def nonzero_filter(df: DataFrame) -> DataFrame:

@@ -89,7 +89,7 @@ def daily_reports(
     aggs = [F.count(F.lit(1)).alias("count")] + [measure_column(m) for m in measures(rules)]
     shared_dir(day.sparkSession)
     grouped = (
-        day.select(*all_dims, *INPUT_COLUMNS)
+        day.select(*all_dims, *[c for c in INPUT_COLUMNS if c not in all_dims])
         .groupingSets(sets, *all_dims)
         .agg(*aggs, F.grouping_id().alias("_gid"))
         .checkpoint(eager=True)

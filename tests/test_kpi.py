@@ -154,3 +154,8 @@ def test_named_view_is_honoured(spark, enriched01):
 def test_single_aggregation_shuffle(enriched01):
     plan = kpi_report(enriched01, report_date="2024-01-30")._jdf.queryExecution().executedPlan().toString()
     assert plan.count("HashAggregate") >= 2  # partial + final
+
+
+def test_dimension_that_is_also_a_measure_input(enriched01):
+    out = kpi_counts(enriched01, ("requestmode",))
+    assert sorted(r["requestmode"] for r in out.collect()) == [1, 2, 3]
