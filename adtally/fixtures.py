@@ -9,10 +9,10 @@ expressions (so their size grows with ``events``); ``AD_LOG_SQL`` /
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adtally.functions.ip import long_to_ip
+from adtally.functions.ip import long_to_ip_sql
 
 # Fixed values of the fixture formulas: H(a, b) = ((event_id + 1) * a) % b.
 IP_HASH = (2654435761, 4294967291)
@@ -51,34 +51,32 @@ ALL_DAYS_REPORT_DATE = "2024-01-30"
 ETL_RUN_DATE = "2024-01-31"
 
 
-def _h(pair: tuple[int, int]) -> Column:
-    """((event_id + 1) * a) % b, exact in bigint for every event_id.
+def _h(pair: tuple[int, int]) -> str:
+    """SQL text of ((event_id + 1) * a) % b, exact in bigint for every event_id.
 
     (x * a) % b == ((x % b) * (a % b)) % b. When b * b could overflow, ``a`` is
     taken 16 bits at a time (Horner): r = (r * 2^16 + x * limb) % b, where
     every intermediate stays below b * 2^16 < 2^63 for b < 2^47.
     """
     a, b = pair
-    x = (F.col("event_id") + 1) % b
+    x = f"((event_id + 1) % {b})"
     a %= b
     if b * b < (1 << 63):
-        return (x * a) % b
+        return f"(({x} * {a}) % {b})"
     assert b < (1 << 47)
     limbs = []
     while a:
         limbs.append(a & 0xFFFF)
         a >>= 16
-    r = F.lit(0).cast("bigint")
+    r = "CAST(0 AS BIGINT)"
     for limb in reversed(limbs):
-        r = (r * 65536 + x * limb) % b
+        r = f"(({r} * 65536 + {x} * {limb}) % {b})"
     return r
 
 
-def _pick(index: Column, values: tuple[int, ...]) -> Column:
-    out = None
-    for i, v in enumerate(values):
-        out = F.when(index == i, F.lit(v)) if out is None else out.when(index == i, F.lit(v))
-    return out
+def _pick(index_sql: str, values: tuple[int, ...]) -> str:
+    whens = " ".join(f"WHEN {i} THEN {v}" for i, v in enumerate(values))
+    return f"CASE {index_sql} {whens} END"
 
 
 def spread(df: DataFrame) -> DataFrame:
@@ -95,38 +93,40 @@ def spread(df: DataFrame) -> DataFrame:
 
 
 def ad_log(events: DataFrame) -> DataFrame:
-    """One ad-event row per ``events`` row (FIXTURES.md section 1)."""
+    """One ad-event row per ``events`` row (FIXTURES.md section 1).
+
+    Built from SQL expressions (one JVM call per column). The IP hash is
+    computed in its own projection so it is evaluated once per row rather
+    than inlined into each of its uses.
+    """
     events = spread(events.select("event_id", "ts", "user_id", "event_type", "value"))
-    eid = F.col("event_id")
-    ip_hidden = (eid % NULL_IP_MOD == 0) | (eid % BAD_IP_MOD == 0)
-    i = _h(IP_HASH)
-    return events.select(
-        F.concat(F.lit("u"), eid.cast("string")).alias("uuid"),
-        F.col("ts").cast("date").cast("string").alias("date_str"),
-        F.when(~ip_hidden, i).alias("ip_num"),
-        F.when(eid % NULL_IP_MOD == 0, F.lit(None).cast("string"))
-        .when(eid % BAD_IP_MOD == 0, F.lit(BAD_IP_TEXT))
-        .otherwise(long_to_ip(i))
-        .alias("ip"),
-        (1 + _h(REQUESTMODE_HASH) % 3).alias("requestmode"),
-        (1 + _h(PROCESSNODE_HASH) % 3).alias("processnode"),
-        (PROVIDER_BASE + _h(PROVIDER_HASH) % PROVIDER_SPREAD).alias("adplatformproviderid"),
-        F.when(_h(ISEFFECTIVE_HASH) % 8 == 0, 0).otherwise(1).alias("iseffective"),
-        F.when(_h(ISBILLING_HASH) % 8 == 0, 0).otherwise(1).alias("isbilling"),
-        F.when(eid % NULL_ISBID_MOD == 0, F.lit(None).cast("int"))
-        .when(_h(ISBID_HASH) % 6 == 0, 0)
-        .otherwise(1)
-        .alias("isbid"),
-        F.when(_h(ISWIN_HASH) % 6 == 0, 0).otherwise(1).alias("iswin"),
-        _pick(_h(ADORDER_HASH) % len(ADORDER_VALUES), ADORDER_VALUES).alias("adorderid"),
-        _pick(_h(ADCREATIVE_HASH) % len(ADCREATIVE_VALUES), ADCREATIVE_VALUES).alias("adcreativeid"),
-        F.when(eid % NULL_WINPRICE_MOD != 0, F.col("value") * WINPRICE_FACTOR).alias("winprice"),
-        (F.col("value") * ADPAYMENT_FACTOR).alias("adpayment"),
-        F.col("event_type").alias("appname"),
-        F.concat(F.lit("d"), (_h(DEVICE_HASH) % 4).cast("string")).alias("device"),
-        (_h(NETWORK_HASH) % 5).alias("network"),
-        (_h(ISP_HASH) % 4).alias("isp"),
-        (F.col("user_id") % CHANNELS).alias("channelid"),
+    hashed = events.selectExpr("*", f"{_h(IP_HASH)} AS _ip_hash")
+    hidden = f"event_id % {NULL_IP_MOD} = 0 OR event_id % {BAD_IP_MOD} = 0"
+    return hashed.selectExpr(
+        "concat('u', CAST(event_id AS STRING)) AS uuid",
+        "CAST(CAST(ts AS DATE) AS STRING) AS date_str",
+        f"CASE WHEN {hidden} THEN NULL ELSE _ip_hash END AS ip_num",
+        f"CASE WHEN event_id % {NULL_IP_MOD} = 0 THEN CAST(NULL AS STRING) "
+        f"WHEN event_id % {BAD_IP_MOD} = 0 THEN '{BAD_IP_TEXT}' "
+        f"ELSE {long_to_ip_sql('_ip_hash')} END AS ip",
+        f"1 + {_h(REQUESTMODE_HASH)} % 3 AS requestmode",
+        f"1 + {_h(PROCESSNODE_HASH)} % 3 AS processnode",
+        f"{PROVIDER_BASE} + {_h(PROVIDER_HASH)} % {PROVIDER_SPREAD} AS adplatformproviderid",
+        f"CASE WHEN {_h(ISEFFECTIVE_HASH)} % 8 = 0 THEN 0 ELSE 1 END AS iseffective",
+        f"CASE WHEN {_h(ISBILLING_HASH)} % 8 = 0 THEN 0 ELSE 1 END AS isbilling",
+        f"CASE WHEN event_id % {NULL_ISBID_MOD} = 0 THEN CAST(NULL AS INT) "
+        f"WHEN {_h(ISBID_HASH)} % 6 = 0 THEN 0 ELSE 1 END AS isbid",
+        f"CASE WHEN {_h(ISWIN_HASH)} % 6 = 0 THEN 0 ELSE 1 END AS iswin",
+        f"{_pick(f'{_h(ADORDER_HASH)} % {len(ADORDER_VALUES)}', ADORDER_VALUES)} AS adorderid",
+        f"{_pick(f'{_h(ADCREATIVE_HASH)} % {len(ADCREATIVE_VALUES)}', ADCREATIVE_VALUES)} AS adcreativeid",
+        f"CASE WHEN event_id % {NULL_WINPRICE_MOD} = 0 THEN CAST(NULL AS DOUBLE) "
+        f"ELSE value * {WINPRICE_FACTOR} END AS winprice",
+        f"value * {ADPAYMENT_FACTOR} AS adpayment",
+        "event_type AS appname",
+        f"concat('d', CAST({_h(DEVICE_HASH)} % 4 AS STRING)) AS device",
+        f"{_h(NETWORK_HASH)} % 5 AS network",
+        f"{_h(ISP_HASH)} % 4 AS isp",
+        f"user_id % {CHANNELS} AS channelid",
     )
 
 

@@ -9,12 +9,16 @@ from pyspark.sql import functions as F
 RATE_SCALE = 2
 
 
-def rate(numerator, denominator) -> Column:
+def rate_sql(numerator: str, denominator: str) -> str:
+    return (
+        f"round(try_divide(CAST({numerator} AS DOUBLE), CAST({denominator} AS DOUBLE)), {RATE_SCALE})"
+    )
+
+
+def rate(numerator: str, denominator: str) -> Column:
     """round(numerator / denominator, 2); NULL when the denominator is 0.
 
     ``try_divide`` keeps the expression safe under ANSI mode even if a caller
     computes rates before (or without) the non-zero filter.
     """
-    num = F.col(numerator) if isinstance(numerator, str) else numerator
-    den = F.col(denominator) if isinstance(denominator, str) else denominator
-    return F.round(F.try_divide(num.cast("double"), den.cast("double")), RATE_SCALE)
+    return F.expr(rate_sql(numerator, denominator))

@@ -45,11 +45,7 @@ def kpi_counts(df: DataFrame, dims: Sequence[str] = REGION, rules: str = "strict
 
 
 def nonzero_filter(df: DataFrame) -> DataFrame:
-    cond = None
-    for name in NONZERO:
-        term = F.col(name) != 0
-        cond = term if cond is None else cond & term
-    return df.where(cond)
+    return df.where(" AND ".join(f"{name} != 0" for name in NONZERO))
 
 
 def with_rates(df: DataFrame) -> DataFrame:

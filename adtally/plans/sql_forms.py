@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 
 from adtally.functions.dates import validate_date, yesterday
 from adtally.operators.kpi import REGION
-from adtally.functions.rates import RATE_SCALE
+from adtally.functions.rates import rate_sql
 from adtally.operators.measures import NONZERO, RATES, measure_sql, measures
 from adtally.session import unique_name
 
@@ -34,10 +34,7 @@ def counts_sql(view: str, dims: Sequence[str], rules: str, report_date: str | No
 
 def rates_sql(view: str) -> str:
     """All columns of ``view`` plus the three rates, non-zero groups only."""
-    rates = ",\n  ".join(
-        f"round(try_divide(CAST(t.{num} AS DOUBLE), CAST(t.{den} AS DOUBLE)), {RATE_SCALE}) AS {name}"
-        for name, num, den in RATES
-    )
+    rates = ",\n  ".join(f"{rate_sql('t.' + num, 't.' + den)} AS {name}" for name, num, den in RATES)
     where = " AND ".join(f"t.{c} != 0" for c in NONZERO)
     return f"SELECT t.*,\n  {rates}\nFROM {view} t\nWHERE {where}"
 
