@@ -136,16 +136,16 @@ def ip_dict(nation: DataFrame, region: DataFrame) -> DataFrame:
     ``nation`` and ``region`` are fixed-size dimensions (25 and 5 rows at
     every scale factor), so broadcasting ``region`` here is bounded.
     """
-    k = F.explode(F.sequence(F.lit(0), F.lit(DICT_RANGES_PER_NATION - 1))).alias("k")
-    start = (F.col("n_nationkey").cast("bigint") * DICT_RANGES_PER_NATION + F.col("k")) * DICT_STRIDE
+    start = f"(CAST(n_nationkey AS BIGINT) * {DICT_RANGES_PER_NATION} + k) * {DICT_STRIDE}"
     return (
         nation.join(F.broadcast(region), nation["n_regionkey"] == region["r_regionkey"])
-        .select("n_nationkey", "n_name", "r_name", k)
-        .select(
-            start.alias("ip_start"),
-            (start + DICT_WIDTH).alias("ip_end"),
-            F.col("r_name").alias("province"),
-            F.col("n_name").alias("city"),
+        .selectExpr("n_nationkey", "n_name", "r_name",
+                    f"explode(sequence(0, {DICT_RANGES_PER_NATION - 1})) AS k")
+        .selectExpr(
+            f"{start} AS ip_start",
+            f"{start} + {DICT_WIDTH} AS ip_end",
+            "r_name AS province",
+            "n_name AS city",
         )
     )
 

@@ -100,36 +100,36 @@ def dictionary_stats(
     candidate width is a sum over ranges, so no second pass is needed.
     """
     payload = list(payload or [])
-    lo, hi = F.col(start).cast("bigint"), F.col(end).cast("bigint")
-    ok = lo.isNotNull() & hi.isNotNull() & (lo <= hi) & (lo >= 0) & (hi < (1 << KEY_DOMAIN_BITS))
-    nbytes = F.lit(0)
-    for c in payload:
-        nbytes = nbytes + F.coalesce(F.length(c), F.lit(0))
-    base = ranges.select(
-        lo.alias(_LO), hi.alias(_HI), ok.alias("_ok"), nbytes.alias("_bytes")
-    )
-    buckets = F.when(
-        F.col("_ok"),
-        F.sequence(F.shiftright(_LO, CHECK_BUCKET_BITS), F.shiftright(_HI, CHECK_BUCKET_BITS)),
-    ).otherwise(F.array(F.lit(None).cast("bigint")))
-    exploded = base.withColumn(_B, F.explode(buckets))
+    lo, hi = f"CAST(`{start}` AS BIGINT)", f"CAST(`{end}` AS BIGINT)"
+    nbytes = " + ".join([f"coalesce(length(`{c}`), 0)" for c in payload] or ["0"])
+    ok = f"{_LO} IS NOT NULL AND {_HI} IS NOT NULL AND {_LO} <= {_HI} AND {_LO} >= 0 AND {_HI} < {1 << KEY_DOMAIN_BITS}"
+    cb = CHECK_BUCKET_BITS
     # The first bucket of each valid range stands for the range itself.
-    first = F.col("_ok") & (F.col(_B) == F.shiftright(_LO, CHECK_BUCKET_BITS))
-    w = Window.partitionBy(_B).orderBy(_LO, _HI)
+    first = f"(_ok AND {_B} = shiftright({_LO}, {cb}))"
     per_bits = [
-        F.sum(
-            F.when(first, F.shiftright(_HI, b) - F.shiftright(_LO, b) + 1).otherwise(0)
-        ).alias(f"rows_{b}")
+        f"sum(CASE WHEN {first} THEN shiftright({_HI}, {b}) - shiftright({_LO}, {b}) + 1 ELSE 0 END) AS rows_{b}"
         for b in BUCKET_BITS_CHOICES
     ]
     row = (
-        exploded.withColumn("_prev_end", F.when(F.col("_ok"), F.lag(_HI).over(w)))
-        .agg(
-            F.count_if(first).alias("ranges"),
-            F.count_if(~F.col("_ok")).alias("malformed"),
-            F.count_if(F.col("_prev_end") >= F.col(_LO)).alias("overlaps"),
-            F.percentile_approx(F.when(first, F.col(_HI) - F.col(_LO) + 1), 0.5).alias("median"),
-            F.sum(F.when(first, F.col("_bytes")).otherwise(0)).alias("bytes"),
+        ranges.selectExpr(f"{lo} AS {_LO}", f"{hi} AS {_HI}", f"{nbytes} AS _bytes")
+        .selectExpr("*", f"{ok} AS _ok")
+        .selectExpr(
+            "*",
+            # Malformed rows get negative buckets spread by a hash, so even a
+            # dictionary of mostly bad rows never lands in one window task.
+            f"explode(CASE WHEN _ok THEN sequence(shiftright({_LO}, {cb}), shiftright({_HI}, {cb})) "
+            f"ELSE array(-1 - pmod(xxhash64({_LO}, {_HI}, _bytes), 4096)) END) AS {_B}",
+        )
+        .selectExpr(
+            "*",
+            f"CASE WHEN _ok THEN lag({_HI}) OVER (PARTITION BY {_B} ORDER BY {_LO}, {_HI}) END AS _prev_end",
+        )
+        .selectExpr(
+            f"count_if({first}) AS ranges",
+            "count_if(NOT _ok) AS malformed",
+            f"count_if(_prev_end >= {_LO}) AS overlaps",
+            f"percentile_approx(CASE WHEN {first} THEN {_HI} - {_LO} + 1 END, 0.5) AS median",
+            f"sum(CASE WHEN {first} THEN _bytes ELSE 0 END) AS bytes",
             *per_bits,
         )
         .first()
