@@ -11,7 +11,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from adtally.functions.dates import report_date_col
 from adtally.functions.rates import rate
