@@ -9,8 +9,11 @@ expressions (so their size grows with ``events``); ``AD_LOG_SQL`` /
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from adtally.functions.ip import long_to_ip_sql
 
@@ -159,8 +162,36 @@ def region_strings(ip_dict_df: DataFrame) -> DataFrame:
     )
 
 
+_SCHEMAS: dict[tuple, StructType] = {}
+
+
+def _local_key(path: str) -> tuple | None:
+    """(path, size, mtime) of a local file or folder; None for remote paths."""
+    local = path[len("file:"):] if path.startswith("file:") else path
+    if "://" in local or not os.path.exists(local):
+        return None
+    entries = [local] if os.path.isfile(local) else sorted(
+        os.path.join(local, f) for f in os.listdir(local)
+    )
+    return (path, *[(e, os.stat(e).st_size, os.stat(e).st_mtime_ns) for e in entries])
+
+
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """Read one of the driver's tables.
+
+    The schema inferred on first read is reused while the local file is
+    unchanged (same size and mtime), which skips Spark's footer-reading job
+    on every later read; any change, or a remote path, infers again.
+    """
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = _local_key(path)
+    schema = _SCHEMAS.get(key) if key else None
+    if schema is not None:
+        return spark.read.schema(schema).parquet(path)
+    df = spark.read.parquet(path)
+    if key:
+        _SCHEMAS[key] = df.schema
+    return df
 
 
 def ad_log_from(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -28,7 +28,10 @@ def _ident(name: str) -> str:
 def ip_to_long_sql(ip: str) -> str:
     """SQL text of :func:`ip_to_long` for column ``ip``."""
     c = _ident(ip)
-    octet = [f"try_cast(get(split({c}, '[.]'), {i}) AS BIGINT)" for i in range(4)]
+    # The split pattern is the two-character regex `\.`, written as
+    # concat(chr(92), '.') so it needs no escaping in any parser mode; Catalyst
+    # folds it to a literal, and Java splits on it without compiling a regex.
+    octet = [f"try_cast(get(split({c}, concat(chr(92), '.')), {i}) AS BIGINT)" for i in range(4)]
     checks = " AND ".join(f"{o} <= {OCTET_MAX}" for o in octet)
     value = f"shiftleft({octet[0]}, 24) + shiftleft({octet[1]}, 16) + shiftleft({octet[2]}, 8) + {octet[3]}"
     return f"CASE WHEN {c} RLIKE '{DOTTED_QUAD}' AND {checks} THEN {value} END"
