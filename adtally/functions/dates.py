@@ -19,10 +19,15 @@ def validate_date(date: str) -> str:
     return date
 
 
-def yesterday(today: _dt.date | None = None) -> str:
+def today(now: _dt.date | None = None) -> str:
+    """Today as `yyyy-MM-dd` text, computed once on the driver."""
+    return (now or _dt.date.today()).strftime(DATE_FORMAT)
+
+
+def yesterday(now: _dt.date | None = None) -> str:
     """Yesterday as `yyyy-MM-dd` text, computed once on the driver."""
-    today = today or _dt.date.today()
-    return (today - _dt.timedelta(days=1)).strftime(DATE_FORMAT)
+    now = now or _dt.date.today()
+    return (now - _dt.timedelta(days=1)).strftime(DATE_FORMAT)
 
 
 def report_date_col(date: str | None = None) -> Column:

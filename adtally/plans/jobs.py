@@ -39,13 +39,15 @@ def run_etl(
     to_table: bool = False,
     log_schema=RAW_LOG_SCHEMA,
     stamp: bool = True,
+    table_format: str = "parquet",
     **lookup,
 ) -> DataFrame:
     """JSON log -> IP enrichment -> date stamp -> rerun-safe partitioned write.
 
     ``output`` is a parquet path, or a catalog table name with
-    ``to_table=True``. ``stamp=False`` keeps a ``date_str`` already in the log.
-    Returns the enriched DataFrame that was written.
+    ``to_table=True`` (``table_format='hive'`` for a Hive-format table on a
+    session with Hive support). ``stamp=False`` keeps a ``date_str`` already
+    in the log. Returns the enriched DataFrame that was written.
     """
     log = read_ad_log(spark, log_path, schema=log_schema)
     enriched = enrich_ips(log, ip_dictionary, **lookup)
@@ -53,7 +55,7 @@ def run_etl(
         enriched = stamp_date(enriched, run_date)
     enriched = enriched.select(*ENRICHED_SCHEMA.fieldNames())
     if to_table:
-        write_table_partitions(enriched, output)
+        write_table_partitions(enriched, output, fmt=table_format)
     else:
         write_partitions(enriched, output)
     return enriched

@@ -116,3 +116,27 @@ def test_entry_smoke(spark):
     df = entry.entry(spark)
     assert df.count() == 25
     assert set(entry.queries()) >= set(entry.oracle_sql())
+
+
+def test_merge_statement_text():
+    from adtally.sinks.jdbc import merge_statement
+
+    sql = merge_statement("rpt", "rpt_staging", ["report_date", "province", "city"],
+                          ["report_date", "province", "city", "count"])
+    assert sql == (
+        "MERGE INTO rpt t USING rpt_staging s ON t.report_date = s.report_date AND "
+        "t.province = s.province AND t.city = s.city WHEN MATCHED THEN UPDATE SET count = s.count "
+        "WHEN NOT MATCHED THEN INSERT (report_date, province, city, count) "
+        "VALUES (s.report_date, s.province, s.city, s.count)"
+    )
+
+
+def test_dates():
+    import datetime as dt
+
+    from adtally.functions.dates import today, validate_date, yesterday
+
+    assert today(dt.date(2024, 3, 1)) == "2024-03-01"
+    assert yesterday(dt.date(2024, 3, 1)) == "2024-02-29"
+    with pytest.raises(ValueError):
+        validate_date("2024-02-30")
