@@ -27,6 +27,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType
 
 from adtally.errors import OverlappingRangesError
 
@@ -55,14 +56,24 @@ class DictionaryStats:
     payload_bytes: int
     exploded_rows: dict  # bucket bits -> rows after exploding at that width
 
-    def bucket_bits(self) -> int:
+    def bucket_bits(self, max_bytes: int | None = None) -> int:
         """Bucket width ~ the median range width: a typical range touches one
         or two buckets and a bucket holds a few ranges, so both the exploded
-        dictionary and the candidates per probe stay small."""
-        best = BUCKET_BITS_CHOICES[0]
-        for bits in BUCKET_BITS_CHOICES:
+        dictionary and the candidates per probe stay small.
+
+        With ``max_bytes``, widen the buckets until the exploded dictionary
+        fits that budget (a dictionary covering the whole key space with tiny
+        ranges explodes to ~2^(32-bits) rows at a narrow width).
+        """
+        choices = sorted(self.exploded_rows)
+        best = choices[0]
+        for bits in choices:
             if (1 << bits) <= max(self.median_width, 1):
                 best = bits
+        if max_bytes is not None:
+            for bits in choices:
+                if bits >= best and self.estimated_bytes(bits) <= max_bytes:
+                    return bits
         return best
 
     def estimated_bytes(self, bits: int) -> int:
@@ -90,6 +101,7 @@ def dictionary_stats(
     start: str = "ip_start",
     end: str = "ip_end",
     payload: list[str] | None = None,
+    widths: tuple[int, ...] = BUCKET_BITS_CHOICES,
 ) -> DictionaryStats:
     """ONE distributed job over the dictionary: validity, width, size.
 
@@ -108,7 +120,7 @@ def dictionary_stats(
     first = f"(_ok AND {_B} = shiftright({_LO}, {cb}))"
     per_bits = [
         f"sum(CASE WHEN {first} THEN shiftright({_HI}, {b}) - shiftright({_LO}, {b}) + 1 ELSE 0 END) AS rows_{b}"
-        for b in BUCKET_BITS_CHOICES
+        for b in widths
     ]
     row = (
         ranges.selectExpr(f"{lo} AS {_LO}", f"{hi} AS {_HI}", f"{nbytes} AS _bytes")
@@ -140,7 +152,7 @@ def dictionary_stats(
         overlaps=int(row["overlaps"] or 0),
         median_width=int(row["median"] or 1),
         payload_bytes=int(row["bytes"] or 0),
-        exploded_rows={b: int(row[f"rows_{b}"] or 0) for b in BUCKET_BITS_CHOICES},
+        exploded_rows={b: int(row[f"rows_{b}"] or 0) for b in widths},
     )
 
 
@@ -174,14 +186,15 @@ def range_lookup(
         raise ValueError("bucket_bits must be in (0, 32)")
 
     if validate or broadcast is None or bucket_bits is None:
-        stats = dictionary_stats(ranges, start, end, payload)
+        widths = tuple(sorted(set(BUCKET_BITS_CHOICES) | ({bucket_bits} if bucket_bits else set())))
+        stats = dictionary_stats(ranges, start, end, payload, widths)
         if stats.overlaps or stats.malformed:
             raise OverlappingRangesError(
                 f"range dictionary has {stats.overlaps} overlapping pair(s) and "
                 f"{stats.malformed} malformed range(s)"
             )
         if bucket_bits is None:
-            bucket_bits = stats.bucket_bits()
+            bucket_bits = stats.bucket_bits(None if broadcast is False else max_broadcast_bytes)
         if broadcast is None:
             broadcast = stats.estimated_bytes(bucket_bits) <= max_broadcast_bytes
 
@@ -195,7 +208,10 @@ def range_lookup(
         on = (probe[_B] == dim[_B]) & probe["_rl_key"].between(dim[_LO], dim[_HI])
         joined = probe.join(F.broadcast(dim), on, "left")
     else:
-        probe = probe.withColumn(_S, F.pmod(F.xxhash64(*[F.col(c) for c in cols]), F.lit(salt_buckets)))
+        # Deterministic salt (a task retry recomputes the same value) from
+        # the whole row, so one hot key -- or the NULL key -- spreads out.
+        hashable = [f.name for f in events.schema.fields if not isinstance(f.dataType, MapType)]
+        probe = probe.withColumn(_S, F.pmod(F.xxhash64(*[F.col(c) for c in hashable]), F.lit(salt_buckets)))
         dim = dim.withColumn(_S, F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salt_buckets - 1).cast("bigint"))))
         on = (
             (probe[_B] == dim[_B])

@@ -81,3 +81,19 @@ def test_plan_is_hash_join_not_nested_loop(spark):
         plan = out._jdf.queryExecution().executedPlan().toString()
         assert "NestedLoopJoin" not in plan
         assert ("BroadcastHashJoin" in plan) == broadcast
+
+
+def test_any_bucket_width_and_broadcast_budget(spark):
+    ev = spark.createDataFrame([(k,) for k in (0, 5, 25, 30, 31)], "k bigint")
+    out = range_lookup(ev, "k", _dict(spark), bucket_bits=5)  # not a preset width
+    assert sorted(tuple(r) for r in out.collect())[1] == (5, "p0", "c0")
+    st = dictionary_stats(_dict(spark), payload=["province", "city"])
+    tight = st.estimated_bytes(12)
+    assert st.bucket_bits(max_bytes=tight) >= 12
+    assert st.estimated_bytes(st.bucket_bits(max_bytes=tight)) <= tight
+
+
+def test_salt_ignores_map_columns(spark):
+    ev = spark.createDataFrame([(1, {"a": 1}), (25, {"b": 2})], "k bigint, m map<string,int>")
+    out = range_lookup(ev, "k", _dict(spark), broadcast=False)
+    assert sorted(r["province"] for r in out.collect()) == ["p0", "p1"]
