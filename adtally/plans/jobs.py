@@ -82,7 +82,8 @@ def daily_reports(
     checkpointed to the shared checkpoint folder, so each report is a cheap
     filter of it and a lost executor never forces a rescan of the day.
 
-    Returns ``region_distribution`` plus one ``kpi_<name>`` per dimension.
+    Returns ``region_distribution``, its first ten rows as ``region_top10``,
+    and one ``kpi_<name>`` per dimension.
     """
     all_dims: list[str] = []
     for dims in dimensions.values():
@@ -105,6 +106,7 @@ def daily_reports(
                 .orderBy(F.desc("count"), *[F.asc_nulls_last(d) for d in dims])
                 .withColumn("report_date", report_date_col(report_date))
             )
+            out["region_top10"] = out["region_distribution"].limit(10)
         kpi = with_rates(nonzero_filter(part.select(*dims, *MEASURE_NAMES)))
         body = [*dims, *MEASURE_NAMES, *(r[0] for r in RATES)]
         kpi = kpi.withColumn("report_date", report_date_col(report_date))
@@ -141,6 +143,7 @@ def run_reports(
     day = day.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         reports = {"region_distribution": region_distribution(day, REGION, report_date)}
+        reports["region_top10"] = reports["region_distribution"].limit(10)
         for name, dims in DIMENSIONS.items():
             reports[f"kpi_{name}"] = kpi_report(day, dims, rules, report_date)
         _write(reports, outputs)

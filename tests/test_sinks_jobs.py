@@ -85,7 +85,7 @@ def test_etl_then_reports_end_to_end(spark, enriched):
     outputs = {"kpi_region": f"{reports_dir}/kpi_region", "region_distribution": f"{reports_dir}/dist"}
     fused = run_reports(spark, out, fx.DAY, outputs=outputs)
     plain = run_reports(spark, out, fx.DAY, fused=False)
-    for name in ("region_distribution", "kpi_region", "kpi_app", "kpi_channel"):
+    for name in ("region_distribution", "region_top10", "kpi_region", "kpi_app", "kpi_channel"):
         assert _rows(fused[name]) == _rows(plain[name]), name
     back = spark.read.schema(fused["kpi_region"].schema).parquet(outputs["kpi_region"])
     assert _rows(back) == _rows(fused["kpi_region"])
