@@ -52,7 +52,7 @@ class DictionaryStats:
     ranges: int
     malformed: int
     overlaps: int
-    median_width: int
+    wide_ranges: dict  # bucket bits -> ranges at least 2^bits wide
     payload_bytes: int
     exploded_rows: dict  # bucket bits -> rows after exploding at that width
 
@@ -68,7 +68,8 @@ class DictionaryStats:
         choices = sorted(self.exploded_rows)
         best = choices[0]
         for bits in choices:
-            if (1 << bits) <= max(self.median_width, 1):
+            # 2^bits <= median width  <=>  at least half the ranges are that wide
+            if 2 * self.wide_ranges[bits] >= self.ranges:
                 best = bits
         if max_bytes is not None:
             for bits in choices:
@@ -103,7 +104,7 @@ def dictionary_stats(
     payload: list[str] | None = None,
     widths: tuple[int, ...] = BUCKET_BITS_CHOICES,
 ) -> DictionaryStats:
-    """ONE distributed job over the dictionary: validity, width, size.
+    """ONE distributed job over the dictionary: validity, widths, size.
 
     Overlap test: two ranges overlap only if they share a bucket, so ordering
     each bucket's ranges by start and comparing with the previous end finds
@@ -140,7 +141,10 @@ def dictionary_stats(
             f"count_if({first}) AS ranges",
             "count_if(NOT _ok) AS malformed",
             f"count_if(_prev_end >= {_LO}) AS overlaps",
-            f"percentile_approx(CASE WHEN {first} THEN {_HI} - {_LO} + 1 END, 0.5) AS median",
+            *[
+                f"count_if({first} AND {_HI} - {_LO} + 1 >= {1 << b}) AS wide_{b}"
+                for b in widths
+            ],
             f"sum(CASE WHEN {first} THEN _bytes ELSE 0 END) AS bytes",
             *per_bits,
         )
@@ -150,7 +154,7 @@ def dictionary_stats(
         ranges=int(row["ranges"] or 0),
         malformed=int(row["malformed"] or 0),
         overlaps=int(row["overlaps"] or 0),
-        median_width=int(row["median"] or 1),
+        wide_ranges={b: int(row[f"wide_{b}"] or 0) for b in widths},
         payload_bytes=int(row["bytes"] or 0),
         exploded_rows={b: int(row[f"rows_{b}"] or 0) for b in widths},
     )
