@@ -136,12 +136,12 @@ def ad_log(events: DataFrame) -> DataFrame:
 def ip_dict(nation: DataFrame, region: DataFrame) -> DataFrame:
     """100 non-overlapping IP ranges, each followed by a gap (FIXTURES.md 2).
 
-    ``nation`` and ``region`` are fixed-size dimensions (25 and 5 rows at
-    every scale factor), so broadcasting ``region`` here is bounded.
+    ``nation`` and ``region`` are small dimensions; the join strategy is left
+    to Spark's size-based planning (no unmeasured broadcast hint).
     """
     start = f"(CAST(n_nationkey AS BIGINT) * {DICT_RANGES_PER_NATION} + k) * {DICT_STRIDE}"
     return (
-        nation.join(F.broadcast(region), nation["n_regionkey"] == region["r_regionkey"])
+        nation.join(region, nation["n_regionkey"] == region["r_regionkey"])
         .selectExpr("n_nationkey", "n_name", "r_name",
                     f"explode(sequence(0, {DICT_RANGES_PER_NATION - 1})) AS k")
         .selectExpr(

@@ -50,29 +50,25 @@ def jdbc_upsert(
 ) -> None:
     """Stage with Spark's JDBC writer, then MERGE by ``keys`` in the database.
 
+    The MERGE runs through the JDBC source's ``sessionInitStatement`` on a
+    one-row read: a single task opens one connection and executes it, using
+    only public Spark API. The statement is idempotent (re-merging the same
+    staging rows changes nothing), so a retried task is harmless.
+
     Key columns must be non-NULL in a database key; map NULL dimensions to a
     placeholder (e.g. ``coalesce(province, 'unknown')``) before calling.
     ``merge_sql`` overrides the generated statement (e.g. a MySQL
-    ``INSERT ... ON DUPLICATE KEY UPDATE``).
+    ``INSERT ... SELECT ... ON DUPLICATE KEY UPDATE``).
     """
     staging = staging_table or f"{table}_staging"
     df.write.mode("overwrite").jdbc(url, staging, properties=dict(properties))
     statement = merge_sql or merge_statement(table, staging, keys, df.columns)
-    jvm = df.sparkSession.sparkContext._jvm
-    props = jvm.java.util.Properties()
+    reader = df.sparkSession.read.format("jdbc").option("url", url)
     for k, v in properties.items():
-        props.setProperty(k, v)
-    conn = jvm.java.sql.DriverManager.getConnection(url, props)
-    try:
-        conn.setAutoCommit(False)
-        stmt = conn.createStatement()
-        try:
-            stmt.executeUpdate(statement)
-            conn.commit()
-        except Exception:
-            conn.rollback()
-            raise
-        finally:
-            stmt.close()
-    finally:
-        conn.close()
+        reader = reader.option(k, v)
+    (
+        reader.option("query", f"SELECT COUNT(*) AS n FROM {table}")
+        .option("sessionInitStatement", statement)
+        .load()
+        .collect()
+    )
