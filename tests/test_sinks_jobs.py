@@ -140,3 +140,14 @@ def test_dates():
     assert yesterday(dt.date(2024, 3, 1)) == "2024-02-29"
     with pytest.raises(ValueError):
         validate_date("2024-02-30")
+
+
+def test_read_day_from_catalog_table_prunes(spark, enriched):
+    table = unique_name("t_day")
+    write_table_partitions(enriched.select(*ENRICHED_SCHEMA.fieldNames()), table,
+                           path=scratch_path(spark, "t-day"))
+    day = read_day(spark, table, fx.DAY)
+    plan = day._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(date_str" in plan
+    assert day.count() == enriched.where(F.col("date_str") == fx.DAY).count()
+    assert dict(day.dtypes)["date_str"] == "string"
