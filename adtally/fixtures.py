@@ -82,16 +82,18 @@ def _pick(index_sql: str, values: tuple[int, ...]) -> str:
     return f"CASE {index_sql} {whens} END"
 
 
-def spread(df: DataFrame) -> DataFrame:
+def spread(df: DataFrame, *by) -> DataFrame:
     """Give an under-partitioned input at least the default parallelism.
 
     The driver's tables are single files with one row group, i.e. one scan
-    task; spreading them lets the per-row work run on every core. A large
-    input already has many splits and is returned unchanged (no shuffle).
+    task; spreading them lets the per-row work run on every core. ``by``
+    clusters rows the way a real log arrives (e.g. by event day), so a
+    date-partitioned write makes a few files per task, not one per day per
+    task. A large input already has many splits and is returned unchanged.
     """
     target = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
+        return df.repartition(target, *by)
     return df
 
 
@@ -102,7 +104,7 @@ def ad_log(events: DataFrame) -> DataFrame:
     computed in its own projection so it is evaluated once per row rather
     than inlined into each of its uses.
     """
-    events = spread(events.select("event_id", "ts", "user_id", "event_type", "value"))
+    events = spread(events.select("event_id", "ts", "user_id", "event_type", "value"), F.to_date("ts"))
     hashed = events.selectExpr("*", f"{_h(IP_HASH)} AS _ip_hash")
     hidden = f"event_id % {NULL_IP_MOD} = 0 OR event_id % {BAD_IP_MOD} = 0"
     return hashed.selectExpr(
