@@ -151,3 +151,19 @@ def test_read_day_from_catalog_table_prunes(spark, enriched):
     assert "PartitionFilters: [isnotnull(date_str" in plan
     assert day.count() == enriched.where(F.col("date_str") == fx.DAY).count()
     assert dict(day.dtypes)["date_str"] == "string"
+
+
+def test_command_line_entry_points(spark):
+    from adtally.__main__ import main
+
+    log = scratch_path(spark, "t-cli-log")
+    fx.ad_log_from(spark, SF001).drop("ip_num", "date_str").write.json(log)
+    dictionary = scratch_path(spark, "t-cli-dict")
+    fx.region_strings(fx.ip_dict_from(spark, SF001)).write.parquet(dictionary)
+    out, reports = scratch_path(spark, "t-cli-out"), scratch_path(spark, "t-cli-rep")
+    assert main(["etl", "--log", log, "--dictionary", dictionary, "--output", out,
+                 "--date", "2024-02-01"], spark=spark) == 0
+    assert main(["reports", "--source", out, "--date", "2024-02-01", "--output-dir", reports],
+                spark=spark) == 0
+    dist = spark.read.parquet(f"{reports}/region_distribution")
+    assert dist.agg(F.sum("count")).first()[0] == 1000
