@@ -2,6 +2,7 @@
 ``events`` at N times its size, with and without a hot IP.
 
 Usage: python tools/scale_probe.py [sf_dir] [N ...]
+       python tools/scale_probe.py [sf_dir] etl [N ...]
 
 Each event is replicated N times with new ids (so every fixture column is
 re-derived per copy); the "hot" variant gives one IP to a third of all rows.
@@ -40,8 +41,35 @@ def run(label, df):
     return rows
 
 
+def etl_probe(spark, sf_dir, n):
+    """JSON log -> run_etl -> run_reports for one day, timed."""
+    from adtally.plans import run_etl, run_reports
+    from adtally.schema import DATED_LOG_SCHEMA
+    from adtally.session import scratch_path
+
+    log_dir, out = scratch_path(spark, "probe-log"), scratch_path(spark, "probe-etl")
+    fx.ad_log(scaled_events(spark, sf_dir, n)).drop("ip_num").write.json(log_dir)
+    t = time.perf_counter()
+    run_etl(spark, log_dir, fx.ip_dict_from(spark, sf_dir), out, log_schema=DATED_LOG_SCHEMA, stamp=False)
+    t1 = time.perf_counter()
+    reports = run_reports(spark, out, fx.DAY)
+    sizes = {k: v.count() for k, v in reports.items()}
+    t2 = time.perf_counter()
+    print(f"x{n} ETL (JSON -> enriched parquet): {t1 - t:.2f}s; all reports of {fx.DAY}: {t2 - t1:.2f}s {sizes}")
+
+
 def main():
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
+    if len(sys.argv) > 2 and sys.argv[2] == "etl":
+        spark = (SparkSession.builder.master("local[8]")
+                 .config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
+                 .config("spark.sql.shuffle.partitions", "16").config("spark.driver.memory", "8g")
+                 .getOrCreate())
+        spark.sparkContext.setLogLevel("ERROR")
+        for n in [int(x) for x in sys.argv[3:]] or [10]:
+            etl_probe(spark, sf_dir, n)
+        spark.stop()
+        return
     sizes = [int(x) for x in sys.argv[2:]] or [10]
     spark = (SparkSession.builder.master("local[8]")
              .config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
