@@ -1,8 +1,8 @@
 """Relational operators of the ad report, as DataFrame plans."""
 
-from adtally.operators.distribution import region_distribution, region_top
+from adtally.operators.distribution import finish_distribution, region_distribution, region_top
 from adtally.operators.enrich import dictionary_from_regions, enrich_ips
-from adtally.operators.kpi import DIMENSIONS, kpi_counts, kpi_report
+from adtally.operators.kpi import DIMENSIONS, finish_kpi, kpi_counts, kpi_report
 from adtally.operators.map_feed import map_feed
 from adtally.operators.range_join import dictionary_stats, range_lookup
 from adtally.operators.topn import top_n_by_measure, top_n_by_total, top_n_per_measure
@@ -12,6 +12,8 @@ __all__ = [
     "dictionary_from_regions",
     "dictionary_stats",
     "enrich_ips",
+    "finish_distribution",
+    "finish_kpi",
     "kpi_counts",
     "kpi_report",
     "map_feed",

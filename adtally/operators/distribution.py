@@ -19,10 +19,14 @@ def region_distribution(
     Ties are broken by the grouping columns (NULLs last) so the order, and any
     top-n taken from it, is deterministic.
     """
+    return finish_distribution(df.groupBy(*dims).count(), dims, report_date)
+
+
+def finish_distribution(counts: DataFrame, dims: Sequence[str], report_date: str | None = None) -> DataFrame:
+    """Sort per-group ``count`` rows (ties by the groups, NULLs last), add the date."""
     dims = list(dims)
     return (
-        df.groupBy(*dims)
-        .count()
+        counts.select(*dims, "count")
         .orderBy(F.desc("count"), *[F.asc_nulls_last(d) for d in dims])
         .withColumn("report_date", report_date_col(report_date))
     )

@@ -63,10 +63,22 @@ def kpi_report(
     Column order follows the reference's two forms: strict puts the date
     last, loose puts it first (override with ``date_first``).
     """
+    return finish_kpi(kpi_counts(df, dims, rules), dims, rules, report_date, date_first)
+
+
+def finish_kpi(
+    counts: DataFrame,
+    dims: Sequence[str],
+    rules: str = "strict",
+    report_date: str | None = None,
+    date_first: bool | None = None,
+) -> DataFrame:
+    """Non-zero filter, rates, report date and column order over per-group
+    measures (the output of :func:`kpi_counts` or of a grouping-sets pass)."""
     dims = list(dims)
     if date_first is None:
         date_first = rules == "loose"
-    out = with_rates(nonzero_filter(kpi_counts(df, dims, rules)))
+    out = with_rates(nonzero_filter(counts.select(*dims, *MEASURE_NAMES)))
     out = out.withColumn("report_date", report_date_col(report_date))
     body = [*dims, *MEASURE_NAMES, *(r[0] for r in RATES)]
     return out.select("report_date", *body) if date_first else out.select(*body, "report_date")

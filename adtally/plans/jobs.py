@@ -13,10 +13,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from adtally.functions.dates import report_date_col
-from adtally.operators.distribution import region_distribution
+from adtally.operators.distribution import finish_distribution, region_distribution
 from adtally.operators.enrich import enrich_ips
-from adtally.operators.kpi import DIMENSIONS, REGION, kpi_report, nonzero_filter, with_rates
-from adtally.operators.measures import INPUT_COLUMNS, MEASURE_NAMES, RATES, measure_column, measures
+from adtally.operators.kpi import DIMENSIONS, REGION, finish_kpi, kpi_report
+from adtally.operators.measures import INPUT_COLUMNS, measure_column, measures
 from adtally.schema import ENRICHED_SCHEMA, RAW_LOG_SCHEMA
 from adtally.session import shared_dir
 from adtally.sinks.partitioned import write_partitions, write_table_partitions
@@ -101,18 +101,9 @@ def daily_reports(
     for name, dims in dimensions.items():
         part = grouped.where(F.col("_gid") == _gid(all_dims, dims))
         if tuple(dims) == REGION:
-            out["region_distribution"] = (
-                part.select(*dims, "count")
-                .orderBy(F.desc("count"), *[F.asc_nulls_last(d) for d in dims])
-                .withColumn("report_date", report_date_col(report_date))
-            )
+            out["region_distribution"] = finish_distribution(part, dims, report_date)
             out["region_top10"] = out["region_distribution"].limit(10)
-        kpi = with_rates(nonzero_filter(part.select(*dims, *MEASURE_NAMES)))
-        body = [*dims, *MEASURE_NAMES, *(r[0] for r in RATES)]
-        kpi = kpi.withColumn("report_date", report_date_col(report_date))
-        out[f"kpi_{name}"] = (
-            kpi.select("report_date", *body) if rules == "loose" else kpi.select(*body, "report_date")
-        )
+        out[f"kpi_{name}"] = finish_kpi(part, dims, rules, report_date)
     return out
 
 
