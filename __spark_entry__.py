@@ -35,6 +35,7 @@ from adtally.streaming import start_etl_stream
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 REGION = ("province", "city")
+STREAM_TIMEOUT_SEC = 1800
 
 
 def _enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -190,7 +191,9 @@ def q_stream_etl(spark: SparkSession, sf_dir: str) -> DataFrame:
         spark, _json_log(spark, sf_dir), fx.ip_dict_from(spark, sf_dir), out,
         checkpoint_location=scratch_path(spark, "stream-etl-checkpoint"), available_now=True,
     )
-    query.awaitTermination()
+    if not query.awaitTermination(STREAM_TIMEOUT_SEC):
+        query.stop()
+        raise TimeoutError(f"stream_etl did not finish within {STREAM_TIMEOUT_SEC}s")
     if query.exception() is not None:
         raise RuntimeError(str(query.exception()))
     return spark.read.schema(ENRICHED_SCHEMA).parquet(out)

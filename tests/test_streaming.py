@@ -13,7 +13,7 @@ from conftest import SF001
 def _run(spark, log_dir, out, ckpt):
     q = start_etl_stream(spark, log_dir, fx.ip_dict_from(spark, SF001), out,
                          checkpoint_location=ckpt, available_now=True)
-    q.awaitTermination()
+    assert q.awaitTermination(600), "stream did not finish"
     assert q.exception() is None
 
 
