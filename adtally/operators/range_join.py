@@ -39,12 +39,16 @@ BUCKET_BITS_CHOICES = (8, 10, 12, 14, 16, 18, 20, 22, 24)
 # at most n_ranges + 2^12 exploded rows.
 CHECK_BUCKET_BITS = 20
 DEFAULT_SALT_BUCKETS = 16
+# A bucket touched by more ranges than this is re-exploded 2^REFINE_BITS
+# times finer (recursively), so a probe never meets more candidates.
+DEFAULT_DENSE_RANGES = 32
+REFINE_BITS = 6
 DEFAULT_MAX_BROADCAST_BYTES = 256 * 1024 * 1024
 # Estimated bytes per exploded dictionary row besides its strings
 # (three longs, two string headers, row overhead).
 _ROW_OVERHEAD_BYTES = 64
 
-_B, _S, _LO, _HI = "_rl_bucket", "_rl_salt", "_rl_start", "_rl_end"
+_B, _S, _LO, _HI, _LV = "_rl_bucket", "_rl_salt", "_rl_start", "_rl_end", "_rl_level"
 
 
 @dataclass(frozen=True)
@@ -55,6 +59,21 @@ class DictionaryStats:
     wide_ranges: dict  # bucket bits -> ranges at least 2^bits wide
     payload_bytes: int
     exploded_rows: dict  # bucket bits -> rows after exploding at that width
+    max_in_check_bucket: int = 0  # most ranges touching one 2^CHECK_BUCKET_BITS bucket
+
+    def bucket_bound(self, bits: int) -> int:
+        """Upper bound on the ranges touching one 2^bits-wide bucket."""
+        coarse = self.max_in_check_bucket << max(0, bits - CHECK_BUCKET_BITS)
+        return min(coarse, 1 << bits)  # disjoint ranges each hold a key of the bucket
+
+    def refinement_levels(self, bits: int, dense: int) -> list[int]:
+        """Bucket widths of the finer levels needed so that no probe meets more
+        than ``dense`` candidates: each level is 2^REFINE_BITS times finer."""
+        levels = []
+        while bits > 0 and self.bucket_bound(bits) > dense:
+            bits = max(0, bits - REFINE_BITS)
+            levels.append(bits)
+        return levels
 
     def bucket_bits(self, max_bytes: int | None = None) -> int:
         """Bucket width ~ the median range width: a typical range touches one
@@ -136,11 +155,13 @@ def dictionary_stats(
         .selectExpr(
             "*",
             f"CASE WHEN _ok THEN lag({_HI}) OVER (PARTITION BY {_B} ORDER BY {_LO}, {_HI}) END AS _prev_end",
+            f"CASE WHEN _ok THEN count(1) OVER (PARTITION BY {_B}) END AS _in_bucket",
         )
         .selectExpr(
             f"count_if({first}) AS ranges",
             "count_if(NOT _ok) AS malformed",
             f"count_if(_prev_end >= {_LO}) AS overlaps",
+            "max(_in_bucket) AS max_in_bucket",
             *[
                 f"count_if({first} AND {_HI} - {_LO} + 1 >= {1 << b}) AS wide_{b}"
                 for b in widths
@@ -154,6 +175,7 @@ def dictionary_stats(
         ranges=int(row["ranges"] or 0),
         malformed=int(row["malformed"] or 0),
         overlaps=int(row["overlaps"] or 0),
+        max_in_check_bucket=int(row["max_in_bucket"] or 0),
         wide_ranges={b: int(row[f"wide_{b}"] or 0) for b in widths},
         payload_bytes=int(row["bytes"] or 0),
         exploded_rows={b: int(row[f"rows_{b}"] or 0) for b in widths},
@@ -172,6 +194,8 @@ def range_lookup(
     max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES,
     salt_buckets: int = DEFAULT_SALT_BUCKETS,
     validate: bool = True,
+    dense_ranges: int = DEFAULT_DENSE_RANGES,
+    refine: list[int] | None = None,
 ) -> DataFrame:
     """Left range join: every event row once, plus ``payload`` of its range
     (NULL when the key is NULL or falls in no range).
@@ -180,7 +204,12 @@ def range_lookup(
     ``bucket_bits=None`` derives the bucket width from the dictionary's
     median range width. ``broadcast=None`` broadcasts the exploded dictionary
     only if its measured size fits ``max_broadcast_bytes``; True/False force
-    the strategy. With ``validate=False`` and both fixed, no job runs here.
+    the strategy. Buckets that more than ``dense_ranges`` ranges touch are
+    refined to finer widths (``refine``; by default derived from the
+    validation job's bound), so no probe meets more candidates than that,
+    whatever the dictionary's density; no candidate is ever dropped. With
+    ``validate=False`` and width, strategy and ``refine`` fixed, no job runs
+    here.
     """
     payload = list(payload)
     clash = set(payload) & set(events.columns)
@@ -189,7 +218,8 @@ def range_lookup(
     if bucket_bits is not None and not 0 < bucket_bits < KEY_DOMAIN_BITS:
         raise ValueError("bucket_bits must be in (0, 32)")
 
-    if validate or broadcast is None or bucket_bits is None:
+    stats = None
+    if validate or broadcast is None or bucket_bits is None or refine is None:
         widths = tuple(sorted(set(BUCKET_BITS_CHOICES) | ({bucket_bits} if bucket_bits else set())))
         stats = dictionary_stats(ranges, start, end, payload, widths)
         if stats.overlaps or stats.malformed:
@@ -199,30 +229,83 @@ def range_lookup(
             )
         if bucket_bits is None:
             bucket_bits = stats.bucket_bits(None if broadcast is False else max_broadcast_bytes)
+        if refine is None:
+            refine = stats.refinement_levels(bucket_bits, dense_ranges)
         if broadcast is None:
-            broadcast = stats.estimated_bytes(bucket_bits) <= max_broadcast_bytes
+            # Each refined bucket adds at most 2^REFINE_BITS rows per level
+            # beyond the ranges it holds, and there are at most rows/dense
+            # such buckets per level.
+            growth = 1 + len(refine) * (1 << REFINE_BITS) / max(dense_ranges, 1)
+            broadcast = stats.estimated_bytes(bucket_bits) * growth <= max_broadcast_bytes
+    refine = list(refine or [])
 
     key_col = F.col(key) if isinstance(key, str) else key
     cols = events.columns
-    dim = explode_ranges(ranges, start, end, payload, bucket_bits)
-    probe = events.withColumn("_rl_key", key_col.cast("bigint")).withColumn(
-        _B, F.shiftright("_rl_key", bucket_bits)
+    dim = explode_ranges(ranges, start, end, payload, bucket_bits).withColumn(_LV, F.lit(0))
+    probe = (
+        events.withColumn("_rl_key", key_col.cast("bigint"))
+        .withColumn(_B, F.shiftright("_rl_key", bucket_bits))
+        .withColumn(_LV, F.lit(0))
     )
-    if broadcast:
-        on = (probe[_B] == dim[_B]) & probe["_rl_key"].between(dim[_LO], dim[_HI])
-        joined = probe.join(F.broadcast(dim), on, "left")
-    else:
+    if refine:
+        dim, probe = _refine(dim, probe, bucket_bits, refine, dense_ranges)
+
+    on_cols = [_LV, _B]
+    if not broadcast:
         # Deterministic salt (a task retry recomputes the same value) from
         # the whole row, so one hot key -- or the NULL key -- spreads out.
         hashable = [f.name for f in events.schema.fields if not isinstance(f.dataType, MapType)]
         probe = probe.withColumn(_S, F.pmod(F.xxhash64(*[F.col(c) for c in hashable]), F.lit(salt_buckets)))
         dim = dim.withColumn(_S, F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salt_buckets - 1).cast("bigint"))))
-        on = (
-            (probe[_B] == dim[_B])
-            & (probe[_S] == dim[_S])
-            & probe["_rl_key"].between(dim[_LO], dim[_HI])
-        )
+        on_cols.append(_S)
+    # Unique names on the dictionary side: the refined parts all derive from
+    # one dataset, so references must be by name, not by DataFrame.
+    dim = dim.select(
+        *[F.col(c).alias(f"_d{c}") for c in on_cols + [_LO, _HI]],
+        *[F.col(c).alias(f"_dp{i}") for i, c in enumerate(payload)],
+    )
+    on = F.col("_rl_key").between(F.col(f"_d{_LO}"), F.col(f"_d{_HI}"))
+    for c in on_cols:
+        on = (F.col(c) == F.col(f"_d{c}")) & on
+    if broadcast:
+        joined = probe.join(F.broadcast(dim), on, "left")
+    else:
         # Measured too large to broadcast: keep Spark from broadcasting it on
         # its own (often optimistic) size estimate of the exploded side.
         joined = probe.join(dim.hint("merge"), on, "left")
-    return joined.select(*[probe[c] for c in cols], *[dim[c] for c in payload])
+    return joined.select(*cols, *[F.col(f"_dp{i}").alias(c) for i, c in enumerate(payload)])
+
+
+def _refine(dim: DataFrame, probe: DataFrame, bits: int, levels: list[int], dense: int):
+    """Re-explode every bucket touched by more than ``dense`` ranges at the
+    next, finer width, level by level. A probe learns its level from small
+    broadcast joins against the refined bucket sets (at most rows/dense
+    buckets each, bounded by the measured dictionary)."""
+    done = []
+    level_bits = [bits, *levels]
+    for lvl, (coarse, fine) in enumerate(zip(level_bits, level_bits[1:])):
+        counts = dim.groupBy(_B).agg(F.count(F.lit(1)).alias("_n"))
+        hot = counts.where(F.col("_n") > dense).select(_B)
+        done.append(dim.join(hot, _B, "left_anti"))
+        lo = F.greatest(F.col(_LO), F.shiftleft(F.col(_B), coarse))
+        hi = F.least(F.col(_HI), F.shiftleft(F.col(_B) + 1, coarse) - 1)
+        dim = (
+            dim.join(hot, _B, "left_semi")
+            .withColumn(_B, F.explode(F.sequence(F.shiftright(lo, fine), F.shiftright(hi, fine))))
+            .withColumn(_LV, F.lit(lvl + 1))
+        )
+        marks = hot.select(F.col(_B).alias("_rl_hot"), F.lit(lvl).alias("_rl_hot_lv"))
+        probe = (
+            probe.join(
+                F.broadcast(marks),
+                (F.col(_B) == F.col("_rl_hot")) & (F.col(_LV) == F.col("_rl_hot_lv")),
+                "left",
+            )
+            .withColumn(_B, F.when(F.col("_rl_hot").isNotNull(), F.shiftright("_rl_key", fine)).otherwise(F.col(_B)))
+            .withColumn(_LV, F.when(F.col("_rl_hot").isNotNull(), F.lit(lvl + 1)).otherwise(F.col(_LV)))
+            .drop("_rl_hot", "_rl_hot_lv")
+        )
+    out = dim
+    for part in done:
+        out = out.unionByName(part)
+    return out, probe

@@ -97,3 +97,52 @@ def test_salt_ignores_map_columns(spark):
     ev = spark.createDataFrame([(1, {"a": 1}), (25, {"b": 2})], "k bigint, m map<string,int>")
     out = range_lookup(ev, "k", _dict(spark), broadcast=False)
     assert sorted(r["province"] for r in out.collect()) == ["p0", "p1"]
+
+
+def _dense_dictionary():
+    # 2000 single-address ranges (every other key) inside one small block,
+    # surrounded by two wide ranges: the block's buckets are dense.
+    rows = [(0, 999_999, "wide", "low")]
+    rows += [(1_000_000 + 2 * i, 1_000_000 + 2 * i, "dense", f"c{i}") for i in range(2000)]
+    rows += [(2_000_000, 2_000_000 + (1 << 24), "wide", "high")]
+    return rows
+
+
+def test_dense_dictionary_is_refined_and_exact(spark):
+    import bisect
+
+    from adtally.operators.range_join import dictionary_stats as stats_of
+
+    ranges = _dense_dictionary()
+    d = _dict(spark, ranges)
+    st = stats_of(d, payload=["province", "city"])
+    bits = st.bucket_bits(256 << 20)
+    assert st.refinement_levels(bits, 32)  # dense buckets need finer levels
+    rnd = random.Random(3)
+    keys = [rnd.randrange(990_000, 1_010_000) for _ in range(3000)] + [rnd.randrange(0, 1 << 25) for _ in range(500)]
+    starts = [r[0] for r in ranges]
+
+    def brute(k):
+        i = bisect.bisect_right(starts, k) - 1
+        return ranges[i][3] if i >= 0 and ranges[i][0] <= k <= ranges[i][1] else None
+
+    ev = spark.createDataFrame([(i, k) for i, k in enumerate(keys)], "id bigint, k bigint")
+    for broadcast in (True, False):
+        got = {r["id"]: r["city"] for r in range_lookup(ev, "k", d, broadcast=broadcast).collect()}
+        assert len(got) == len(keys)
+        assert all(got[i] == brute(k) for i, k in enumerate(keys)), broadcast
+
+
+def test_refined_buckets_hold_at_most_the_limit(spark):
+    from adtally.operators.range_join import _B, _LV, _refine, explode_ranges
+
+    d = _dict(spark, _dense_dictionary())
+    st = dictionary_stats(d, payload=["province", "city"])
+    bits = st.bucket_bits(256 << 20)
+    levels = st.refinement_levels(bits, 32)
+    dim = explode_ranges(d, "ip_start", "ip_end", ["province", "city"], bits).withColumn(_LV, F.lit(0))
+    probe = spark.createDataFrame([(1,)], "_rl_key bigint").withColumn(_B, F.lit(0).cast("bigint")).withColumn(_LV, F.lit(0))
+    refined, _ = _refine(dim, probe, bits, levels, 32)
+    worst = refined.groupBy(_LV, _B).count().agg(F.max("count")).first()[0]
+    unrefined = dim.groupBy(_B).count().agg(F.max("count")).first()[0]
+    assert unrefined > 32 >= worst
