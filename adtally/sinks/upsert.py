@@ -19,29 +19,37 @@ from pyspark.sql import DataFrame
 from pyspark.sql.utils import AnalysisException
 
 from adtally.session import shared_dir
-from adtally.sinks.partitioned import write_partitions
+from adtally.sinks.partitioned import write_partitions, write_table_partitions
 
 
-def _read_existing(new: DataFrame, path: str) -> DataFrame | None:
+def _read_existing(new: DataFrame, target: str, is_table: bool) -> DataFrame | None:
     spark = new.sparkSession
+    if is_table:
+        if not spark.catalog.tableExists(target):
+            return None
+        return spark.read.table(target).select(*new.columns)
     try:
-        return spark.read.schema(new.schema).parquet(path)
+        return spark.read.schema(new.schema).parquet(target)
     except AnalysisException:
         return None
 
 
 def upsert_partitions(
     new: DataFrame,
-    path: str,
+    target: str,
     keys: Sequence[str],
     partition_col: str = "report_date",
+    is_table: bool = False,
+    table_path: str | None = None,
 ) -> None:
-    """Upsert ``new`` into the parquet table at ``path`` (partitioned by ``partition_col``)."""
+    """Upsert ``new`` into the report table partitioned by ``partition_col``:
+    a parquet path, or a catalog table with ``is_table=True`` (created on
+    first use, at ``table_path`` if given)."""
     keys = list(keys)
     if partition_col not in keys:
         keys = [partition_col, *keys]
     shared_dir(new.sparkSession)  # make sure a checkpoint folder is set
-    old = _read_existing(new, path)
+    old = _read_existing(new, target, is_table)
     if old is None:
         merged = new
     else:
@@ -50,4 +58,8 @@ def upsert_partitions(
         on = [old_touched[k].eqNullSafe(new[k]) for k in keys]
         kept = old_touched.join(new, on, "left_anti")
         merged = new.unionByName(kept).checkpoint(eager=True)
-    write_partitions(merged, path, [partition_col])
+    if is_table:
+        body = [c for c in merged.columns if c != partition_col]
+        write_table_partitions(merged.select(*body, partition_col), target, [partition_col], path=table_path)
+    else:
+        write_partitions(merged, target, [partition_col])

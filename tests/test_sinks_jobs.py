@@ -167,3 +167,14 @@ def test_command_line_entry_points(spark):
                 spark=spark) == 0
     dist = spark.read.parquet(f"{reports}/region_distribution")
     assert dist.agg(F.sum("count")).first()[0] == 1000
+
+
+def test_upsert_into_catalog_table(spark, enriched):
+    table = unique_name("t_rpt")
+    day = enriched.where(F.col("date_str") == fx.DAY)
+    d = region_distribution(day, report_date=fx.DAY)
+    upsert_partitions(d.withColumn("count", F.lit(0).cast("bigint")), table, ["province", "city"],
+                      is_table=True, table_path=scratch_path(spark, "t-rpt"))
+    upsert_partitions(d, table, ["province", "city"], is_table=True)
+    back = spark.read.table(table)
+    assert _rows(back) == _rows(d)
