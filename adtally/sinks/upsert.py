@@ -1,4 +1,4 @@
-"""Keyed upsert into a partitioned report table stored as files.
+"""Keyed upsert into a partitioned report table (parquet path or catalog table).
 
 The new rows replace old rows with the same key; old rows with other keys
 stay. Only the partitions the new rows touch are read and rewritten, so the
@@ -16,7 +16,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql.utils import AnalysisException
+from pyspark.errors import AnalysisException
 
 from adtally.session import shared_dir
 from adtally.sinks.partitioned import write_partitions, write_table_partitions
