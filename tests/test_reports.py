@@ -72,3 +72,15 @@ def test_city_map_feed_has_every_nation(spark):
     feed = map_feed(nations, day, "city")
     assert feed.count() == 25
     assert feed.agg(F.sum("events")).first()[0] == day.where(F.col("city").isNotNull()).count()
+
+
+def test_map_feed_with_name_mapping(spark):
+    features = spark.createDataFrame([("Hainan",), ("Hebei",), ("Tibet",)], "province string")
+    ev = spark.createDataFrame(
+        [("Hainan Province",), ("Hainan Province",), ("Hebei",), ("Hebei Province",)], "province string"
+    )
+    names = spark.createDataFrame(
+        [("Hainan Province", "Hainan"), ("Hebei Province", "Hebei")], "source string, target string"
+    )
+    got = {r["province"]: r["events"] for r in map_feed(features, ev, names=names).collect()}
+    assert got == {"Hainan": 2, "Hebei": 2, "Tibet": 0}
