@@ -196,6 +196,7 @@ def range_lookup(
     validate: bool = True,
     dense_ranges: int = DEFAULT_DENSE_RANGES,
     refine: list[int] | None = None,
+    stats: DictionaryStats | None = None,
 ) -> DataFrame:
     """Left range join: every event row once, plus ``payload`` of its range
     (NULL when the key is NULL or falls in no range).
@@ -209,7 +210,9 @@ def range_lookup(
     validation job's bound), so no probe meets more candidates than that,
     whatever the dictionary's density; no candidate is ever dropped. With
     ``validate=False`` and width, strategy and ``refine`` fixed, no job runs
-    here.
+    here. ``stats`` reuses a :func:`dictionary_stats` result (computed with the
+    same ``start``/``end``/``payload``), so several lookups against one
+    dictionary validate it once.
     """
     payload = list(payload)
     clash = set(payload) & set(events.columns)
@@ -218,10 +221,12 @@ def range_lookup(
     if bucket_bits is not None and not 0 < bucket_bits < KEY_DOMAIN_BITS:
         raise ValueError("bucket_bits must be in (0, 32)")
 
-    stats = None
-    if validate or broadcast is None or bucket_bits is None or refine is None:
-        widths = tuple(sorted(set(BUCKET_BITS_CHOICES) | ({bucket_bits} if bucket_bits else set())))
-        stats = dictionary_stats(ranges, start, end, payload, widths)
+    if stats is not None and bucket_bits is not None and bucket_bits not in stats.exploded_rows:
+        stats = None  # computed for other widths: measure again
+    if stats is not None or validate or broadcast is None or bucket_bits is None or refine is None:
+        if stats is None:
+            widths = tuple(sorted(set(BUCKET_BITS_CHOICES) | ({bucket_bits} if bucket_bits else set())))
+            stats = dictionary_stats(ranges, start, end, payload, widths)
         if stats.overlaps or stats.malformed:
             raise OverlappingRangesError(
                 f"range dictionary has {stats.overlaps} overlapping pair(s) and "

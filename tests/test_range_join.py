@@ -146,3 +146,11 @@ def test_refined_buckets_hold_at_most_the_limit(spark):
     worst = refined.groupBy(_LV, _B).count().agg(F.max("count")).first()[0]
     unrefined = dim.groupBy(_B).count().agg(F.max("count")).first()[0]
     assert unrefined > 32 >= worst
+
+
+def test_precomputed_stats_are_reused(spark):
+    d = _dict(spark)
+    st = dictionary_stats(d, payload=["province", "city"])
+    ev = spark.createDataFrame([(k,) for k in (5, 25, 50)], "k bigint")
+    out = range_lookup(ev, "k", d, stats=st)
+    assert sorted((r["k"], r["province"]) for r in out.collect()) == [(5, "p0"), (25, "p1"), (50, None)]
