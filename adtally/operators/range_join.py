@@ -23,6 +23,7 @@ check runs as a distributed job over the exploded dictionary.
 
 from __future__ import annotations
 
+import logging
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -48,6 +49,8 @@ DEFAULT_MAX_BROADCAST_BYTES = 256 * 1024 * 1024
 # (three longs, two string headers, row overhead).
 _ROW_OVERHEAD_BYTES = 64
 
+log = logging.getLogger(__name__)
+
 _B, _S, _LO, _HI, _LV = "_rl_bucket", "_rl_salt", "_rl_start", "_rl_end", "_rl_level"
 
 
@@ -243,6 +246,13 @@ def range_lookup(
             growth = 1 + len(refine) * (1 << REFINE_BITS) / max(dense_ranges, 1)
             broadcast = stats.estimated_bytes(bucket_bits) * growth <= max_broadcast_bytes
     refine = list(refine or [])
+    if stats is not None:
+        log.info(
+            "range lookup: %d ranges, buckets of 2^%d, %s, refinement levels %s, "
+            "~%d bytes exploded",
+            stats.ranges, bucket_bits, "broadcast" if broadcast else f"salted shuffle x{salt_buckets}",
+            refine, stats.estimated_bytes(bucket_bits) if bucket_bits in stats.exploded_rows else -1,
+        )
 
     key_col = F.col(key) if isinstance(key, str) else key
     cols = events.columns
