@@ -17,8 +17,15 @@ typical range touches one or two buckets and a probe meets few candidates:
   replicated once per salt, so one hot IP (or the NULL key) is spread over
   ``salt_buckets`` tasks instead of landing in one.
 
+* a bucket touched by more than ``dense_ranges`` ranges (a dense region of
+  narrow ranges) is re-exploded 2^6 times finer, level by level; a probe
+  finds its level through small broadcast joins against the refined bucket
+  sets, so no probe meets more than ``dense_ranges`` candidates and no
+  candidate is ever dropped.
+
 Ranges must not overlap (a key would match twice and duplicate its row); the
-check runs as a distributed job over the exploded dictionary.
+check runs as one distributed job over the dictionary, which also measures
+its size and the per-bucket density that decide the plan.
 """
 
 from __future__ import annotations
