@@ -26,7 +26,14 @@ from adtally.operators import (
     top_n_by_total,
     top_n_per_measure,
 )
-from adtally.plans import daily_reports, kpi_report_cte, kpi_report_two_step, run_etl, stamp_date
+from adtally.plans import (
+    daily_reports,
+    kpi_report_cte,
+    kpi_report_two_step,
+    run_etl,
+    run_reports,
+    stamp_date,
+)
 from adtally.schema import DATED_LOG_SCHEMA, ENRICHED_SCHEMA
 from adtally.session import scratch_path, unique_name
 from adtally.sinks import upsert_partitions, write_partitions, write_table_partitions
@@ -199,6 +206,17 @@ def q_stream_etl(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(ENRICHED_SCHEMA).parquet(out)
 
 
+def q_etl_reports_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both jobs end to end: JSON log -> run_etl into a catalog table ->
+    run_reports for one day -> the upserted region KPI report, read back."""
+    table = unique_name("adtally_fact")
+    run_etl(spark, _json_log(spark, sf_dir), fx.ip_dict_from(spark, sf_dir), table,
+            to_table=True, log_schema=DATED_LOG_SCHEMA, stamp=False)
+    out = scratch_path(spark, "reports")
+    reports = run_reports(spark, table, fx.DAY, outputs={"kpi_region": out})
+    return spark.read.schema(reports["kpi_region"].schema).parquet(out)
+
+
 def q_daily_kpi_region(spark: SparkSession, sf_dir: str) -> DataFrame:
     return daily_reports(_enriched_day(spark, sf_dir), fx.DAY)["kpi_region"]
 
@@ -250,6 +268,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "daily_distribution": q_daily_distribution,
         "daily_kpi_channel": q_daily_kpi_channel,
         "stream_etl": q_stream_etl,
+        "etl_reports_day": q_etl_reports_day,
     }
 
 
@@ -435,4 +454,5 @@ UNION ALL SELECT p.province, p.city, p.count, '{fx.DAY}' FROM prev p
         "daily_distribution": _distribution_sql(fx.DAY, _DAY),
         "daily_kpi_channel": _kpi_sql("channelid", strict, fx.DAY, _DAY),
         "stream_etl": fx.with_fixtures(f"SELECT {_ENRICHED_COLS} FROM enriched"),
+        "etl_reports_day": _kpi_sql("province, city", strict, fx.DAY, _DAY),
     }
