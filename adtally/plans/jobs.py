@@ -40,6 +40,7 @@ def run_etl(
     log_schema=RAW_LOG_SCHEMA,
     stamp: bool = True,
     table_format: str = "parquet",
+    mode: str = "PERMISSIVE",
     **lookup,
 ) -> DataFrame:
     """JSON log -> IP enrichment -> date stamp -> rerun-safe partitioned write.
@@ -47,9 +48,11 @@ def run_etl(
     ``output`` is a parquet path, or a catalog table name with
     ``to_table=True`` (``table_format='hive'`` for a Hive-format table on a
     session with Hive support). ``stamp=False`` keeps a ``date_str`` already
-    in the log. Returns the enriched DataFrame that was written.
+    in the log. ``mode`` is the JSON parse mode (PERMISSIVE keeps a malformed
+    line as a row of NULLs, DROPMALFORMED drops it, FAILFAST fails the job).
+    Returns the enriched DataFrame that was written.
     """
-    log = read_ad_log(spark, log_path, schema=log_schema)
+    log = read_ad_log(spark, log_path, schema=log_schema, mode=mode)
     enriched = enrich_ips(log, ip_dictionary, **lookup)
     if stamp:
         enriched = stamp_date(enriched, run_date)

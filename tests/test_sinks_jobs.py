@@ -178,3 +178,23 @@ def test_upsert_into_catalog_table(spark, enriched):
     upsert_partitions(d, table, ["province", "city"], is_table=True)
     back = spark.read.table(table)
     assert _rows(back) == _rows(d)
+
+
+def test_json_schema_inference_sorts_columns(spark):
+    path = scratch_path(spark, "t-json-infer")
+    fx.ad_log_from(spark, SF001).drop("ip_num").write.json(path)
+    inferred = read_ad_log(spark, path, schema=None)
+    assert inferred.columns == sorted(inferred.columns)  # inference orders by name
+    assert inferred.count() == 1000
+    assert dict(inferred.dtypes)["requestmode"] == "bigint"
+
+
+def test_etl_parse_mode(spark):
+    log = scratch_path(spark, "t-mode")
+    spark.createDataFrame([('{"uuid":"a","ip":"1.2.3.4"}',), ("not json",)], "value string").write.text(log)
+    d = fx.ip_dict_from(spark, SF001)
+    kept = run_etl(spark, log, d, scratch_path(spark, "t-mode-out"), run_date="2024-02-01")
+    assert kept.count() == 2
+    dropped = run_etl(spark, log, d, scratch_path(spark, "t-mode-out2"), run_date="2024-02-01",
+                      mode="DROPMALFORMED")
+    assert dropped.count() == 1
