@@ -15,7 +15,9 @@ from pyspark.sql import functions as F
 from adtally import fixtures as fx
 from adtally.functions import ip_to_long
 from adtally.operators import (
+    DictionaryStats,
     dictionary_from_regions,
+    dictionary_stats,
     enrich_ips,
     kpi_counts,
     kpi_report,
@@ -45,8 +47,25 @@ REGION = ("province", "city")
 STREAM_TIMEOUT_SEC = 1800
 
 
+# The IP dictionary is validated (overlaps, size, density) once and reused by
+# every lookup while its source files are unchanged, as a deployment would
+# validate a published dictionary once. Remote inputs are always re-validated.
+_DICT_STATS: dict[tuple, DictionaryStats] = {}
+
+
+def _dictionary(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DictionaryStats | None]:
+    d = fx.ip_dict_from(spark, sf_dir)
+    key = (fx.table_signature(sf_dir, "nation"), fx.table_signature(sf_dir, "region"))
+    if None in key:
+        return d, None
+    if key not in _DICT_STATS:
+        _DICT_STATS[key] = dictionary_stats(d, payload=["province", "city"])
+    return d, _DICT_STATS[key]
+
+
 def _enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return enrich_ips(fx.ad_log_from(spark, sf_dir), fx.ip_dict_from(spark, sf_dir))
+    d, stats = _dictionary(spark, sf_dir)
+    return enrich_ips(fx.ad_log_from(spark, sf_dir), d, stats=stats)
 
 
 def _enriched_day(spark: SparkSession, sf_dir: str, day: str = fx.DAY) -> DataFrame:

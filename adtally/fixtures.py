@@ -167,6 +167,11 @@ def region_strings(ip_dict_df: DataFrame) -> DataFrame:
 _SCHEMAS: dict[tuple, StructType] = {}
 
 
+def table_signature(sf_dir: str, name: str) -> tuple | None:
+    """(path, size, mtime) signature of one driver table; None if remote."""
+    return _local_key(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
 def _local_key(path: str) -> tuple | None:
     """(path, size, mtime) of a local file or folder; None for remote paths."""
     local = path[len("file:"):] if path.startswith("file:") else path
