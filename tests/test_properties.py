@@ -1,6 +1,6 @@
 """Property tests (hypothesis) for the IP codec and the range lookup."""
 
-from hypothesis import given, settings
+from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 from adtally.functions import ip_to_long, long_to_ip
@@ -9,7 +9,7 @@ from adtally.operators import range_lookup
 IP = st.integers(min_value=0, max_value=(1 << 32) - 1)
 
 
-@settings(max_examples=5, deadline=None)
+@settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
 @given(st.lists(IP, min_size=1, max_size=200))
 def test_ip_round_trip(spark, nums):
     df = spark.createDataFrame([(n,) for n in nums], "n bigint")
@@ -17,7 +17,7 @@ def test_ip_round_trip(spark, nums):
     assert all(r["m"] == r["n"] for r in back)
 
 
-@settings(max_examples=5, deadline=None)
+@settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
 @given(
     st.lists(IP, min_size=2, max_size=60, unique=True),
     st.lists(IP, min_size=1, max_size=200),
