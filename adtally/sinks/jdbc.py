@@ -25,6 +25,12 @@ def jdbc_append(
     df.write.mode("append").jdbc(url, table, properties=dict(properties))
 
 
+def with_null_key(df: DataFrame, keys: Sequence[str], placeholder: str) -> DataFrame:
+    """Replace NULL in the string key columns by ``placeholder``."""
+    string_keys = [f.name for f in df.schema.fields if f.name in keys and f.dataType.typeName() == "string"]
+    return df.fillna(placeholder, subset=string_keys) if string_keys else df
+
+
 def merge_statement(target: str, staging: str, keys: Sequence[str], columns: Sequence[str]) -> str:
     """ANSI MERGE from ``staging`` into ``target`` on ``keys``."""
     on = " AND ".join(f"t.{k} = s.{k}" for k in keys)
@@ -47,6 +53,7 @@ def jdbc_upsert(
     properties: Mapping[str, str],
     staging_table: str | None = None,
     merge_sql: str | None = None,
+    null_key: str | None = None,
 ) -> None:
     """Stage with Spark's JDBC writer, then MERGE by ``keys`` in the database.
 
@@ -55,12 +62,14 @@ def jdbc_upsert(
     only public Spark API. The statement is idempotent (re-merging the same
     staging rows changes nothing), so a retried task is harmless.
 
-    Key columns must be non-NULL in a database key; map NULL dimensions to a
-    placeholder (e.g. ``coalesce(province, 'unknown')``) before calling.
+    Key columns must be non-NULL in a database key: ``null_key`` (e.g.
+    ``"unknown"``) replaces NULL in string key columns before staging.
     ``merge_sql`` overrides the generated statement (e.g. a MySQL
     ``INSERT ... SELECT ... ON DUPLICATE KEY UPDATE``).
     """
     staging = staging_table or f"{table}_staging"
+    if null_key is not None:
+        df = with_null_key(df, keys, null_key)
     df.write.mode("overwrite").jdbc(url, staging, properties=dict(properties))
     statement = merge_sql or merge_statement(table, staging, keys, df.columns)
     reader = df.sparkSession.read.format("jdbc").option("url", url)

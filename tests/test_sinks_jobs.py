@@ -198,3 +198,11 @@ def test_etl_parse_mode(spark):
     dropped = run_etl(spark, log, d, scratch_path(spark, "t-mode-out2"), run_date="2024-02-01",
                       mode="DROPMALFORMED")
     assert dropped.count() == 1
+
+
+def test_null_key_placeholder(spark):
+    from adtally.sinks.jdbc import with_null_key
+
+    df = spark.createDataFrame([(None, "c", 1), ("p", None, 2)], "province string, city string, count bigint")
+    out = with_null_key(df, ["province", "city"], "unknown").collect()
+    assert [tuple(r) for r in out] == [("unknown", "c", 1), ("p", "unknown", 2)]
