@@ -206,3 +206,11 @@ def test_null_key_placeholder(spark):
     df = spark.createDataFrame([(None, "c", 1), ("p", None, 2)], "province string, city string, count bigint")
     out = with_null_key(df, ["province", "city"], "unknown").collect()
     assert [tuple(r) for r in out] == [("unknown", "c", 1), ("p", "unknown", 2)]
+
+
+def test_daily_reports_loose_rules_match_individual(spark, enriched):
+    day = enriched.where(F.col("date_str") == fx.DAY)
+    reps = daily_reports(day, fx.DAY, rules="loose")
+    single = kpi_report(day, ("appname",), rules="loose", report_date=fx.DAY)
+    assert reps["kpi_app"].columns == single.columns  # date first under the loose form
+    assert _rows(reps["kpi_app"]) == _rows(single)
