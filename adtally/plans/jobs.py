@@ -41,6 +41,7 @@ def run_etl(
     stamp: bool = True,
     table_format: str = "parquet",
     mode: str = "PERMISSIVE",
+    rebalance: bool = False,
     **lookup,
 ) -> DataFrame:
     """JSON log -> IP enrichment -> date stamp -> rerun-safe partitioned write.
@@ -50,7 +51,8 @@ def run_etl(
     session with Hive support). ``stamp=False`` keeps a ``date_str`` already
     in the log. ``mode`` is the JSON parse mode (PERMISSIVE keeps a malformed
     line as a row of NULLs, DROPMALFORMED drops it, FAILFAST fails the job).
-    Returns the enriched DataFrame that was written.
+    ``rebalance=True`` sizes output files per day for multi-day backfills
+    (see :func:`write_partitions`). Returns the enriched DataFrame written.
     """
     log = read_ad_log(spark, log_path, schema=log_schema, mode=mode)
     enriched = enrich_ips(log, ip_dictionary, **lookup)
@@ -60,7 +62,7 @@ def run_etl(
     if to_table:
         write_table_partitions(enriched, output, fmt=table_format)
     else:
-        write_partitions(enriched, output)
+        write_partitions(enriched, output, rebalance=rebalance)
     return enriched
 
 

@@ -26,8 +26,18 @@ def write_partitions(
     partition_cols: Sequence[str] = ("date_str",),
     fmt: str = "parquet",
     max_records_per_file: int | None = None,
+    rebalance: bool = False,
 ) -> None:
-    """Overwrite only the partitions present in ``df`` under ``path``."""
+    """Overwrite only the partitions present in ``df`` under ``path``.
+
+    ``rebalance=True`` (for multi-day backfills) adds Spark's ``rebalance``
+    hint on the partition columns: one shuffle, after which AQE splits a hot
+    day into advisory-size pieces and merges small ones, so the output has a
+    few right-sized files per day instead of one per task per day. A daily
+    load (one day per run) does not need it and keeps the write shuffle-free.
+    """
+    if rebalance:
+        df = df.hint("rebalance", *partition_cols)
     writer = (
         df.write.format(fmt)
         .mode("overwrite")

@@ -214,3 +214,16 @@ def test_daily_reports_loose_rules_match_individual(spark, enriched):
     single = kpi_report(day, ("appname",), rules="loose", report_date=fx.DAY)
     assert reps["kpi_app"].columns == single.columns  # date first under the loose form
     assert _rows(reps["kpi_app"]) == _rows(single)
+
+
+def test_rebalanced_backfill_write(spark, enriched):
+    import glob
+
+    plain, balanced = scratch_path(spark, "t-plain"), scratch_path(spark, "t-rebal")
+    write_partitions(enriched, plain)
+    write_partitions(enriched, balanced, rebalance=True)
+    n_plain = len(glob.glob(plain.replace("file:", "") + "/date_str=*/*.parquet"))
+    n_bal = len(glob.glob(balanced.replace("file:", "") + "/date_str=*/*.parquet"))
+    assert n_bal <= n_plain
+    schema = enriched.select(*[c for c in enriched.columns if c != "date_str"], "date_str").schema
+    assert _rows(spark.read.schema(schema).parquet(balanced)) == _rows(spark.read.schema(schema).parquet(plain))
