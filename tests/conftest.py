@@ -20,6 +20,7 @@ def spark():
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.driver.memory", "4g")  # one JVM runs every test
         .getOrCreate()
     )
     s.sparkContext.setLogLevel("ERROR")
