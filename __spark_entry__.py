@@ -229,8 +229,9 @@ def q_etl_reports_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both jobs end to end: JSON log -> run_etl into a catalog table ->
     run_reports for one day -> the upserted region KPI report, read back."""
     table = unique_name("adtally_fact")
-    run_etl(spark, _json_log(spark, sf_dir), fx.ip_dict_from(spark, sf_dir), table,
-            to_table=True, log_schema=DATED_LOG_SCHEMA, stamp=False)
+    d, stats = _dictionary(spark, sf_dir)
+    run_etl(spark, _json_log(spark, sf_dir), d, table, to_table=True, log_schema=DATED_LOG_SCHEMA,
+            stamp=False, table_path=scratch_path(spark, "fact"), stats=stats)
     out = scratch_path(spark, "reports")
     reports = run_reports(spark, table, fx.DAY, outputs={"kpi_region": out})
     return spark.read.schema(reports["kpi_region"].schema).parquet(out)

@@ -42,6 +42,7 @@ def run_etl(
     table_format: str = "parquet",
     mode: str = "PERMISSIVE",
     rebalance: bool = False,
+    table_path: str | None = None,
     **lookup,
 ) -> DataFrame:
     """JSON log -> IP enrichment -> date stamp -> rerun-safe partitioned write.
@@ -52,7 +53,8 @@ def run_etl(
     in the log. ``mode`` is the JSON parse mode (PERMISSIVE keeps a malformed
     line as a row of NULLs, DROPMALFORMED drops it, FAILFAST fails the job).
     ``rebalance=True`` sizes output files per day for multi-day backfills
-    (see :func:`write_partitions`). Returns the enriched DataFrame written.
+    (see :func:`write_partitions`); ``table_path`` places a new catalog table
+    (default: the session's warehouse). Returns the enriched DataFrame written.
     """
     log = read_ad_log(spark, log_path, schema=log_schema, mode=mode)
     enriched = enrich_ips(log, ip_dictionary, **lookup)
@@ -60,7 +62,7 @@ def run_etl(
         enriched = stamp_date(enriched, run_date)
     enriched = enriched.select(*ENRICHED_SCHEMA.fieldNames())
     if to_table:
-        write_table_partitions(enriched, output, fmt=table_format)
+        write_table_partitions(enriched, output, fmt=table_format, path=table_path)
     else:
         write_partitions(enriched, output, rebalance=rebalance)
     return enriched
