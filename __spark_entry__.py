@@ -42,6 +42,15 @@ from adtally.sinks import upsert_partitions, write_partitions, write_table_parti
 from adtally.sources import read_ad_log, read_day
 from adtally.streaming import start_etl_stream
 
+# The training-data operators and their pipeline are an optional part.
+try:
+    import corpus_pipeline
+    from adtally.llm import queries as llm_queries
+except ModuleNotFoundError as missing:
+    if missing.name not in ("corpus_pipeline", "adtally.llm"):
+        raise
+    corpus_pipeline = llm_queries = None
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 REGION = ("province", "city")
 STREAM_TIMEOUT_SEC = 1800
@@ -255,6 +264,13 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    found = _reference_queries()
+    if llm_queries is not None:
+        found |= llm_queries.queries() | {"pipeline": corpus_pipeline.run}
+    return found
+
+
+def _reference_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "ip_enrich": q_ip_enrich,
         "ip_to_long": q_ip_to_long,
@@ -398,6 +414,15 @@ _DAY = f"date_str = '{fx.DAY}'"
 
 
 def oracle_sql() -> dict[str, str]:
+    found = _reference_oracle_sql()
+    if llm_queries is not None:
+        found |= llm_queries.oracle_sql()
+        if corpus_pipeline.ORACLE_SQL is not None:
+            found["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return found
+
+
+def _reference_oracle_sql() -> dict[str, str]:
     strict, loose = _STRICT_MEASURES, _LOOSE_MEASURES
     all_days = fx.ALL_DAYS_REPORT_DATE
     return {
