@@ -3,17 +3,24 @@ decontamination, redaction of personal data, token ids.
 
 ``STAGES`` lists (name, function); each function takes (spark, docs, sf_dir)
 and returns a DataFrame that is written as Parquet and reread as the next one's
-documents. All but the last return the columns of ``documents``.
+documents. All but the last return the columns of ``documents``; the last
+returns doc_id, n_tokens and the digests of the ids and of the decoded text.
 """
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from adtally.llm import decontam, near_dups
+from adtally.llm import bpe, decontam, near_dups, pii, quality
 from adtally.llm.common import materialize, table
 
 
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the base rules or the line frequency reject go."""
+    return quality.keep_documents(docs)
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays."""
     return near_dups.drop_near_duplicates(docs)
@@ -24,18 +31,31 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return decontam.drop_leaking(docs, table(spark, sf_dir, "benchmark"))
 
 
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Spans of personal data are replaced by their kind; n_chars follows."""
+    return pii.redact(docs)
+
+
+def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every text encoded and decoded again."""
+    return bpe.round_trip_digests(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
 STAGES = [
+    ("quality_rules", quality_rules),
     ("near_duplicates", near_duplicates),
     ("decontaminate", decontaminate),
+    ("personal_data", personal_data),
+    ("token_ids", token_ids),
 ]
 
-#: SQL cannot express the minwise and hashing stages; tests hold the pipeline
-#: against brute-force versions instead.
+#: SQL cannot express the minwise, hashing and encoding stages; tests hold the
+#: pipeline against brute-force versions instead.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES:
+    for name, stage in STAGES[:-1]:
         docs = materialize(stage(spark, docs, sf_dir), f"pipeline-{name}")
-    return docs
+    return STAGES[-1][1](spark, docs, sf_dir)
