@@ -14,7 +14,7 @@ from adtally.session import scratch_path
 
 #: Bytes of text that one vectorised step holds at a time; a longer single
 #: text forms a step of its own.
-STEP_BYTES = 4 << 20
+STEP_BYTES = 2 << 20
 #: Rows of a side that may be broadcast; beyond it the join shuffles.
 BROADCAST_ROWS = 300_000
 

@@ -12,11 +12,12 @@ equal to their weighted Jaccard similarity. Points after the time by which all
 registers are taken never need to be drawn, which makes long texts cheap.
 
 Bands of the signature make buckets. Exact copies are one node from the start;
-a bucket of any size gives one link per member (to its leader), never all
-pairs. Links are verified on the full shingle multisets. Where a bucket still
-holds several components, every member outside its largest component is
-compared with the members of the others, so that a link is not lost because
-its ends met a leader they do not resemble.
+a bucket of any size gives one candidate per member, with its leader, never all
+pairs. Leaders are the members with most meetings, so that a text finds the one
+it was copied from. Candidates are verified on the full shingle multisets. Where
+a bucket then still holds several components, its next leaders are compared with
+the members of other components: all pairs of a bucket of up to ``LEADERS + 1``
+members, and a number of pairs in proportion to its size in a larger one.
 
 Defined results: a null text is empty; words are lower-case alphanumeric runs;
 a text of one to four words is one shingle; texts without words are copies only
@@ -32,7 +33,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from adtally.llm.common import materialize, sized_broadcast, steps
@@ -47,6 +48,8 @@ REGISTERS = BANDS * ROWS
 #: A pair between components is verified if this many registers agree; at
 #: similarity 0.8 (76.8 of 96 expected) it is missed with probability 1e-6.
 LEAST_AGREE = 57
+#: Leaders of a bucket that still holds several components.
+LEADERS = 8
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -189,14 +192,20 @@ def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: st
     signed = materialize(rows.select("fp", "text").mapInArrow(_sign, "fp string, bands array<long>, sketch binary, shingles long")
                          .where("shingles > 0").dropDuplicates(["fp"]), "signed")
     members = signed.select("fp", F.explode("bands").alias("band"))
-    leaders = members.groupBy("band").agg(F.min("fp").alias("leader"), F.max("fp").alias("other")).where("leader <> other").drop("other")
-    met = materialize(members.join(leaders, "band").select("band", "fp", "leader"), "buckets")
-    pairs = materialize(met.where("fp <> leader").select(F.col("leader").alias("a"), F.col("fp").alias("b")).distinct(), "pairs")
-    needed = materialize(pairs.select(F.explode(F.array("a", "b")).alias("fp")).distinct(), "needed")
+    sizes = members.groupBy("band").agg(F.count("*").alias("size")).where("size > 1")
+    held = materialize(members.join(sizes, "band"), "buckets")
+    # the member that meets most others leads: the text that copies were made from
+    # shares more bands with them than they share with each other
+    degree = held.groupBy("fp").agg(F.sum("size").alias("degree"))
+    first = Window.partitionBy("band").orderBy(F.desc("degree"), "fp")
+    leaders = materialize(held.join(degree, "fp").withColumn("place", F.row_number().over(first)).where(f"place <= {LEADERS}")
+                          .select("band", F.col("fp").alias("leader"), "place"), "leaders")
+    pairs = materialize(_pairs(held.join(leaders.where("place = 1"), "band")), "pairs")
+    needed = materialize(held.select("fp").distinct(), "needed")
     texts = materialize(rows.select("fp", "text").join(sized_broadcast(needed), "fp", "left_semi").dropDuplicates(["fp"]), "texts")
     links = materialize(_verified(pairs, texts), "links")
     labels = materialize(components(links), "labels")
-    links = materialize(links.unionByName(_bridges(met, labels, pairs, signed, texts)), "links")
+    links = materialize(links.unionByName(_bridges(held, leaders, labels, pairs, signed, texts)), "links")
     labels = materialize(components(links), "labels")
     rooted = nodes.join(labels, "fp", "left").select("fp", "first_id", F.coalesce("root", "fp").alias("root"))
     classes = rooted.groupBy("root").agg(F.min("first_id").alias("class_id"))
@@ -204,16 +213,19 @@ def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: st
     return rows.select("doc_id", "fp").join(named, "fp").select("doc_id", "class_id", "fp", "root")
 
 
-def _bridges(met: DataFrame, labels: DataFrame, tried: DataFrame, signed: DataFrame, texts: DataFrame) -> DataFrame:
-    """Links between components that share a bucket, beyond those tried."""
-    labelled = met.join(labels, "fp", "left").select("band", "fp", F.coalesce("root", "fp").alias("root"))
-    sizes = labelled.groupBy("band", "root").agg(F.count("*").alias("n"))
-    mixed = (sizes.groupBy("band").agg(F.max(F.struct("n", "root")).alias("largest"), F.count("*").alias("roots"))
-             .where("roots > 1").select("band", F.col("largest.root").alias("largest")))
-    held = materialize(labelled.join(mixed, "band"), "mixed")
-    outside = held.where("root <> largest").select("band", F.col("fp").alias("x"), F.col("root").alias("rx"))
-    pairs = (held.join(outside, "band").where("root <> rx").select(F.least("fp", "x").alias("a"), F.greatest("fp", "x").alias("b"))
-             .distinct().join(tried, ["a", "b"], "left_anti"))
+def _pairs(met: DataFrame) -> DataFrame:
+    """Distinct pairs (a < b) of members and leaders."""
+    return (met.where("fp <> leader").select(F.least("fp", "leader").alias("a"), F.greatest("fp", "leader").alias("b")).distinct())
+
+
+def _bridges(held: DataFrame, leaders: DataFrame, labels: DataFrame, tried: DataFrame, signed: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links between components that share a bucket: its further leaders meet
+    its members of other components."""
+    labelled = materialize(held.join(labels, "fp", "left").select("band", "fp", F.coalesce("root", "fp").alias("root")), "labelled")
+    mixed = labelled.groupBy("band").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 <> r1").select("band")
+    inside = labelled.join(mixed, "band", "left_semi")
+    named = leaders.join(labels, leaders["leader"] == labels["fp"], "left").select("band", "leader", F.coalesce("root", "leader").alias("leader_root"))
+    pairs = _pairs(inside.join(named, "band").where("root <> leader_root")).join(tried, ["a", "b"], "left_anti")
     sketches = signed.select("fp", "sketch")
     pairs = (pairs.join(sketches.select(F.col("fp").alias("a"), F.col("sketch").alias("sa")), "a")
              .join(sketches.select(F.col("fp").alias("b"), F.col("sketch").alias("sb")), "b")

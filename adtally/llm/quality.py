@@ -114,30 +114,32 @@ def _depleted(n_words: Column, gone: Column) -> Column:
     return (n_words - gone < LEAST_WORDS) & (100 * gone > DEPLETED_PERCENT * n_words)
 
 
-def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source") -> DataFrame:
-    """One row per row of ``docs``: doc_id, the metrics, base_failed,
-    boilerplate_words, kept."""
+def _judged(docs: DataFrame, id_col: str, text_col: str, host_col: str) -> DataFrame:
     gone = boilerplate_words(docs, id_col, text_col, host_col).select(
         F.col("host").alias("_h"), F.col("doc_id").alias("_i"), F.col("key").alias("_k"), "boilerplate_words")
     rows = with_metrics(_rows(docs, id_col, text_col, host_col)).drop("_text")
     same = (F.col("key") == F.col("_k")) & F.col("doc_id").eqNullSafe(F.col("_i")) & F.col("host").eqNullSafe(F.col("_h"))
     joined = rows.join(gone, same, "left").withColumn("boilerplate_words", F.coalesce("boilerplate_words", F.lit(0)).cast("long"))
-    return joined.select("doc_id", *_METRICS, "base_failed", "boilerplate_words",
-                         (~F.col("base_failed") & ~_depleted(F.col("n_words"), F.col("boilerplate_words"))).alias("kept"))
+    return joined.withColumn("kept", ~F.col("base_failed") & ~_depleted(F.col("n_words"), F.col("boilerplate_words")))
+
+
+def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source") -> DataFrame:
+    """One row per row of ``docs``: doc_id, the metrics, base_failed,
+    boilerplate_words, kept."""
+    return _judged(docs, id_col, text_col, host_col).select("doc_id", *_METRICS, "base_failed", "boilerplate_words", "kept")
 
 
 def keep_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source") -> DataFrame:
     """The rows of ``docs`` that the rules keep, with all columns."""
+    # written first: a filter on the verdict would be pushed below the metrics
+    # and would have their arrays computed again inside its lambdas
+    judged = materialize(_judged(docs, id_col, text_col, host_col).select("host", "doc_id", "key", "kept"), "judged")
+    rejected = judged.where("not kept").select(F.col("host").alias("_h"), F.col("doc_id").alias("_i"), F.col("key").alias("_k")).distinct()
     names = {c: f"_in_{i}" for i, c in enumerate(docs.columns)}
     renamed = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in names.items()])
-    text = F.coalesce(F.col(names[text_col]).cast("string"), F.lit(""))
-    passed = with_metrics(renamed.withColumn("_text", text)).where(~F.col("base_failed")).withColumn("_key", F.xxhash64("_text"))
-    gone = boilerplate_words(docs, id_col, text_col, host_col).where(F.col("boilerplate_words") > 0)
-    gone = materialize(gone.select(F.col("host").alias("_h"), F.col("doc_id").alias("_i"), F.col("key").alias("_k"), "boilerplate_words"), "boilerplate-words")
-    # only documents that can be depleted meet the join's other side
-    same = ((F.col("_key") == F.col("_k")) & F.col(names[id_col]).eqNullSafe(F.col("_i"))
-            & F.col(names[host_col]).cast("string").eqNullSafe(F.col("_h")) & _depleted(F.col("n_words"), F.col("boilerplate_words")))
-    kept = passed.join(sized_broadcast(gone), same, "left_anti")
+    same = ((F.xxhash64(F.coalesce(F.col(names[text_col]).cast("string"), F.lit(""))) == F.col("_k")) & F.col(names[id_col]).eqNullSafe(F.col("_i"))
+            & F.col(names[host_col]).cast("string").eqNullSafe(F.col("_h")))
+    kept = renamed.join(sized_broadcast(rejected), same, "left_anti")
     return kept.select(*[F.col(n).alias(c) for c, n in names.items()])
 
 
