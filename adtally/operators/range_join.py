@@ -12,16 +12,17 @@ typical range touches one or two buckets and a probe meets few candidates:
   its own size plus a constant, independent of the event volume;
 * the event side is never shuffled when the dictionary fits the broadcast
   budget (size is *measured*, not assumed);
-* above the budget the join shuffles on (bucket, salt): events take a
-  deterministic salt from a hash of the whole row and the dictionary is
-  replicated once per salt, so one hot IP (or the NULL key) is spread over
-  ``salt_buckets`` tasks instead of landing in one.
+* above the budget the join shuffles on (bucket, salt): the buckets that hold
+  more than one task's share of the events are measured, and only those are
+  salted, with as many salts as they hold shares (the dictionary's rows of the
+  bucket are replicated once per salt); rows with a NULL key match nothing and
+  are spread over buckets that no range has;
 
 * a bucket touched by more than ``dense_ranges`` ranges (a dense region of
-  narrow ranges) is re-exploded 2^6 times finer, level by level; a probe
-  finds its level through small broadcast joins against the refined bucket
-  sets, so no probe meets more than ``dense_ranges`` candidates and no
-  candidate is ever dropped.
+  narrow ranges, measured at the width in use) is re-exploded 2^6 times finer,
+  level by level, once, and checkpointed; a probe finds its level through joins
+  against the refined bucket sets, so no probe meets more than ``dense_ranges``
+  candidates and no candidate is ever dropped.
 
 Ranges must not overlap (a key would match twice and duplicate its row); the
 check runs as one distributed job over the dictionary, which also measures
@@ -31,13 +32,14 @@ its size and the per-bucket density that decide the plan.
 from __future__ import annotations
 
 import logging
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import MapType
+from pyspark.sql.types import ArrayType, DataType, MapType, StructType
 
 from adtally.errors import OverlappingRangesError
+from adtally.session import shared_dir
 
 # IPv4 keys live in [0, 2^32).
 KEY_DOMAIN_BITS = 32
@@ -46,7 +48,6 @@ BUCKET_BITS_CHOICES = (8, 10, 12, 14, 16, 18, 20, 22, 24)
 # Buckets of the validation pass (independent of the lookup's width):
 # at most n_ranges + 2^12 exploded rows.
 CHECK_BUCKET_BITS = 20
-DEFAULT_SALT_BUCKETS = 16
 # A bucket touched by more ranges than this is re-exploded 2^REFINE_BITS
 # times finer (recursively), so a probe never meets more candidates.
 DEFAULT_DENSE_RANGES = 32
@@ -69,21 +70,8 @@ class DictionaryStats:
     wide_ranges: dict  # bucket bits -> ranges at least 2^bits wide
     payload_bytes: int
     exploded_rows: dict  # bucket bits -> rows after exploding at that width
-    max_in_check_bucket: int = 0  # most ranges touching one 2^CHECK_BUCKET_BITS bucket
-
-    def bucket_bound(self, bits: int) -> int:
-        """Upper bound on the ranges touching one 2^bits-wide bucket."""
-        coarse = self.max_in_check_bucket << max(0, bits - CHECK_BUCKET_BITS)
-        return min(coarse, 1 << bits)  # disjoint ranges each hold a key of the bucket
-
-    def refinement_levels(self, bits: int, dense: int) -> list[int]:
-        """Bucket widths of the finer levels needed so that no probe meets more
-        than ``dense`` candidates: each level is 2^REFINE_BITS times finer."""
-        levels = []
-        while bits > 0 and self.bucket_bound(bits) > dense:
-            bits = max(0, bits - REFINE_BITS)
-            levels.append(bits)
-        return levels
+    # bucket bits -> most ranges touching one bucket, where measured
+    density: dict = field(default_factory=dict)
 
     def bucket_bits(self, max_bytes: int | None = None) -> int:
         """Bucket width ~ the median range width: a typical range touches one
@@ -143,7 +131,7 @@ def dictionary_stats(
     """
     payload = list(payload or [])
     lo, hi = f"CAST(`{start}` AS BIGINT)", f"CAST(`{end}` AS BIGINT)"
-    nbytes = " + ".join([f"coalesce(length(`{c}`), 0)" for c in payload] or ["0"])
+    nbytes = " + ".join([f"coalesce(octet_length(`{c}`), 0)" for c in payload] or ["0"])
     ok = f"{_LO} IS NOT NULL AND {_HI} IS NOT NULL AND {_LO} <= {_HI} AND {_LO} >= 0 AND {_HI} < {1 << KEY_DOMAIN_BITS}"
     cb = CHECK_BUCKET_BITS
     # The first bucket of each valid range stands for the range itself.
@@ -165,13 +153,11 @@ def dictionary_stats(
         .selectExpr(
             "*",
             f"CASE WHEN _ok THEN lag({_HI}) OVER (PARTITION BY {_B} ORDER BY {_LO}, {_HI}) END AS _prev_end",
-            f"CASE WHEN _ok THEN count(1) OVER (PARTITION BY {_B}) END AS _in_bucket",
         )
         .selectExpr(
             f"count_if({first}) AS ranges",
             "count_if(NOT _ok) AS malformed",
             f"count_if(_prev_end >= {_LO}) AS overlaps",
-            "max(_in_bucket) AS max_in_bucket",
             *[
                 f"count_if({first} AND {_HI} - {_LO} + 1 >= {1 << b}) AS wide_{b}"
                 for b in widths
@@ -181,15 +167,38 @@ def dictionary_stats(
         )
         .first()
     )
-    return DictionaryStats(
+    stats = DictionaryStats(
         ranges=int(row["ranges"] or 0),
         malformed=int(row["malformed"] or 0),
         overlaps=int(row["overlaps"] or 0),
-        max_in_check_bucket=int(row["max_in_bucket"] or 0),
         wide_ranges={b: int(row[f"wide_{b}"] or 0) for b in widths},
         payload_bytes=int(row["bytes"] or 0),
         exploded_rows={b: int(row[f"rows_{b}"] or 0) for b in widths},
     )
+    if not stats.overlaps and not stats.malformed:
+        bits = stats.bucket_bits()
+        stats.density[bits] = max_touching(ranges, start, end, bits)
+    return stats
+
+
+def max_touching(ranges: DataFrame, start: str, end: str, bits: int) -> int:
+    """Most ranges that touch one 2^bits-wide bucket (one aggregation)."""
+    counts = explode_ranges(ranges, start, end, [], bits).groupBy(_B).agg(F.count(F.lit(1)).alias("_n"))
+    return int(counts.agg(F.max("_n")).first()[0] or 0)
+
+
+def refinement_levels(ranges: DataFrame, start: str, end: str, bits: int, dense: int, stats: DictionaryStats | None) -> list[int]:
+    """Widths of the finer levels needed so that no probe meets more than
+    ``dense`` candidates, each 2^REFINE_BITS times finer, by measuring each."""
+    levels: list[int] = []
+    known = stats.density if stats is not None else {}
+    while True:
+        if bits not in known:
+            known[bits] = max_touching(ranges, start, end, bits)
+        if bits == 0 or known[bits] <= dense:
+            return levels
+        bits = max(0, bits - REFINE_BITS)
+        levels.append(bits)
 
 
 def range_lookup(
@@ -202,7 +211,6 @@ def range_lookup(
     bucket_bits: int | None = None,
     broadcast: bool | None = None,
     max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES,
-    salt_buckets: int = DEFAULT_SALT_BUCKETS,
     validate: bool = True,
     dense_ranges: int = DEFAULT_DENSE_RANGES,
     refine: list[int] | None = None,
@@ -216,8 +224,7 @@ def range_lookup(
     median range width. ``broadcast=None`` broadcasts the exploded dictionary
     only if its measured size fits ``max_broadcast_bytes``; True/False force
     the strategy. Buckets that more than ``dense_ranges`` ranges touch are
-    refined to finer widths (``refine``; by default derived from the
-    validation job's bound), so no probe meets more candidates than that,
+    refined to finer widths (``refine``; by default measured), so no probe meets more candidates than that,
     whatever the dictionary's density; no candidate is ever dropped. With
     ``validate=False`` and width, strategy and ``refine`` fixed, no job runs
     here. ``stats`` reuses a :func:`dictionary_stats` result (computed with the
@@ -245,7 +252,7 @@ def range_lookup(
         if bucket_bits is None:
             bucket_bits = stats.bucket_bits(None if broadcast is False else max_broadcast_bytes)
         if refine is None:
-            refine = stats.refinement_levels(bucket_bits, dense_ranges)
+            refine = refinement_levels(ranges, start, end, bucket_bits, dense_ranges, stats)
         if broadcast is None:
             # Each refined bucket adds at most 2^REFINE_BITS rows per level
             # beyond the ranges it holds, and there are at most rows/dense
@@ -257,7 +264,7 @@ def range_lookup(
         log.info(
             "range lookup: %d ranges, buckets of 2^%d, %s, refinement levels %s, "
             "~%d bytes exploded",
-            stats.ranges, bucket_bits, "broadcast" if broadcast else f"salted shuffle x{salt_buckets}",
+            stats.ranges, bucket_bits, "broadcast" if broadcast else "salted shuffle",
             refine, stats.estimated_bytes(bucket_bits) if bucket_bits in stats.exploded_rows else -1,
         )
 
@@ -270,15 +277,11 @@ def range_lookup(
         .withColumn(_LV, F.lit(0))
     )
     if refine:
-        dim, probe = _refine(dim, probe, bucket_bits, refine, dense_ranges)
+        dim, probe = _refine(dim, probe, bucket_bits, refine, dense_ranges, max_broadcast_bytes)
 
     on_cols = [_LV, _B]
     if not broadcast:
-        # Deterministic salt (a task retry recomputes the same value) from
-        # the whole row, so one hot key -- or the NULL key -- spreads out.
-        hashable = [f.name for f in events.schema.fields if not isinstance(f.dataType, MapType)]
-        probe = probe.withColumn(_S, F.pmod(F.xxhash64(*[F.col(c) for c in hashable]), F.lit(salt_buckets)))
-        dim = dim.withColumn(_S, F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salt_buckets - 1).cast("bigint"))))
+        probe, dim = _salted(events, probe, dim)
         on_cols.append(_S)
     # Unique names on the dictionary side: the refined parts all derive from
     # one dataset, so references must be by name, not by DataFrame.
@@ -298,16 +301,52 @@ def range_lookup(
     return joined.select(*cols, *[F.col(f"_dp{i}").alias(c) for i, c in enumerate(payload)])
 
 
-def _refine(dim: DataFrame, probe: DataFrame, bits: int, levels: list[int], dense: int):
+def _without_maps(kind: DataType) -> bool:
+    """Whether a value of the type can be hashed (Spark does not hash maps)."""
+    if isinstance(kind, MapType):
+        return False
+    if isinstance(kind, ArrayType):
+        return _without_maps(kind.elementType)
+    if isinstance(kind, StructType):
+        return all(_without_maps(f.dataType) for f in kind.fields)
+    return True
+
+
+def _salted(events: DataFrame, probe: DataFrame, dim: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Both sides with a salt for the buckets that hold more than one task's
+    share of the events. At most one bucket per shuffle partition can, so the
+    set that is broadcast is bounded by their number. A stream is not measured."""
+    spark = events.sparkSession
+    hashable = [F.col(f.name) for f in events.schema.fields if _without_maps(f.dataType)]
+    # the same value in every attempt of a task
+    spread = F.xxhash64(*hashable) if hashable else F.lit(0)
+    probe = probe.withColumn(_B, F.when(F.col("_rl_key").isNull(), -1 - F.pmod(spread, F.lit(1 << 20))).otherwise(F.col(_B)))
+    if events.isStreaming:
+        return probe.withColumn(_S, F.lit(0)), dim.withColumn(_S, F.lit(0))
+    shared_dir(spark)
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2)
+    counts = probe.where(f"{_B} >= 0").groupBy(_LV, _B).agg(F.count(F.lit(1)).alias("_n")).checkpoint(eager=True)
+    total = counts.agg(F.sum("_n")).first()[0] or 0
+    hot = counts.where(F.col("_n") * tasks > total).select(
+        F.col(_LV).alias("_h_lv"), F.col(_B).alias("_h_b"), F.ceil(F.col("_n") * tasks / F.lit(max(total, 1))).cast("int").alias("_salts"))
+    same = (F.col(_LV) == F.col("_h_lv")) & (F.col(_B) == F.col("_h_b"))
+    salts = F.coalesce("_salts", F.lit(1))
+    probe = probe.join(F.broadcast(hot), same, "left").withColumn(_S, F.pmod(spread, salts).cast("int")).drop("_h_lv", "_h_b", "_salts")
+    dim = dim.join(F.broadcast(hot), same, "left").withColumn(_S, F.explode(F.sequence(F.lit(0), salts - 1))).drop("_h_lv", "_h_b", "_salts")
+    return probe, dim
+
+
+def _refine(dim: DataFrame, probe: DataFrame, bits: int, levels: list[int], dense: int, max_bytes: int):
     """Re-explode every bucket touched by more than ``dense`` ranges at the
-    next, finer width, level by level. A probe learns its level from small
-    broadcast joins against the refined bucket sets (at most rows/dense
-    buckets each, bounded by the measured dictionary)."""
+    next, finer width, level by level. Each level is checkpointed, so the
+    dictionary is read and refined once. A probe learns its level from joins
+    against the refined bucket sets, broadcast if they fit ``max_bytes``."""
+    shared_dir(dim.sparkSession)
     done = []
     level_bits = [bits, *levels]
     for lvl, (coarse, fine) in enumerate(zip(level_bits, level_bits[1:])):
-        counts = dim.groupBy(_B).agg(F.count(F.lit(1)).alias("_n"))
-        hot = counts.where(F.col("_n") > dense).select(_B)
+        dim = dim.checkpoint(eager=True)
+        hot = dim.groupBy(_B).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > dense).select(_B).checkpoint(eager=True)
         done.append(dim.join(hot, _B, "left_anti"))
         lo = F.greatest(F.col(_LO), F.shiftleft(F.col(_B), coarse))
         hi = F.least(F.col(_HI), F.shiftleft(F.col(_B) + 1, coarse) - 1)
@@ -317,9 +356,10 @@ def _refine(dim: DataFrame, probe: DataFrame, bits: int, levels: list[int], dens
             .withColumn(_LV, F.lit(lvl + 1))
         )
         marks = hot.select(F.col(_B).alias("_rl_hot"), F.lit(lvl).alias("_rl_hot_lv"))
+        small = hot.count() * _ROW_OVERHEAD_BYTES <= max_bytes
         probe = (
             probe.join(
-                F.broadcast(marks),
+                F.broadcast(marks) if small else marks,
                 (F.col(_B) == F.col("_rl_hot")) & (F.col(_LV) == F.col("_rl_hot_lv")),
                 "left",
             )
@@ -330,4 +370,4 @@ def _refine(dim: DataFrame, probe: DataFrame, bits: int, levels: list[int], dens
     out = dim
     for part in done:
         out = out.unionByName(part)
-    return out, probe
+    return out.checkpoint(eager=True), probe

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType, FractionalType
 
 
 def top_n_by_measure(df: DataFrame, key: str, measure: str, n: int = 10) -> DataFrame:
@@ -27,13 +28,14 @@ def top_n_by_total(
     measure: str,
     n: int = 10,
     total: str = "total",
-    exact_type: str | None = "decimal(18,2)",
+    exact_type: str | None = None,
 ) -> DataFrame:
     """Sum ``measure`` per ``key``, keep the ``n`` largest totals.
 
-    With ``exact_type`` each value is cast to that decimal before summing, so
-    the total does not depend on the order of summation (floating-point sums
-    do); the aggregation is partial before the shuffle either way.
+    With ``exact_type`` (which the caller chooses, as it rounds every value)
+    each value is cast to that decimal before summing, so the total does not
+    depend on the order of summation, as floating-point sums do; the
+    aggregation is partial before the shuffle either way.
     """
     value = F.col(measure).cast(exact_type) if exact_type else F.col(measure)
     agg = F.sum(value)
@@ -47,18 +49,35 @@ def top_n_by_total(
     )
 
 
+def _value_type(df: DataFrame, measures: Sequence[str]) -> str:
+    """One type that holds every measure exactly, where there is one."""
+    types = [df.schema[m].dataType for m in measures]
+    if any(isinstance(t, FractionalType) and not isinstance(t, DecimalType) for t in types):
+        return "double"
+    if not any(isinstance(t, DecimalType) for t in types):
+        return "bigint"
+    scale = max(t.scale if isinstance(t, DecimalType) else 0 for t in types)
+    whole = max(t.precision - t.scale if isinstance(t, DecimalType) else 19 for t in types)
+    return f"decimal({min(38, whole + scale)},{scale})"
+
+
 def top_n_per_measure(
-    df: DataFrame, key: str, measures: Sequence[str], n: int = 10, value_type: str = "double"
+    df: DataFrame, key: str | Sequence[str], measures: Sequence[str], n: int = 10, value_type: str | None = None
 ) -> DataFrame:
-    """One top-n list per measure column, in long form (measure, rank, key, value).
+    """One top-n list per measure column, in long form (measure, rank, key..., value).
 
-    The measures are unpivoted and ranked with ``row_number`` per measure; the
-    ``rank <= n`` filter lets Spark insert a partial window-group limit before
-    the shuffle, so each measure's partition receives at most n rows per task
-    even though a measure holds 1/len(measures) of all rows.
+    ``key`` is a column or a list of them. ``value_type`` defaults to a type
+    that keeps all measures exact (bigint, or a decimal; double only if a
+    measure is floating-point). The measures are unpivoted and ranked with
+    ``row_number`` per measure; the ``rank <= n`` filter lets Spark insert a
+    partial window-group limit before the shuffle, so each measure's partition
+    receives at most n rows per task even though a measure holds
+    1/len(measures) of all rows.
     """
+    keys = [key] if isinstance(key, str) else list(key)
+    value_type = value_type or _value_type(df, measures)
     long = df.select(
-        key,
+        *keys,
         F.explode(
             F.array(
                 *[
@@ -67,6 +86,6 @@ def top_n_per_measure(
                 ]
             )
         ).alias("mv"),
-    ).select(key, "mv.measure", "mv.value")
-    w = Window.partitionBy("measure").orderBy(F.desc_nulls_last("value"), F.asc_nulls_last(key))
+    ).select(*keys, "mv.measure", "mv.value")
+    w = Window.partitionBy("measure").orderBy(F.desc_nulls_last("value"), *[F.asc_nulls_last(k) for k in keys])
     return long.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n)

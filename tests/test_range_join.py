@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from adtally.errors import OverlappingRangesError
 from adtally.operators import dictionary_stats, range_lookup
+from adtally.operators.range_join import refinement_levels
 
 RANGES = [(0, 9, "p0", "c0"), (20, 29, "p1", "c1"), (30, 30, "p2", "c2"), (1 << 20, (1 << 21) - 1, "p3", "c3")]
 
@@ -51,11 +52,33 @@ def test_hot_key_keeps_every_row(spark):
     # One IP holds a third of the rows; the salted shuffle path spreads it.
     rows = [(i, 25 if i % 3 == 0 else i % 20) for i in range(3000)]
     ev = spark.createDataFrame(rows, "id bigint, k bigint")
-    out = range_lookup(ev, "k", _dict(spark), broadcast=False, salt_buckets=8)
+    out = range_lookup(ev, "k", _dict(spark), broadcast=False)
     assert out.count() == 3000
     assert out.where(F.col("k") == 25).where(F.col("province") == "p1").count() == 1000
 
 
+def test_null_keys_and_nested_maps_on_the_shuffle_path(spark):
+    rows = [(i, None if i % 3 == 0 else 25, {"m": {"a": i}}) for i in range(900)]
+    ev = spark.createDataFrame(rows, "id bigint, k bigint, s struct<m: map<string, int>>")
+    out = range_lookup(ev, "k", _dict(spark), broadcast=False).collect()
+    assert len(out) == 900
+    assert sum(r["province"] == "p1" for r in out) == 600 and sum(r["province"] is None for r in out) == 300
+
+
+def test_small_even_blocks_need_no_refinement(spark):
+    # one range per bucket at the chosen width, many per wider bucket
+    d = spark.range(4000).selectExpr("id * 256 AS ip_start", "id * 256 + 255 AS ip_end", "'p' AS province", "'c' AS city")
+    st = dictionary_stats(d, payload=["province", "city"])
+    bits = st.bucket_bits()
+    assert bits == 8 and st.density[bits] == 1
+    assert refinement_levels(d, "ip_start", "ip_end", bits, 32, st) == []
+
+
+def test_payload_is_measured_in_bytes(spark):
+    st = dictionary_stats(_dict(spark, [(0, 9, "\u6d77\u5357\u7701", "\u6d77\u53e3\u5e02")]), payload=["province", "city"])
+    assert st.payload_bytes == 18
+
+
 def test_overlap_and_malformed_are_rejected(spark):
     ev = spark.createDataFrame([(1,)], "k bigint")
     with pytest.raises(OverlappingRangesError):
@@ -80,7 +103,8 @@ def test_plan_is_hash_join_not_nested_loop(spark):
         out = range_lookup(ev, "k", _dict(spark), broadcast=broadcast)
         plan = out._jdf.queryExecution().executedPlan().toString()
         assert "NestedLoopJoin" not in plan
-        assert ("BroadcastHashJoin" in plan) == broadcast
+        # the shuffled lookup broadcasts only the bounded set of hot buckets
+        assert ("SortMergeJoin" in plan) == (not broadcast)
 
 
 def test_any_bucket_width_and_broadcast_budget(spark):
@@ -117,7 +141,7 @@ def test_dense_dictionary_is_refined_and_exact(spark):
     d = _dict(spark, ranges)
     st = stats_of(d, payload=["province", "city"])
     bits = st.bucket_bits(256 << 20)
-    assert st.refinement_levels(bits, 32)  # dense buckets need finer levels
+    assert refinement_levels(d, "ip_start", "ip_end", bits, 32, st)  # dense buckets need finer levels
     rnd = random.Random(3)
     keys = [rnd.randrange(990_000, 1_010_000) for _ in range(3000)] + [rnd.randrange(0, 1 << 25) for _ in range(500)]
     starts = [r[0] for r in ranges]
@@ -139,10 +163,10 @@ def test_refined_buckets_hold_at_most_the_limit(spark):
     d = _dict(spark, _dense_dictionary())
     st = dictionary_stats(d, payload=["province", "city"])
     bits = st.bucket_bits(256 << 20)
-    levels = st.refinement_levels(bits, 32)
+    levels = refinement_levels(d, "ip_start", "ip_end", bits, 32, st)
     dim = explode_ranges(d, "ip_start", "ip_end", ["province", "city"], bits).withColumn(_LV, F.lit(0))
     probe = spark.createDataFrame([(1,)], "_rl_key bigint").withColumn(_B, F.lit(0).cast("bigint")).withColumn(_LV, F.lit(0))
-    refined, _ = _refine(dim, probe, bits, levels, 32)
+    refined, _ = _refine(dim, probe, bits, levels, 32, 256 << 20)
     worst = refined.groupBy(_LV, _B).count().agg(F.max("count")).first()[0]
     unrefined = dim.groupBy(_B).count().agg(F.max("count")).first()[0]
     assert unrefined > 32 >= worst

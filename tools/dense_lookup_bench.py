@@ -10,19 +10,21 @@ automatic refinement against a forced single level (same results).
 from __future__ import annotations
 
 import sys
+import tempfile
 import time
 
 from pyspark.sql import SparkSession
 
 sys.path.insert(0, ".")
 from adtally.operators import dictionary_stats, range_lookup  # noqa: E402
+from adtally.operators.range_join import refinement_levels  # noqa: E402
 
 WIDE, N_WIDE, N_DENSE, BLOCK = 1 << 17, 30_000, 20_000, 1_000_000
 
 
 def main():
     probes = int(sys.argv[1]) if len(sys.argv) > 1 else 5_000_000
-    spark = (SparkSession.builder.master("local[8]")
+    spark = (SparkSession.builder.master("local[8]").config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="adtally-"))
              .config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
              .config("spark.sql.shuffle.partitions", "16").config("spark.driver.memory", "8g")
              .getOrCreate())
@@ -38,7 +40,7 @@ def main():
     ev.count()
     st = dictionary_stats(d, payload=["province", "city"])
     bits = st.bucket_bits(256 << 20)
-    print(f"bucket bits {bits}, refinement levels {st.refinement_levels(bits, 32)}")
+    print(f"bucket bits {bits}, refinement levels {refinement_levels(d, 'ip_start', 'ip_end', bits, 32, st)}")
     results = {}
     for label, kw in (("refined", {}), ("single level", {"refine": []})):
         t = time.perf_counter()
