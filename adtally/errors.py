@@ -7,3 +7,7 @@ class EmptyDayError(RuntimeError):
 
 class OverlappingRangesError(ValueError):
     """A range dictionary has overlapping or malformed ranges."""
+
+
+class DuplicateKeyError(ValueError):
+    """A batch for a keyed upsert holds two rows of one key."""

@@ -13,7 +13,9 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+
+from adtally.session import unique_name
 
 
 def jdbc_append(
@@ -31,16 +33,33 @@ def with_null_key(df: DataFrame, keys: Sequence[str], placeholder: str) -> DataF
     return df.fillna(placeholder, subset=string_keys) if string_keys else df
 
 
-def merge_statement(target: str, staging: str, keys: Sequence[str], columns: Sequence[str]) -> str:
-    """ANSI MERGE from ``staging`` into ``target`` on ``keys``."""
-    on = " AND ".join(f"t.{k} = s.{k}" for k in keys)
+def _quote(name: str, mark: str) -> str:
+    return f"{mark}{name.replace(mark, mark + mark)}{mark}"
+
+
+def merge_statement(
+    target: str, staging: str, keys: Sequence[str], columns: Sequence[str], url: str = ""
+) -> str:
+    """The upsert from ``staging`` into ``target`` on ``keys``: ANSI MERGE, or
+    for a ``jdbc:mysql:`` or ``jdbc:mariadb:`` url INSERT ... ON DUPLICATE KEY
+    UPDATE. Columns are quoted, as Spark quotes those it creates; the table
+    names are taken as given, as they may hold a schema."""
+    mysql = url.startswith(("jdbc:mysql:", "jdbc:mariadb:"))
+    mark = "`" if mysql else '"'
+    q = {c: _quote(c, mark) for c in [*columns, *keys]}
     values = [c for c in columns if c not in keys]
-    update = ", ".join(f"{c} = s.{c}" for c in values)
-    cols = ", ".join(columns)
-    vals = ", ".join(f"s.{c}" for c in columns)
+    cols = ", ".join(q[c] for c in columns)
+    vals = ", ".join(f"s.{q[c]}" for c in columns)
+    if mysql:
+        # with nothing to update a key is set to itself
+        update = ", ".join(f"{q[c]} = s.{q[c]}" for c in values or keys[:1])
+        return f"INSERT INTO {target} ({cols}) SELECT {vals} FROM {staging} s ON DUPLICATE KEY UPDATE {update}"
+    on = " AND ".join(f"t.{q[k]} = s.{q[k]}" for k in keys)
+    update = ", ".join(f"{q[c]} = s.{q[c]}" for c in values)
+    matched = f"WHEN MATCHED THEN UPDATE SET {update} " if values else ""
     return (
         f"MERGE INTO {target} t USING {staging} s ON {on} "
-        f"WHEN MATCHED THEN UPDATE SET {update} "
+        f"{matched}"
         f"WHEN NOT MATCHED THEN INSERT ({cols}) VALUES ({vals})"
     )
 
@@ -64,15 +83,23 @@ def jdbc_upsert(
 
     Key columns must be non-NULL in a database key: ``null_key`` (e.g.
     ``"unknown"``) replaces NULL in string key columns before staging.
-    ``merge_sql`` overrides the generated statement (e.g. a MySQL
-    ``INSERT ... SELECT ... ON DUPLICATE KEY UPDATE``).
+    The staging table has a name of its own for each run and is dropped after
+    it, unless ``staging_table`` names one. ``merge_sql`` overrides the
+    generated statement (it must then name ``staging_table``).
     """
-    staging = staging_table or f"{table}_staging"
+    staging = staging_table or f"{table}_{unique_name('staging')}"
     if null_key is not None:
         df = with_null_key(df, keys, null_key)
     df.write.mode("overwrite").jdbc(url, staging, properties=dict(properties))
-    statement = merge_sql or merge_statement(table, staging, keys, df.columns)
-    reader = df.sparkSession.read.format("jdbc").option("url", url)
+    statement = merge_sql or merge_statement(table, staging, list(keys), df.columns, url)
+    _execute(df.sparkSession, url, properties, table, statement)
+    if staging_table is None:
+        _execute(df.sparkSession, url, properties, table, f"DROP TABLE {staging}")
+
+
+def _execute(spark: SparkSession, url: str, properties: Mapping[str, str], table: str, statement: str) -> None:
+    """Run one statement in the database when a one-row read opens its connection."""
+    reader = spark.read.format("jdbc").option("url", url)
     for k, v in properties.items():
         reader = reader.option(k, v)
     (

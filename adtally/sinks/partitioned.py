@@ -71,12 +71,15 @@ def write_table_partitions(
     fmt: str = "parquet",
     path: str | None = None,
     append: bool = False,
+    rebalance: bool = False,
+    max_records_per_file: int | None = None,
 ) -> None:
     """Insert ``df`` into a partitioned catalog table, creating it if needed.
 
     Default: dynamic overwrite of the partitions in ``df`` (rerun-safe).
     ``append=True`` keeps the reference's plain append (a rerun duplicates).
-    ``fmt='hive'`` needs a session with Hive support.
+    ``fmt='hive'`` needs a session with Hive support. ``rebalance`` and
+    ``max_records_per_file`` are as in :func:`write_partitions`.
     """
     spark = df.sparkSession
     partition_cols = list(partition_cols)
@@ -88,8 +91,13 @@ def write_table_partitions(
     # insertInto matches columns by position, partition columns last.
     target = spark.read.table(table).columns
     ordered = df.select(*target)
+    if rebalance:
+        ordered = ordered.hint("rebalance", *partition_cols)
+    writer = ordered.write
+    if max_records_per_file:
+        writer = writer.option("maxRecordsPerFile", max_records_per_file)
     if append:
-        ordered.write.insertInto(table)
+        writer.insertInto(table)
         return
     with _dynamic_overwrite(spark):
-        ordered.write.insertInto(table, overwrite=True)
+        writer.insertInto(table, overwrite=True)

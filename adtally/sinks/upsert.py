@@ -7,17 +7,21 @@ cost follows the size of the new data, not of the whole history:
     result(p) = new(p)  union  (old(p) anti-join new(p) on key)   for each p in new
 
 Keys are compared NULL-safely (a NULL province is a key value of its own).
-The merged rows are checkpointed to the shared checkpoint folder before the
-overwrite, because the job reads the very partitions it replaces.
+The new rows (one per key) are checkpointed first, so they are computed once
+for the key check, the partition list, the anti-join and the union; the merged
+rows are checkpointed before the overwrite, because the job reads the very
+partitions it replaces. A batch with two rows of one key is an error.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
 from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
+from adtally.errors import DuplicateKeyError
 from adtally.session import shared_dir
 from adtally.sinks.partitioned import write_partitions, write_table_partitions
 
@@ -30,7 +34,9 @@ def _read_existing(new: DataFrame, target: str, is_table: bool) -> DataFrame | N
         return spark.read.table(target).select(*new.columns)
     try:
         return spark.read.schema(new.schema).parquet(target)
-    except AnalysisException:
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return None
 
 
@@ -49,6 +55,10 @@ def upsert_partitions(
     if partition_col not in keys:
         keys = [partition_col, *keys]
     shared_dir(new.sparkSession)  # make sure a checkpoint folder is set
+    new = new.checkpoint(eager=True)
+    twice = new.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").drop("_n").take(1)
+    if twice:
+        raise DuplicateKeyError(f"two new rows have the key {twice[0].asDict()}")
     old = _read_existing(new, target, is_table)
     if old is None:
         merged = new
