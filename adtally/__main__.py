@@ -1,7 +1,11 @@
 """Command-line entry points (for spark-submit):
 
     python -m adtally etl --log LOG_DIR --dictionary DICT --output OUT [--date yyyy-MM-dd]
-    python -m adtally reports --source OUT --date yyyy-MM-dd --output-dir REPORTS
+    python -m adtally reports --source OUT --date yyyy-MM-dd --output REPORTS
+
+``--output`` and ``--source`` are parquet paths; with ``--table`` they are
+catalog tables (for reports, ``--output`` is then the prefix of the tables'
+names). Tables outlive the session only with a persistent catalog: ``--hive``.
 
 The dictionary is parquet with (ip_start, ip_end, province, city), or with
 (ip_start, ip_end, region) where region is the five-part `|`-separated
@@ -17,7 +21,10 @@ from pyspark.sql import SparkSession
 
 from adtally.functions.dates import yesterday
 from adtally.operators.enrich import dictionary_from_regions
-from adtally.plans.jobs import run_etl, run_reports
+from adtally.plans.jobs import run_etl, run_reports, table_output
+from adtally.schema import DATED_LOG_SCHEMA, RAW_LOG_SCHEMA
+
+REPORTS = ("region_distribution", "kpi_region", "kpi_app", "kpi_device", "kpi_network", "kpi_isp", "kpi_channel")
 
 
 def _dictionary(spark: SparkSession, path: str):
@@ -27,34 +34,50 @@ def _dictionary(spark: SparkSession, path: str):
     return df
 
 
-def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> int:
+def _parser() -> argparse.ArgumentParser:
     parser = argparse.ArgumentParser(prog="adtally")
     sub = parser.add_subparsers(dest="command", required=True)
     etl = sub.add_parser("etl", help="JSON log -> enriched, date-partitioned table")
     etl.add_argument("--log", required=True)
     etl.add_argument("--dictionary", required=True)
     etl.add_argument("--output", required=True, help="parquet path, or table name with --table")
-    etl.add_argument("--table", action="store_true")
     etl.add_argument("--date", default=None, help="partition date (default: yesterday)")
+    etl.add_argument("--keep-date", action="store_true", help="keep the date_str of the log")
+    etl.add_argument("--parse-mode", choices=("PERMISSIVE", "DROPMALFORMED", "FAILFAST"), default="PERMISSIVE")
+    etl.add_argument("--log-schema", default=None, help="DDL of the log's columns, to keep more than the standard ones")
+    etl.add_argument("--rebalance", action="store_true", help="size the files per day (multi-day backfills)")
+    etl.add_argument("--table-format", choices=("parquet", "orc", "hive"), default="parquet")
     rep = sub.add_parser("reports", help="all reports of one day -> upserted report tables")
-    rep.add_argument("--source", required=True, help="enriched parquet path or table name")
+    rep.add_argument("--source", required=True, help="enriched parquet path, or table name with --table")
     rep.add_argument("--date", default=None, help="report date (default: yesterday)")
-    rep.add_argument("--output-dir", required=True)
+    rep.add_argument("--output", required=True, help="folder, or prefix of table names with --table")
     rep.add_argument("--rules", choices=("strict", "loose"), default="strict")
-    args = parser.parse_args(argv)
+    for command in (etl, rep):
+        command.add_argument("--table", action="store_true", help="names are catalog tables")
+        command.add_argument("--table-path", default=None, help="folder for the files of new tables")
+        command.add_argument("--hive", action="store_true", help="use the Hive catalog")
+    return parser
 
+
+def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> int:
+    args = _parser().parse_args(argv)
     own = spark is None
-    spark = spark or SparkSession.builder.appName(f"adtally-{args.command}").getOrCreate()
+    if own:
+        builder = SparkSession.builder.appName(f"adtally-{args.command}")
+        spark = (builder.enableHiveSupport() if args.hive else builder).getOrCreate()
     try:
         if args.command == "etl":
-            run_etl(spark, args.log, _dictionary(spark, args.dictionary), args.output,
-                    run_date=args.date, to_table=args.table)
+            schema = args.log_schema or (DATED_LOG_SCHEMA if args.keep_date else RAW_LOG_SCHEMA)
+            run_etl(spark, args.log, _dictionary(spark, args.dictionary), args.output, run_date=args.date,
+                    to_table=args.table, log_schema=schema, stamp=not args.keep_date, mode=args.parse_mode,
+                    rebalance=args.rebalance, table_format=args.table_format, table_path=args.table_path)
         else:
-            date = args.date or yesterday()
-            base = args.output_dir.rstrip("/")
-            names = ["region_distribution", "kpi_region", "kpi_app", "kpi_device",
-                     "kpi_network", "kpi_isp", "kpi_channel"]
-            run_reports(spark, args.source, date, {n: f"{base}/{n}" for n in names}, rules=args.rules)
+            if args.table:
+                place = args.table_path and args.table_path.rstrip("/")
+                outputs = {n: table_output(f"{args.output}_{n}", place and f"{place}/{n}") for n in REPORTS}
+            else:
+                outputs = {n: f"{args.output.rstrip('/')}/{n}" for n in REPORTS}
+            run_reports(spark, args.source, args.date or yesterday(), outputs, rules=args.rules, is_table=args.table)
         return 0
     finally:
         if own:

@@ -1,13 +1,24 @@
 """Jobs (ETL, reports) and the SQL forms of the KPI report."""
 
-from adtally.plans.jobs import daily_reports, run_etl, run_reports, stamp_date
+from adtally.plans.jobs import (
+    daily_reports,
+    deliver,
+    run_etl,
+    run_reports,
+    separate_reports,
+    stamp_date,
+    table_output,
+)
 from adtally.plans.sql_forms import kpi_report_cte, kpi_report_two_step
 
 __all__ = [
     "daily_reports",
+    "deliver",
     "kpi_report_cte",
     "kpi_report_two_step",
     "run_etl",
     "run_reports",
+    "separate_reports",
     "stamp_date",
+    "table_output",
 ]

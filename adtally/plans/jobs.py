@@ -6,7 +6,8 @@ or exits anything.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
+from contextlib import contextmanager
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -17,7 +18,7 @@ from adtally.operators.distribution import finish_distribution, region_distribut
 from adtally.operators.enrich import enrich_ips
 from adtally.operators.kpi import DIMENSIONS, REGION, finish_kpi, kpi_report
 from adtally.operators.measures import INPUT_COLUMNS, measure_column, measures
-from adtally.schema import ENRICHED_SCHEMA, RAW_LOG_SCHEMA
+from adtally.schema import RAW_LOG_SCHEMA
 from adtally.session import shared_dir
 from adtally.sinks.partitioned import write_partitions, write_table_partitions
 from adtally.sinks.upsert import upsert_partitions
@@ -25,6 +26,12 @@ from adtally.sources.day import read_day, require_rows
 from adtally.sources.json_log import read_ad_log
 
 
+DATE_COLUMN = "date_str"
+
+#: Where a report goes: a parquet path, or a function that takes the report.
+Output = str | Callable[[DataFrame, Sequence[str]], None]
+
+
 def stamp_date(df: DataFrame, date: str | None = None, col: str = "date_str") -> DataFrame:
     """Set the partition column to the run date (default: yesterday)."""
     return df.withColumn(col, report_date_col(date))
@@ -42,6 +49,7 @@ def run_etl(
     table_format: str = "parquet",
     mode: str = "PERMISSIVE",
     rebalance: bool = False,
+    max_records_per_file: int | None = None,
     table_path: str | None = None,
     **lookup,
 ) -> DataFrame:
@@ -54,17 +62,19 @@ def run_etl(
     line as a row of NULLs, DROPMALFORMED drops it, FAILFAST fails the job).
     ``rebalance=True`` sizes output files per day for multi-day backfills
     (see :func:`write_partitions`); ``table_path`` places a new catalog table
-    (default: the session's warehouse). Returns the enriched DataFrame written.
+    (default: the session's warehouse). Every column of the log is kept, the
+    date column comes last. Returns the enriched DataFrame written.
     """
     log = read_ad_log(spark, log_path, schema=log_schema, mode=mode)
     enriched = enrich_ips(log, ip_dictionary, **lookup)
     if stamp:
         enriched = stamp_date(enriched, run_date)
-    enriched = enriched.select(*ENRICHED_SCHEMA.fieldNames())
+    enriched = enriched.select(*[c for c in enriched.columns if c != DATE_COLUMN], DATE_COLUMN)
+    files = {"rebalance": rebalance, "max_records_per_file": max_records_per_file}
     if to_table:
-        write_table_partitions(enriched, output, fmt=table_format, path=table_path)
+        write_table_partitions(enriched, output, fmt=table_format, path=table_path, **files)
     else:
-        write_partitions(enriched, output, rebalance=rebalance)
+        write_partitions(enriched, output, **files)
     return enriched
 
 
@@ -114,44 +124,66 @@ def daily_reports(
     return out
 
 
+def table_output(table: str, path: str | None = None) -> Output:
+    """An output that upserts a report into a catalog table, created at ``path``."""
+    def deliver(report: DataFrame, keys: Sequence[str]) -> None:
+        upsert_partitions(report, table, keys=keys, partition_col="report_date", is_table=True, table_path=path)
+
+    return deliver
+
+
 def run_reports(
     spark: SparkSession,
     source: str,
     report_date: str,
-    outputs: Mapping[str, str] | None = None,
+    outputs: Mapping[str, Output] | None = None,
     rules: str = "strict",
-    fused: bool = True,
+    is_table: bool = False,
 ) -> dict[str, DataFrame]:
-    """Read one day, check it is not empty, compute every report, and upsert
-    each report named in ``outputs`` (report name -> parquet path, keyed by
-    report date + dimensions).
-
-    ``fused=True`` uses :func:`daily_reports` (one scan). ``fused=False``
-    follows the reference's shape: the day's needed columns are persisted
-    (memory and disk) and each report runs on its own, released in
-    ``finally``.
+    """Read one day, check it is not empty, compute every report in one scan
+    (:func:`daily_reports`), and deliver each report named in ``outputs``.
+
+    An output is a parquet path (upserted by report date and dimensions),
+    :func:`table_output` for a catalog table, or any function of the report and
+    its key columns. ``source`` is a parquet path, or with ``is_table`` a table.
     """
-    cols = sorted({c for dims in DIMENSIONS.values() for c in dims} | set(INPUT_COLUMNS))
-    day = require_rows(read_day(spark, source, report_date, columns=cols))
-    outputs = dict(outputs or {})
-    if fused:
-        reports = daily_reports(day, report_date, rules)
-        _write(reports, outputs)
-        return reports
-    day = day.persist(StorageLevel.MEMORY_AND_DISK)
+    reports = daily_reports(_day(spark, source, report_date, is_table), report_date, rules)
+    deliver(reports, outputs or {})
+    return reports
+
+
+@contextmanager
+def separate_reports(
+    spark: SparkSession, source: str, report_date: str, rules: str = "strict", is_table: bool = False
+) -> Iterator[dict[str, DataFrame]]:
+    """The reports each on its own over the persisted day (memory and disk),
+    which is released when the ``with`` block ends:
+
+        with separate_reports(spark, source, date) as reports:
+            deliver(reports, outputs)
+    """
+    day = _day(spark, source, report_date, is_table).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         reports = {"region_distribution": region_distribution(day, REGION, report_date)}
         reports["region_top10"] = reports["region_distribution"].limit(10)
         for name, dims in DIMENSIONS.items():
             reports[f"kpi_{name}"] = kpi_report(day, dims, rules, report_date)
-        _write(reports, outputs)
-        return reports
+        yield reports
     finally:
         day.unpersist()
 
 
-def _write(reports: Mapping[str, DataFrame], outputs: Mapping[str, str]) -> None:
-    for name, path in outputs.items():
+def _day(spark: SparkSession, source: str, report_date: str, is_table: bool) -> DataFrame:
+    cols = sorted({c for dims in DIMENSIONS.values() for c in dims} | set(INPUT_COLUMNS))
+    return require_rows(read_day(spark, source, report_date, columns=cols, is_table=is_table))
+
+
+def deliver(reports: Mapping[str, DataFrame], outputs: Mapping[str, Output]) -> None:
+    """Send each report named in ``outputs`` to its output."""
+    for name, output in outputs.items():
         report = reports[name]
         keys = [c for c in report.columns if c in {d for v in DIMENSIONS.values() for d in v}]
-        upsert_partitions(report, path, keys=keys, partition_col="report_date")
+        if callable(output):
+            output(report, keys)
+        else:
+            upsert_partitions(report, output, keys=keys, partition_col="report_date")

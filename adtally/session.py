@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -11,10 +10,9 @@ from pyspark.sql import SparkSession
 def shared_dir(spark: SparkSession) -> str:
     """Root of the cluster-shared scratch area.
 
-    This is the folder named by ``spark.checkpoint.dir``. Only a local-mode
-    session (tests) without that setting gets a fresh temporary folder; on a
-    cluster a missing setting is an error, because a machine-local folder is
-    not visible to every executor.
+    This is the folder named by ``spark.checkpoint.dir``. A local-mode session
+    without that setting uses a folder in its warehouse; on a cluster a missing
+    setting is an error.
     """
     sc = spark.sparkContext
     root = sc.getConf().get("spark.checkpoint.dir", None)
@@ -28,7 +26,7 @@ def shared_dir(spark: SparkSession) -> str:
                 "spark.checkpoint.dir is not set; point it at a folder every "
                 "executor can reach"
             )
-        root = tempfile.mkdtemp(prefix="adtally-")
+        root = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(root)
     return root.rstrip("/")

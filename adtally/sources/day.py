@@ -20,9 +20,10 @@ def read_day(
     partition_col: str = "date_str",
     schema: StructType | None = ENRICHED_SCHEMA,
     columns: Sequence[str] | None = None,
-    is_table: bool | None = None,
+    is_table: bool = False,
 ) -> DataFrame:
-    """Rows of one day from a catalog table or a partitioned parquet path.
+    """Rows of one day from a partitioned parquet path, or with ``is_table`` from
+    a catalog table.
 
     The day is compared string-to-string with the partition column, so the
     scan prunes to that one partition folder (``PartitionFilters`` in the
@@ -30,8 +31,6 @@ def read_day(
     inference would otherwise turn ``yyyy-MM-dd`` folders into a date column.
     """
     validate_date(date)
-    if is_table is None:
-        is_table = "/" not in source and ":" not in source
     if is_table:
         df = spark.read.table(source)
     else:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
+from adtally.functions.dates import validate_date
 from adtally.operators.enrich import enrich_ips
 from adtally.schema import DATED_LOG_SCHEMA
 
@@ -22,12 +23,14 @@ def start_etl_stream(
     max_files_per_trigger: int | None = None,
     available_now: bool = False,
     processing_time: str | None = None,
+    run_date: str | None = None,
     **lookup,
 ) -> StreamingQuery:
     """Start the query and return its handle.
 
     Rows keep the event day in ``date_col`` when the log has one; otherwise
-    each micro-batch stamps its processing date. The parquet file sink plus
+    they get ``run_date``, or by default the day before their micro-batch, as
+    in the batch job. The parquet file sink plus
     ``checkpoint_location`` (a folder every executor and the driver can
     reach, stable across restarts) give exactly-once output: a restarted
     query resumes from the last committed batch, never duplicating a file.
@@ -39,7 +42,8 @@ def start_etl_stream(
     log = reader.json(log_dir)
     enriched = enrich_ips(log, ip_dictionary, **lookup)
     if date_col not in log.columns:
-        enriched = enriched.withColumn(date_col, F.current_date().cast("string"))
+        stamp = F.lit(validate_date(run_date)) if run_date else F.date_sub(F.current_date(), 1).cast("string")
+        enriched = enriched.withColumn(date_col, stamp)
     writer = (
         enriched.writeStream.format("parquet")
         .partitionBy(date_col)
