@@ -15,9 +15,7 @@ from pyspark.sql import functions as F
 from adtally import fixtures as fx
 from adtally.functions import ip_to_long
 from adtally.operators import (
-    DictionaryStats,
     dictionary_from_regions,
-    dictionary_stats,
     enrich_ips,
     kpi_counts,
     kpi_report,
@@ -35,6 +33,7 @@ from adtally.plans import (
     run_etl,
     run_reports,
     stamp_date,
+    table_output,
 )
 from adtally.schema import DATED_LOG_SCHEMA, ENRICHED_SCHEMA
 from adtally.session import scratch_path, unique_name
@@ -53,32 +52,18 @@ except ModuleNotFoundError as missing:
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 REGION = ("province", "city")
-STREAM_TIMEOUT_SEC = 1800
 
 
-# The IP dictionary is validated (overlaps, size, density) once and reused by
-# every lookup while its source files are unchanged, as a deployment would
-# validate a published dictionary once. Remote inputs are always re-validated.
-_DICT_STATS: dict[tuple, DictionaryStats] = {}
-
-
-def _dictionary(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DictionaryStats | None]:
-    d = fx.ip_dict_from(spark, sf_dir)
-    key = (fx.table_signature(sf_dir, "nation"), fx.table_signature(sf_dir, "region"))
-    if None in key:
-        return d, None
-    if key not in _DICT_STATS:
-        _DICT_STATS[key] = dictionary_stats(d, payload=["province", "city"])
-    return d, _DICT_STATS[key]
+def _dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fx.ip_dict_from(spark, sf_dir)
 
 
 def _enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d, stats = _dictionary(spark, sf_dir)
-    return enrich_ips(fx.ad_log_from(spark, sf_dir), d, stats=stats)
+    return enrich_ips(fx.ad_log_from(spark, sf_dir), _dictionary(spark, sf_dir))
 
 
 def _enriched_day(spark: SparkSession, sf_dir: str, day: str = fx.DAY) -> DataFrame:
-    return _enriched(spark, sf_dir).where(F.col("date_str") == day)
+    return enrich_ips(fx.ad_log_from(spark, sf_dir, day), _dictionary(spark, sf_dir))
 
 
 def _kpi(dims, rules="strict"):
@@ -145,7 +130,8 @@ def q_top_n_by_measure(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_top_n_by_total(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return top_n_by_total(fx.load(spark, sf_dir, "orders"), "o_custkey", "o_totalprice", 10, "total")
+    return top_n_by_total(fx.load(spark, sf_dir, "orders"), "o_custkey", "o_totalprice", 10, "total",
+                          exact_type="decimal(18,2)")
 
 
 TOP_MEASURES = ("ad_show_cnt", "ad_click_cnt", "dsp_pay_money")
@@ -153,11 +139,14 @@ TOP_MEASURES = ("ad_show_cnt", "ad_click_cnt", "dsp_pay_money")
 
 def q_top_n_per_measure(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = kpi_counts(_enriched(spark, sf_dir), REGION, "strict")
-    return top_n_per_measure(counts, "city", TOP_MEASURES, 10)
+    return top_n_per_measure(counts, REGION, TOP_MEASURES, 10)
 
 
 def q_province_map_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     features = fx.load(spark, sf_dir, "region").select(F.col("r_name").alias("province"))
+    # a province without traffic, shown with a zero
+    features = features.unionByName(fx.load(spark, sf_dir, "region").select(F.upper(F.concat("r_name", F.lit(" (NO TRAFFIC)"))).alias("province"))
+                                    .orderBy("province").limit(1))
     return map_feed(features, _enriched(spark, sf_dir), "province", "events")
 
 
@@ -208,9 +197,8 @@ def q_sink_table_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_report_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Upsert per-day distributions; a stale version of a day is replaced."""
-    enriched = _enriched(spark, sf_dir)
-    prev = enriched.where(F.col("date_str") == fx.PREVIOUS_DAY)
-    day = enriched.where(F.col("date_str") == fx.DAY)
+    prev = _enriched_day(spark, sf_dir, fx.PREVIOUS_DAY)
+    day = _enriched_day(spark, sf_dir, fx.DAY)
     out = scratch_path(spark, "report-upsert")
     upsert_partitions(region_distribution(prev, REGION, fx.PREVIOUS_DAY), out, REGION)
     upsert_partitions(region_distribution(prev, REGION, fx.DAY), out, REGION)  # stale
@@ -226,9 +214,7 @@ def q_stream_etl(spark: SparkSession, sf_dir: str) -> DataFrame:
         spark, _json_log(spark, sf_dir), fx.ip_dict_from(spark, sf_dir), out,
         checkpoint_location=scratch_path(spark, "stream-etl-checkpoint"), available_now=True,
     )
-    if not query.awaitTermination(STREAM_TIMEOUT_SEC):
-        query.stop()
-        raise TimeoutError(f"stream_etl did not finish within {STREAM_TIMEOUT_SEC}s")
+    query.awaitTermination()  # availableNow ends by itself
     if query.exception() is not None:
         raise RuntimeError(str(query.exception()))
     return spark.read.schema(ENRICHED_SCHEMA).parquet(out)
@@ -238,12 +224,12 @@ def q_etl_reports_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both jobs end to end: JSON log -> run_etl into a catalog table ->
     run_reports for one day -> the upserted region KPI report, read back."""
     table = unique_name("adtally_fact")
-    d, stats = _dictionary(spark, sf_dir)
-    run_etl(spark, _json_log(spark, sf_dir), d, table, to_table=True, log_schema=DATED_LOG_SCHEMA,
-            stamp=False, table_path=scratch_path(spark, "fact"), stats=stats)
-    out = scratch_path(spark, "reports")
-    reports = run_reports(spark, table, fx.DAY, outputs={"kpi_region": out})
-    return spark.read.schema(reports["kpi_region"].schema).parquet(out)
+    run_etl(spark, _json_log(spark, sf_dir), _dictionary(spark, sf_dir), table, to_table=True,
+            log_schema=DATED_LOG_SCHEMA, stamp=False, table_path=scratch_path(spark, "fact"))
+    out = unique_name("adtally_report")
+    run_reports(spark, table, fx.DAY, outputs={"kpi_region": table_output(out, scratch_path(spark, "report"))},
+                is_table=True)
+    return spark.read.table(out)
 
 
 def q_daily_kpi_region(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -455,20 +441,21 @@ ORDER BY total DESC NULLS LAST, o_custkey NULLS LAST LIMIT 10""",
         "top_n_per_measure": fx.with_fixtures(
             f""", counts AS (SELECT province, city, {strict} FROM enriched GROUP BY province, city),
 long AS (
-  SELECT city, 'ad_show_cnt' AS measure, CAST(ad_show_cnt AS DOUBLE) AS value FROM counts
-  UNION ALL SELECT city, 'ad_click_cnt', CAST(ad_click_cnt AS DOUBLE) FROM counts
-  UNION ALL SELECT city, 'dsp_pay_money', CAST(dsp_pay_money AS DOUBLE) FROM counts
+  SELECT province, city, 'ad_show_cnt' AS measure, ad_show_cnt AS value FROM counts
+  UNION ALL SELECT province, city, 'ad_click_cnt', ad_click_cnt FROM counts
+  UNION ALL SELECT province, city, 'dsp_pay_money', dsp_pay_money FROM counts
 ),
 ranked AS (
   SELECT *, CAST(row_number() OVER (PARTITION BY measure
-      ORDER BY value DESC NULLS LAST, city NULLS LAST) AS INTEGER) AS rank
+      ORDER BY value DESC NULLS LAST, province NULLS LAST, city NULLS LAST) AS INTEGER) AS rank
   FROM long
 )
 SELECT * FROM ranked WHERE rank <= 10"""
         ),
         "province_map_feed": fx.with_fixtures(
             """SELECT r.r_name AS province, CAST(coalesce(t.events, 0) AS BIGINT) AS events
-FROM (SELECT DISTINCT r_name FROM region WHERE r_name IS NOT NULL) r
+FROM (SELECT DISTINCT r_name FROM region WHERE r_name IS NOT NULL
+      UNION ALL SELECT min(upper(r_name || ' (NO TRAFFIC)')) FROM region) r
 LEFT JOIN (SELECT province, count(*) AS events FROM enriched
            WHERE province IS NOT NULL GROUP BY province) t ON r.r_name = t.province"""
         ),

@@ -9,11 +9,8 @@ expressions (so their size grows with ``events``); ``AD_LOG_SQL`` /
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from adtally.functions.ip import long_to_ip_sql
 
@@ -82,21 +79,6 @@ def _pick(index_sql: str, values: tuple[int, ...]) -> str:
     return f"CASE {index_sql} {whens} END"
 
 
-def spread(df: DataFrame, *by) -> DataFrame:
-    """Give an under-partitioned input at least the default parallelism.
-
-    The driver's tables are single files with one row group, i.e. one scan
-    task; spreading them lets the per-row work run on every core. ``by``
-    clusters rows the way a real log arrives (e.g. by event day), so a
-    date-partitioned write makes a few files per task, not one per day per
-    task. A large input already has many splits and is returned unchanged.
-    """
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target, *by)
-    return df
-
-
 def ad_log(events: DataFrame) -> DataFrame:
     """One ad-event row per ``events`` row (FIXTURES.md section 1).
 
@@ -104,7 +86,7 @@ def ad_log(events: DataFrame) -> DataFrame:
     computed in its own projection so it is evaluated once per row rather
     than inlined into each of its uses.
     """
-    events = spread(events.select("event_id", "ts", "user_id", "event_type", "value"), F.to_date("ts"))
+    events = events.select("event_id", "ts", "user_id", "event_type", "value")
     hashed = events.selectExpr("*", f"{_h(IP_HASH)} AS _ip_hash")
     hidden = f"event_id % {NULL_IP_MOD} = 0 OR event_id % {BAD_IP_MOD} = 0"
     return hashed.selectExpr(
@@ -122,8 +104,8 @@ def ad_log(events: DataFrame) -> DataFrame:
         f"CASE WHEN event_id % {NULL_ISBID_MOD} = 0 THEN CAST(NULL AS INT) "
         f"WHEN {_h(ISBID_HASH)} % 6 = 0 THEN 0 ELSE 1 END AS isbid",
         f"CASE WHEN {_h(ISWIN_HASH)} % 6 = 0 THEN 0 ELSE 1 END AS iswin",
-        f"{_pick(f'{_h(ADORDER_HASH)} % {len(ADORDER_VALUES)}', ADORDER_VALUES)} AS adorderid",
-        f"{_pick(f'{_h(ADCREATIVE_HASH)} % {len(ADCREATIVE_VALUES)}', ADCREATIVE_VALUES)} AS adcreativeid",
+        f"CAST({_pick(f'{_h(ADORDER_HASH)} % {len(ADORDER_VALUES)}', ADORDER_VALUES)} AS BIGINT) AS adorderid",
+        f"CAST({_pick(f'{_h(ADCREATIVE_HASH)} % {len(ADCREATIVE_VALUES)}', ADCREATIVE_VALUES)} AS BIGINT) AS adcreativeid",
         f"CASE WHEN event_id % {NULL_WINPRICE_MOD} = 0 THEN CAST(NULL AS DOUBLE) "
         f"ELSE value * {WINPRICE_FACTOR} END AS winprice",
         f"value * {ADPAYMENT_FACTOR} AS adpayment",
@@ -164,45 +146,19 @@ def region_strings(ip_dict_df: DataFrame) -> DataFrame:
     )
 
 
-_SCHEMAS: dict[tuple, StructType] = {}
-
-
-def table_signature(sf_dir: str, name: str) -> tuple | None:
-    """(path, size, mtime) signature of one driver table; None if remote."""
-    return _local_key(f"{sf_dir.rstrip('/')}/{name}.parquet")
-
-
-def _local_key(path: str) -> tuple | None:
-    """(path, size, mtime) of a local file or folder; None for remote paths."""
-    local = path[len("file:"):] if path.startswith("file:") else path
-    if "://" in local or not os.path.exists(local):
-        return None
-    entries = [local] if os.path.isfile(local) else sorted(
-        os.path.join(local, f) for f in os.listdir(local)
-    )
-    return (path, *[(e, os.stat(e).st_size, os.stat(e).st_mtime_ns) for e in entries])
-
-
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Read one of the driver's tables.
-
-    The schema inferred on first read is reused while the local file is
-    unchanged (same size and mtime), which skips Spark's footer-reading job
-    on every later read; any change, or a remote path, infers again.
-    """
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = _local_key(path)
-    schema = _SCHEMAS.get(key) if key else None
-    if schema is not None:
-        return spark.read.schema(schema).parquet(path)
-    df = spark.read.parquet(path)
-    if key:
-        _SCHEMAS[key] = df.schema
-    return df
+    """Read one of the driver's tables."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def ad_log_from(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ad_log(load(spark, sf_dir, "events"))
+def ad_log_from(spark: SparkSession, sf_dir: str, day: str | None = None) -> DataFrame:
+    """The ad log, or one day of it: the day is a range of ``ts``, which the scan
+    can use to skip row groups, not a filter on the derived text."""
+    events = load(spark, sf_dir, "events")
+    if day is not None:
+        start = F.lit(day).cast("timestamp")
+        events = events.where((F.col("ts") >= start) & (F.col("ts") < start + F.expr("INTERVAL 1 DAY")))
+    return ad_log(events)
 
 
 def ip_dict_from(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -240,9 +196,9 @@ SELECT
             WHEN {_hs(*ISBID_HASH)} % 6 = 0 THEN 0 ELSE 1 END AS INTEGER) AS isbid,
   CAST(CASE WHEN {_hs(*ISWIN_HASH)} % 6 = 0 THEN 0 ELSE 1 END AS INTEGER) AS iswin,
   CAST(CASE {_hs(*ADORDER_HASH)} % 5 WHEN 0 THEN 0 WHEN 1 THEN 150000 WHEN 2 THEN 200000
-            WHEN 3 THEN 200001 ELSE 250000 END AS INTEGER) AS adorderid,
+            WHEN 3 THEN 200001 ELSE 250000 END AS BIGINT) AS adorderid,
   CAST(CASE {_hs(*ADCREATIVE_HASH)} % 3 WHEN 0 THEN 200000 WHEN 1 THEN 200001
-            ELSE 250000 END AS INTEGER) AS adcreativeid,
+            ELSE 250000 END AS BIGINT) AS adcreativeid,
   CASE WHEN event_id % 83 = 0 THEN NULL ELSE value * 100 END AS winprice,
   value * 130 AS adpayment,
   event_type AS appname,

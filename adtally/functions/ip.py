@@ -31,10 +31,11 @@ def ip_to_long_sql(ip: str) -> str:
     # The split pattern is the two-character regex `\.`, written as
     # concat(chr(92), '.') so it needs no escaping in any parser mode; Catalyst
     # folds it to a literal, and Java splits on it without compiling a regex.
-    octet = [f"try_cast(get(split({c}, concat(chr(92), '.')), {i}) AS BIGINT)" for i in range(4)]
-    checks = " AND ".join(f"{o} <= {OCTET_MAX}" for o in octet)
-    value = f"shiftleft({octet[0]}, 24) + shiftleft({octet[1]}, 16) + shiftleft({octet[2]}, 8) + {octet[3]}"
-    return f"CASE WHEN {c} RLIKE '{DOTTED_QUAD}' AND {checks} THEN {value} END"
+    # The address is split once: the fold adds each octet to 256 times the
+    # number so far, and an octet above 255 makes the number NULL.
+    octets = f"split({c}, concat(chr(92), '.'))"
+    fold = f"aggregate({octets}, 0L, (n, o) -> IF(CAST(o AS BIGINT) <= {OCTET_MAX}, n * 256 + CAST(o AS BIGINT), NULL))"
+    return f"CASE WHEN {c} RLIKE '{DOTTED_QUAD}' THEN {fold} END"
 
 
 def ip_to_long(ip: str) -> Column:

@@ -23,8 +23,8 @@ RAW_LOG_FIELDS = [
     StructField("isbilling", IntegerType()),
     StructField("isbid", IntegerType()),
     StructField("iswin", IntegerType()),
-    StructField("adorderid", IntegerType()),
-    StructField("adcreativeid", IntegerType()),
+    StructField("adorderid", LongType()),
+    StructField("adcreativeid", LongType()),
     StructField("winprice", DoubleType()),
     StructField("adpayment", DoubleType()),
     StructField("appname", StringType()),

@@ -12,7 +12,8 @@ SF01 = "/root/testdata/sf0.01"
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
+    shared = tmp_path_factory.mktemp("shared")
     s = (
         SparkSession.builder.master("local[*]")
         .appName("adtally-tests")
@@ -20,6 +21,8 @@ def spark():
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.checkpoint.dir", f"file://{shared}/checkpoints")
+        .config("spark.sql.warehouse.dir", f"file://{shared}/warehouse")
         .config("spark.driver.memory", "4g")  # one JVM runs every test
         .getOrCreate()
     )

@@ -43,7 +43,7 @@ def test_top_n_by_measure_and_total(spark):
     top = top_n_by_measure(cust, "c_custkey", "c_acctbal", 10).collect()
     best = cust.orderBy(F.desc("c_acctbal"), "c_custkey").limit(10).collect()
     assert [r["c_custkey"] for r in top] == [r["c_custkey"] for r in best]
-    tot = top_n_by_total(fx.load(spark, SF01, "orders"), "o_custkey", "o_totalprice", 10)
+    tot = top_n_by_total(fx.load(spark, SF01, "orders"), "o_custkey", "o_totalprice", 10, exact_type="decimal(18,2)")
     assert dict(tot.dtypes)["total"] == "decimal(18,2)"
     vals = [r["total"] for r in tot.collect()]
     assert vals == sorted(vals, reverse=True)
@@ -59,6 +59,18 @@ def test_top_n_per_measure_ranks(spark):
     assert out.count() == 6
 
 
+def test_totals_are_not_rounded_by_default(spark):
+    df = spark.createDataFrame([("small", 0.004)] * 1000 + [("one", 1.0)], "k string, v double")
+    top = top_n_by_total(df, "k", "v", 2).collect()
+    assert top[0]["k"] == "small" and abs(top[0]["total"] - 4.0) < 1e-9
+
+
+def test_top_n_keeps_large_values_and_list_keys(spark):
+    df = spark.createDataFrame([("p1", "same", 2**53), ("p2", "same", 2**53 + 1)], "province string, city string, n bigint")
+    top = top_n_per_measure(df, ["province", "city"], ["n"], 2).orderBy("rank").collect()
+    assert [(r["province"], r["city"], r["value"]) for r in top] == [("p2", "same", 2**53 + 1), ("p1", "same", 2**53)]
+
+
 def test_map_feed_fills_zero(spark):
     features = spark.createDataFrame([("A",), ("B",), ("C",), (None,)], "province string")
     ev = spark.createDataFrame([("A",), ("A",), ("B",), (None,), ("Z",)], "province string")

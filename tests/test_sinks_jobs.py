@@ -1,11 +1,14 @@
+import os
+
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 import __spark_entry__ as entry
 from adtally import fixtures as fx
-from adtally.errors import EmptyDayError
+from adtally.errors import DuplicateKeyError, EmptyDayError
 from adtally.operators import enrich_ips, kpi_report, region_distribution
-from adtally.plans import daily_reports, run_etl, run_reports
+from adtally.plans import daily_reports, run_etl, run_reports, separate_reports
 from adtally.schema import DATED_LOG_SCHEMA, ENRICHED_SCHEMA
 from adtally.session import scratch_path, unique_name
 from adtally.sinks import upsert_partitions, write_partitions, write_table_partitions
@@ -84,9 +87,13 @@ def test_etl_then_reports_end_to_end(spark, enriched):
     reports_dir = scratch_path(spark, "t-reports")
     outputs = {"kpi_region": f"{reports_dir}/kpi_region", "region_distribution": f"{reports_dir}/dist"}
     fused = run_reports(spark, out, fx.DAY, outputs=outputs)
-    plain = run_reports(spark, out, fx.DAY, fused=False)
-    for name in ("region_distribution", "region_top10", "kpi_region", "kpi_app", "kpi_channel"):
-        assert _rows(fused[name]) == _rows(plain[name]), name
+    with separate_reports(spark, out, fx.DAY) as plain:
+        assert "InMemoryTableScan" in plain["kpi_app"]._jdf.queryExecution().executedPlan().toString()
+        for name in ("region_distribution", "region_top10", "kpi_region", "kpi_app", "kpi_channel"):
+            assert _rows(fused[name]) == _rows(plain[name]), name
+    got = []
+    run_reports(spark, out, fx.DAY, {"kpi_app": lambda report, keys: got.append((report.count(), list(keys)))})
+    assert got == [(fused["kpi_app"].count(), ["appname"])]
     back = spark.read.schema(fused["kpi_region"].schema).parquet(outputs["kpi_region"])
     assert _rows(back) == _rows(fused["kpi_region"])
     with pytest.raises(EmptyDayError):
@@ -124,10 +131,10 @@ def test_merge_statement_text():
     sql = merge_statement("rpt", "rpt_staging", ["report_date", "province", "city"],
                           ["report_date", "province", "city", "count"])
     assert sql == (
-        "MERGE INTO rpt t USING rpt_staging s ON t.report_date = s.report_date AND "
-        "t.province = s.province AND t.city = s.city WHEN MATCHED THEN UPDATE SET count = s.count "
-        "WHEN NOT MATCHED THEN INSERT (report_date, province, city, count) "
-        "VALUES (s.report_date, s.province, s.city, s.count)"
+        'MERGE INTO rpt t USING rpt_staging s ON t."report_date" = s."report_date" AND '
+        't."province" = s."province" AND t."city" = s."city" WHEN MATCHED THEN UPDATE SET "count" = s."count" '
+        'WHEN NOT MATCHED THEN INSERT ("report_date", "province", "city", "count") '
+        'VALUES (s."report_date", s."province", s."city", s."count")'
     )
 
 
@@ -146,28 +153,75 @@ def test_read_day_from_catalog_table_prunes(spark, enriched):
     table = unique_name("t_day")
     write_table_partitions(enriched.select(*ENRICHED_SCHEMA.fieldNames()), table,
                            path=scratch_path(spark, "t-day"))
-    day = read_day(spark, table, fx.DAY)
+    day = read_day(spark, table, fx.DAY, is_table=True)
     plan = day._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(date_str" in plan
     assert day.count() == enriched.where(F.col("date_str") == fx.DAY).count()
     assert dict(day.dtypes)["date_str"] == "string"
 
 
-def test_command_line_entry_points(spark):
+def test_command_line_entry_points(spark, tmp_path):
     from adtally.__main__ import main
 
     log = scratch_path(spark, "t-cli-log")
     fx.ad_log_from(spark, SF001).drop("ip_num", "date_str").write.json(log)
     dictionary = scratch_path(spark, "t-cli-dict")
     fx.region_strings(fx.ip_dict_from(spark, SF001)).write.parquet(dictionary)
-    out, reports = scratch_path(spark, "t-cli-out"), scratch_path(spark, "t-cli-rep")
+    # relative paths (in the JVM's working folder), as in the README
+    base = os.path.relpath(tmp_path, os.getcwd())
+    out, reports = f"{base}/ENRICHED", f"{base}/REPORTS"
     assert main(["etl", "--log", log, "--dictionary", dictionary, "--output", out,
                  "--date", "2024-02-01"], spark=spark) == 0
-    assert main(["reports", "--source", out, "--date", "2024-02-01", "--output-dir", reports],
+    assert main(["reports", "--source", out, "--date", "2024-02-01", "--output", reports],
                 spark=spark) == 0
     dist = spark.read.parquet(f"{reports}/region_distribution")
     assert dist.agg(F.sum("count")).first()[0] == 1000
 
+    table, report = unique_name("t_cli"), unique_name("t_cli_rep")
+    assert main(["etl", "--log", log, "--dictionary", dictionary, "--output", table, "--table",
+                 "--table-path", scratch_path(spark, "t-cli-table"), "--date", "2024-02-01"], spark=spark) == 0
+    assert main(["reports", "--source", table, "--table", "--date", "2024-02-01", "--output", report,
+                 "--table-path", scratch_path(spark, "t-cli-reports")], spark=spark) == 0
+    assert spark.read.table(f"{report}_region_distribution").agg(F.sum("count")).first()[0] == 1000
+
+
+def test_etl_keeps_every_log_column_and_large_ids(spark):
+    log = scratch_path(spark, "t-wide")
+    spark.createDataFrame([('{"uuid":"a","ip":"1.2.3.4","adorderid":3000000000,"sessionid":"s1"}',)], "value string").write.text(log)
+    schema = StructType([*DATED_LOG_SCHEMA.fields, StructField("sessionid", StringType())])
+    out = scratch_path(spark, "t-wide-out")
+    run_etl(spark, log, fx.ip_dict_from(spark, SF001), out, run_date="2024-02-01", log_schema=schema)
+    row = spark.read.parquet(out).first()
+    assert row["sessionid"] == "s1" and row["adorderid"] == 3000000000
+    assert spark.read.parquet(out).columns[-1] == "date_str"
+
+
+def test_upsert_rejects_two_rows_of_one_key(spark):
+    df = spark.createDataFrame([("2024-01-01", "p", 1), ("2024-01-01", "p", 2)], "report_date string, province string, count int")
+    with pytest.raises(DuplicateKeyError):
+        upsert_partitions(df, scratch_path(spark, "t-twice"), ["province"])
+
+
+def test_upsert_passes_other_errors_on(spark):
+    path = scratch_path(spark, "t-broken")
+    spark.createDataFrame([("x",)], "value string").write.text(path)
+    df = spark.createDataFrame([("2024-01-01", "p", 1)], "report_date string, province string, count int")
+    with pytest.raises(Exception):  # a folder that is no report table is not an empty one
+        upsert_partitions(df, path, ["province"])
+
+
+def test_merge_statements():
+    from adtally.sinks.jdbc import merge_statement
+
+    ansi = merge_statement("t", "s1", ["province"], ["province", "count"], "jdbc:postgresql://h/d")
+    assert ansi == ('MERGE INTO t t USING s1 s ON t."province" = s."province" WHEN MATCHED THEN UPDATE SET "count" = s."count" '
+                    'WHEN NOT MATCHED THEN INSERT ("province", "count") VALUES (s."province", s."count")')
+    mysql = merge_statement("t", "s1", ["province"], ["province", "count"], "jdbc:mysql://h/d")
+    assert mysql == ("INSERT INTO t (`province`, `count`) SELECT s.`province`, s.`count` FROM s1 s "
+                     "ON DUPLICATE KEY UPDATE `count` = s.`count`")
+    assert "UPDATE SET" not in merge_statement("t", "s1", ["a"], ["a"])
+    assert merge_statement("t", "s1", ["a"], ["a"], "jdbc:mysql:x").endswith("UPDATE `a` = s.`a`")
+
 
 def test_upsert_into_catalog_table(spark, enriched):
     table = unique_name("t_rpt")
