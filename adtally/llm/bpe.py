@@ -138,12 +138,12 @@ class Vocabulary:
             joined[self.token_at[rank]:self.token_at[rank] + len(token)] = token
         self.token_bytes = np.frombuffer(bytes(joined), np.uint8)
 
-    def encode_pieces(self, pieces: list[str]) -> list[list[int]]:
-        if len(self.known) > 300_000:
+    def encode_pieces(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        if len(self.known) > 200_000:
             self.known.clear()
-        out = []
+        ids: list[int] = []
+        ends = [0]
         for piece in pieces:
-            ids: list[int] = []
             for token in self.split(piece):
                 got = self.known.get(token)
                 if got is None:
@@ -151,8 +151,8 @@ class Vocabulary:
                     if len(token) < 64:
                         self.known[token] = got
                 ids += got
-            out.append(ids)
-        return out
+            ends.append(len(ids))
+        return np.array(ids, np.uint32), np.diff(ends)
 
     def decode(self, ids: np.ndarray) -> np.ndarray:
         """Bytes of the ids' tokens, and how many each has."""

@@ -1,10 +1,11 @@
 """Token ids of whole texts by encoding each different piece once.
 
-A text is cut before single spaces between two ASCII characters that are no
-white space, and between an ASCII letter or digit and ASCII punctuation other
-than the apostrophe. The pre-tokenizer's pattern always starts a new match at
-such places and looks at nothing before them, so the ids of a text are the ids
-of its pieces one after the other. Different pieces are found by Arrow's
+A text is cut before a single space, and on both sides of a single line feed,
+between two characters that are no white space, and between a letter or digit
+and ASCII punctuation other than the apostrophe (characters that the bytes do
+not show to be of these kinds are not cut at). The pre-tokenizer's pattern
+always starts a new match at such places and looks at nothing before them, so
+the ids of a text are the ids of its pieces one after the other. Different pieces are found by Arrow's
 dictionary encoding; ids of common pieces stay in a bounded cache per worker.
 """
 
@@ -17,36 +18,54 @@ import pyarrow as pa
 
 from adtally.llm.common import ranges, text_bytes
 
-#: Pieces kept per worker; when full, the cache starts anew.
-CACHE_PIECES = 400_000
+#: Pieces of each of the two generations that a worker keeps: when the young one
+#: is full it becomes the old one, from which pieces in use move to a new young one.
+CACHE_PIECES = 450_000
 
-_ALNUM = np.zeros(256, bool)
-_ALNUM[[*range(48, 58), *range(65, 91), *range(97, 123)]] = True
-_PUNCT = np.zeros(256, bool)
-_PUNCT[[*range(33, 39), *range(40, 48), *range(58, 65), *range(91, 97), *range(123, 127)]] = True
-_INK = np.zeros(256, bool)
-_INK[33:127] = True
-#: Cuts lie between ASCII bytes only, so white space beyond ASCII is never next to one.
+def _bytes(*values: int | range) -> np.ndarray:
+    out = np.zeros(256, bool)
+    for v in values:
+        out[[v] if isinstance(v, int) else list(v)] = True
+    return out
+
+
+_ALNUM = _bytes(range(48, 58), range(65, 91), range(97, 123))
+_PUNCT = _bytes(range(33, 39), range(40, 48), range(58, 65), range(91, 97), range(123, 127))
+_INK = _bytes(range(33, 127))
+#: First bytes of characters that are never white space (which is U+0085 and
+#: U+00A0 after C2, U+1680 after E1, U+2000 and so on after E2, U+3000 after E3).
+_LEAD2, _LEAD3, _LEAD4 = _bytes(range(0xC3, 0xE0)), _bytes(0xE0, range(0xE4, 0xF0)), _bytes(range(0xF0, 0xF5))
+_STARTS = _INK | _LEAD2 | _LEAD3 | _LEAD4
+#: Second bytes after C3 of letters (all of U+00C0 to U+00FF but the two signs).
+_LATIN = _bytes(*[v for v in range(0x80, 0xC0) if v not in (0x97, 0xB7)])
 
 
 def cut_places(raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Ascending byte positions at which a new piece starts, text starts included."""
     cut = np.zeros(len(raw) + 1, bool)
     if len(raw) > 2:
-        ink = _INK[raw]
-        cut[1:-2] = (raw[1:-1] == 32) & ink[:-2] & ink[2:]
-        cut[1:-1] |= _PUNCT[raw[1:]] & _ALNUM[raw[:-1]]
+        tail = (raw & 0xC0) == 0x80
+        ends = _INK[raw]  # the last byte of a character that is no white space
+        ends[1:] |= tail[1:] & _LEAD2[raw[:-1]]
+        ends[2:] |= tail[2:] & _LEAD3[raw[:-2]]
+        word = _ALNUM[raw]  # the last byte of a letter or digit
+        word[1:] |= (raw[:-1] == 0xC3) & _LATIN[raw[1:]]
+        alone = ends[:-2] & _STARTS[raw[2:]]  # one byte between two such characters
+        cut[1:-2] = ((raw[1:-1] == 32) | (raw[1:-1] == 10)) & alone
+        cut[2:-1] |= (raw[1:-1] == 10) & alone
+        cut[1:-1] |= _PUNCT[raw[1:]] & word[:-1]
     cut[offsets] = True
     cut[len(raw)] = False
     return np.flatnonzero(cut)
 
 
 class PieceCoder:
-    """Encodes batches of texts with ``encode``: list of pieces -> list of id lists."""
+    """Encodes batches of texts with ``encode``: pieces -> (ids of all, how many each has)."""
 
-    def __init__(self, encode: Callable[[list[str]], list[list[int]]]):
+    def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]]):
         self.encode = encode
-        self.cache: dict[str, bytes] = {}
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
 
     def ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts one after the other, where each text's begin, with the end)."""
@@ -65,18 +84,21 @@ class PieceCoder:
         return out, ends[np.searchsorted(starts, offsets)]
 
     def _table(self, different: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        get = self.cache.get
-        found = list(map(get, different))
+        found = list(map(self.young.get, different))
         missing = [i for i, x in enumerate(found) if x is None]
-        if missing:
-            if len(self.cache) + len(missing) > CACHE_PIECES:
-                self.cache.clear()
-            keep = len(self.cache) + len(missing) <= CACHE_PIECES
-            for lot in range(0, len(missing), 20_000):
-                part = missing[lot: lot + 20_000]
-                for i, ids in zip(part, self.encode([different[i] for i in part])):
-                    found[i] = np.asarray(ids, np.uint32).tobytes()
-                    if keep and len(different[i]) < 64:
-                        self.cache[different[i]] = found[i]
+        unknown = []
+        for i in missing:
+            found[i] = self.old.get(different[i])
+            if found[i] is None:
+                unknown.append(i)
+        for lot in range(0, len(unknown), 20_000):
+            part = unknown[lot: lot + 20_000]
+            ids, counts = self.encode([different[i] for i in part])
+            raw, ends = ids.astype(np.uint32).tobytes(), np.concatenate([[0], np.cumsum(counts)]).tolist()
+            for i, a, b in zip(part, ends, ends[1:]):
+                found[i] = raw[4 * a: 4 * b]
+        self.young.update((different[i], found[i]) for i in missing if len(different[i]) < 64)
+        if len(self.young) > CACHE_PIECES:
+            self.young, self.old = {}, self.young
         lengths = np.fromiter(map(len, found), np.int64, len(found)) >> 2
         return np.frombuffer(b"".join(found), np.uint32), np.concatenate([[0], np.cumsum(lengths)])
