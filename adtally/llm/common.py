@@ -9,6 +9,7 @@ from pathlib import Path
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from adtally.session import scratch_path
 
@@ -36,6 +37,16 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def own_names(df: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """``df`` with names that clash with no other, and the new name of each old one."""
+    names = {c: f"_in_{i}" for i, c in enumerate(df.columns)}
+    return df.select(*[F.col(f"`{c}`").alias(n) for c, n in names.items()]), names
+
+
+def old_names(df: DataFrame, names: dict[str, str]) -> DataFrame:
+    return df.select(*[F.col(n).alias(c) for c, n in names.items()])
+
+
 def sized_broadcast(df: DataFrame, rows: int | None = None) -> DataFrame:
     """``df`` (written before, few narrow columns) with a broadcast hint if its
     counted rows are within ``BROADCAST_ROWS``; else unchanged, to be shuffled."""

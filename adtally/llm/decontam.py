@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from adtally.llm.common import materialize, sized_broadcast, steps
+from adtally.llm.common import materialize, old_names, own_names, sized_broadcast, steps
 from adtally.llm.words import mix, word_hashes
 
 #: The masks, of six words each.
@@ -118,10 +118,10 @@ def benchmark_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id
     item_id, first_word (of the aligned item in the document), matched_words,
     item_words; of several alignments the best, then the first."""
     spark = docs.sparkSession
-    items = benchmark.select(F.col(item_col).alias("item_id"), F.coalesce(F.col(item_text_col).cast("string"), F.lit("")).alias("text")).distinct()
+    items = benchmark.select(F.col(item_col).cast("long").alias("item_id"), F.coalesce(F.col(item_text_col).cast("string"), F.lit("")).alias("text")).distinct()
     windows = materialize(items.mapInArrow(_item_windows, "item_id long, item_words int, mask int, item_at int, hash long"), "item-windows")
     bitmap = spark.sparkContext.broadcast(_bitmap(windows.select("hash").distinct()))
-    rows = docs.select(F.col(id_col).alias("doc_id"), text_key(F.col(text_col)).alias("fp"),
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_key(F.col(text_col)).alias("fp"),
                        F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     met = rows.mapInArrow(_doc_windows(bitmap), "doc_id long, fp string, at int, hash long")
     offsets = F.create_map(*[x for i, m in enumerate(MASKS) for x in (F.lit(i), F.array(*[F.lit(j) for j, c in enumerate(m) if c == "1"]))])
@@ -142,4 +142,6 @@ def drop_leaking(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     """``docs`` without the rows that leak an item of ``benchmark``."""
     leaks = materialize(benchmark_leaks(docs, benchmark, id_col, text_col)
                         .select(F.col("doc_id").alias("_leak_id"), F.col("fp").alias("_leak_fp")).distinct(), "leaks")
-    return docs.join(sized_broadcast(leaks), (text_key(F.col(text_col)) == F.col("_leak_fp")) & F.col(id_col).eqNullSafe(F.col("_leak_id")), "left_anti")
+    renamed, names = own_names(docs)
+    same = (text_key(F.col(names[text_col])) == F.col("_leak_fp")) & F.col(names[id_col]).eqNullSafe(F.col("_leak_id"))
+    return old_names(renamed.join(sized_broadcast(leaks), same, "left_anti"), names)

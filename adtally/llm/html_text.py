@@ -54,10 +54,10 @@ _SPACE = re.compile(r"\s+")
 
 
 class Node:
-    __slots__ = ("tag", "children", "dropped", "chars", "tags", "link_chars", "link_tags", "density")
+    __slots__ = ("tag", "children", "dropped", "in_article", "chars", "tags", "link_chars", "link_tags", "density")
 
-    def __init__(self, tag: str, dropped: bool = False):
-        self.tag, self.dropped = tag, dropped
+    def __init__(self, tag: str, dropped: bool = False, in_article: bool = False):
+        self.tag, self.dropped, self.in_article = tag, dropped, in_article
         self.children: list[Node | str] = []
 
 
@@ -112,7 +112,8 @@ def parse(page: str) -> Node:
                 if open_nodes[i].tag in closes:
                     del open_nodes[i:]
                     break
-        node = Node(tag, _unwanted(tag, m.group(3), any(n.tag == "article" for n in open_nodes)))
+        inside = open_nodes[-1].in_article
+        node = Node(tag, _unwanted(tag, m.group(3), inside), inside or tag == "article")
         open_nodes[-1].children.append(node)
         if tag in _RAW:
             end = re.compile(rf"</{tag}\s*>", re.I).search(page, at)

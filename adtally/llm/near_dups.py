@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from adtally.llm.common import materialize, sized_broadcast, steps
+from adtally.llm.common import materialize, old_names, own_names, sized_broadcast, steps
 from adtally.llm.words import mix, shingle_hashes, word_hashes
 
 SHINGLE_WORDS = 5
@@ -246,7 +246,8 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     classes = near_duplicate_classes(docs, id_col, text_col)
     keep = materialize(classes.groupBy("root").agg(F.min(F.struct("doc_id", "fp")).alias("k"))
                        .select(F.col("k.doc_id").alias("_kept_id"), F.col("k.fp").alias("_kept_fp")), "kept")
-    fp = F.md5(F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary"))
-    marked = docs.withColumn("_near_fp", fp)
-    kept = marked.join(keep, (F.col("_near_fp") == F.col("_kept_fp")) & F.col(id_col).eqNullSafe(F.col("_kept_id")), "left_semi")
-    return kept.dropDuplicates([id_col, "_near_fp"]).drop("_near_fp")
+    renamed, names = own_names(docs)
+    fp = F.md5(F.coalesce(F.col(names[text_col]).cast("string"), F.lit("")).cast("binary"))
+    marked = renamed.withColumn("_near_fp", fp)
+    kept = marked.join(keep, (F.col("_near_fp") == F.col("_kept_fp")) & F.col(names[id_col]).eqNullSafe(F.col("_kept_id")), "left_semi")
+    return old_names(kept.dropDuplicates([names[id_col], "_near_fp"]), names)

@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from adtally.llm.common import materialize, sized_broadcast
+from adtally.llm.common import materialize, old_names, own_names, sized_broadcast
 
 #: Base rules.
 LEAST_WORDS, MOST_REPEATED_PERCENT = 50, 50
@@ -135,12 +135,11 @@ def keep_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     # and would have their arrays computed again inside its lambdas
     judged = materialize(_judged(docs, id_col, text_col, host_col).select("host", "doc_id", "key", "kept"), "judged")
     rejected = judged.where("not kept").select(F.col("host").alias("_h"), F.col("doc_id").alias("_i"), F.col("key").alias("_k")).distinct()
-    names = {c: f"_in_{i}" for i, c in enumerate(docs.columns)}
-    renamed = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in names.items()])
+    renamed, names = own_names(docs)
     same = ((F.xxhash64(F.coalesce(F.col(names[text_col]).cast("string"), F.lit(""))) == F.col("_k")) & F.col(names[id_col]).eqNullSafe(F.col("_i"))
             & F.col(names[host_col]).cast("string").eqNullSafe(F.col("_h")))
     kept = renamed.join(sized_broadcast(rejected), same, "left_anti")
-    return kept.select(*[F.col(n).alias(c) for c, n in names.items()])
+    return old_names(kept, names)
 
 
 #: The same rules in DuckDB SQL over the view ``documents``.
