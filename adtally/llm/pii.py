@@ -164,10 +164,12 @@ def fit(patterns: list[tuple[str, tuple[int, ...], int, int]], rounds: int = 60)
     v = np.array([p[1] for p in patterns])
     known = np.array([p[2] for p in patterns])
     n = np.array([p[3] for p in patterns], float)
-    y = np.where(known >= 0, known, np.clip(0.5 + 0.2 * v.sum(axis=1), 0.05, 0.95)).astype(float)
+    # every candidate has its format already: the other votes tell candidates apart
+    y = np.where(known >= 0, known, np.clip(0.4 + 0.25 * v[:, 1:].sum(axis=1), 0.05, 0.95)).astype(float)
+    unknown = n * (known < 0)
     right, wrong = PRIOR
     for _ in range(rounds):
-        prior = np.clip(((n * y).sum() + 1) / (n.sum() + 2), 1e-6, 1 - 1e-6)
+        prior = np.clip(((unknown * y).sum() + 1) / (unknown.sum() + 4), 1e-6, 1 - 1e-6)  # of candidates, not of known cases
         odds = np.full(len(n), np.log(prior / (1 - prior)))
         rates = []
         for j in range(v.shape[1]):
