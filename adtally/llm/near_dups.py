@@ -162,22 +162,29 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return joined.mapInArrow(_overlaps, "a string, b string")
 
 
+def _state(edges: DataFrame) -> tuple:
+    """Count and two checksums of a set of edges."""
+    h = F.xxhash64("u", "v")
+    return tuple(edges.agg(F.count("*"), F.bit_xor(h), F.sum(F.pmod(h, F.lit(1 << 40)))).first())
+
+
 def components(links: DataFrame) -> DataFrame:
     """(fp, root) for every end of ``links`` (a, b), by alternating large and
-    small stars; root is the least node of the component."""
+    small stars; root is the least node of the component. Joins against the
+    least neighbours are broadcast while the edges are within the bound."""
     edges = materialize(links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges")
-    while True:
+    state = _state(edges)
+    while state[0]:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = (both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-                 .where("u <> v").distinct())
+        large = both.join(sized_broadcast(least, 2 * state[0]), "u").where("v > u and v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = (large.join(least, "u").select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e"))
+        small = (large.join(sized_broadcast(least, 2 * state[0]), "u").select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e"))
                  .select("e.u", "e.v").where("u <> v").distinct())
-        after = materialize(small, "edges")
-        if not after.join(edges, ["u", "v"], "left_anti").take(1) and not edges.join(after, ["u", "v"], "left_anti").take(1):
+        edges = materialize(small, "edges")
+        before, state = state, _state(edges)
+        if state == before:
             break
-        edges = after
     roots = edges.select("v").distinct()
     return edges.select(F.col("u").alias("fp"), F.col("v").alias("root")).unionByName(
         roots.select(F.col("v").alias("fp"), F.col("v").alias("root")))
@@ -205,14 +212,27 @@ def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: st
     texts = materialize(rows.select("fp", "text").join(sized_broadcast(needed), "fp", "left_semi").dropDuplicates(["fp"]), "texts")
     links = materialize(_verified(pairs, texts), "links")
     labels = materialize(components(links), "labels")
-    links = materialize(links.unionByName(_bridges(held, leaders, labels, pairs, signed, texts)), "links")
-    labels = materialize(components(links), "labels")
-    rooted = nodes.join(labels, "fp", "left").select("fp", "first_id", F.coalesce("root", "fp").alias("root"))
+    bridges = materialize(_bridges(held, leaders, labels, pairs, signed, texts), "bridges")
+    if bridges.take(1):
+        labels = _merged(labels, bridges)
+    rooted = nodes.join(sized_broadcast(labels), "fp", "left").select("fp", "first_id", F.coalesce("root", "fp").alias("root"))
     classes = rooted.groupBy("root").agg(F.min("first_id").alias("class_id"))
     named = rooted.join(classes, "root").select("fp", "class_id", "root")
     return rows.select("doc_id", "fp").join(named, "fp").select("doc_id", "class_id", "fp", "root")
 
 
+def _merged(labels: DataFrame, bridges: DataFrame) -> DataFrame:
+    """``labels`` after the components that ``bridges`` (a, b) join have become one."""
+    named = sized_broadcast(labels)
+    ends = [named.select(F.col("fp").alias(c), F.col("root").alias(f"r{c}")) for c in ("a", "b")]
+    between = bridges.join(ends[0], "a", "left").join(ends[1], "b", "left").select(F.coalesce("ra", "a").alias("a"), F.coalesce("rb", "b").alias("b"))
+    higher = components(between).select(F.col("fp").alias("root"), F.col("root").alias("top"))
+    moved = labels.join(higher, "root", "left").select("fp", F.coalesce("top", "root").alias("root"))
+    # ends that had no link before
+    new = higher.select(F.col("root").alias("fp"), F.col("top").alias("root")).join(labels, "fp", "left_anti")
+    return materialize(moved.unionByName(new), "labels")
+
+
 def _pairs(met: DataFrame) -> DataFrame:
     """Distinct pairs (a < b) of members and leaders."""
     return (met.where("fp <> leader").select(F.least("fp", "leader").alias("a"), F.greatest("fp", "leader").alias("b")).distinct())
@@ -221,6 +241,7 @@ def _pairs(met: DataFrame) -> DataFrame:
 def _bridges(held: DataFrame, leaders: DataFrame, labels: DataFrame, tried: DataFrame, signed: DataFrame, texts: DataFrame) -> DataFrame:
     """Links between components that share a bucket: its further leaders meet
     its members of other components."""
+    labels = sized_broadcast(labels)
     labelled = materialize(held.join(labels, "fp", "left").select("band", "fp", F.coalesce("root", "fp").alias("root")), "labelled")
     mixed = labelled.groupBy("band").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 <> r1").select("band")
     inside = labelled.join(mixed, "band", "left_semi")
