@@ -7,7 +7,7 @@ documents hold it. Boilerplate lines are taken out, and a document that is
 depleted by that is rejected.
 
 Copies and near copies of one page are no evidence of boilerplate: documents
-count as different by a sketch (their three longest different words), which
+count as different by a sketch (their longest words), which most
 copies share, and a line counts as boilerplate only if most of the texts that
 hold it differ in sketch. So a large group of copies does not reject itself.
 
@@ -30,7 +30,6 @@ LINE_DOCUMENTS = 10
 #: Depleted: fewer words than LEAST_WORDS are left, and more than this share
 #: of the words went with boilerplate lines.
 DEPLETED_PERCENT = 30
-SKETCH_WORDS = 3
 
 _GAP = r"[\x20\x09-\x0D]+"
 _METRICS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -72,9 +71,12 @@ def with_metrics(df: DataFrame, text: str = "_text") -> DataFrame:
 
 def line_rows(rows: DataFrame) -> DataFrame:
     """A row per line with a word: host, doc_id, key, sketch, at, line (hash), words."""
-    cut = rows.select("host", "doc_id", "key", F.split("_text", "\n").alias("_lines"), _words("_text").alias("_words"))
-    longest = F.slice(F.sort_array(F.transform(F.array_distinct("_words"), lambda w: F.struct(F.char_length(w), w)), asc=False), 1, SKETCH_WORDS)
-    cut = cut.select("host", "doc_id", "key", F.xxhash64(longest).alias("sketch"), F.posexplode("_lines").alias("at", "_line"))
+    # the sketch is made once a text, before its lines become rows
+    cut = rows.select("host", "doc_id", "key", "_text", _words("_text").alias("_words"))
+    cut = cut.select("host", "doc_id", "key", "_text", "_words", F.array_max(F.transform("_words", lambda w: F.char_length(w))).alias("_most"))
+    longest = F.array_sort(F.array_distinct(F.filter("_words", lambda w: F.char_length(w) == F.col("_most"))))
+    cut = cut.select("host", "doc_id", "key", F.xxhash64(longest).alias("sketch"), F.split("_text", "\n").alias("_lines"))
+    cut = cut.select("host", "doc_id", "key", "sketch", F.posexplode("_lines").alias("at", "_line"))
     normal = F.trim(F.lower(F.regexp_replace("_line", _GAP, " ")))
     cut = cut.select("host", "doc_id", "key", "sketch", "at", normal.alias("_line")).where("_line <> ''")
     # two hashes of 96 bits together name a line
@@ -154,8 +156,8 @@ lines AS (SELECT r, unnest(string_split(t, chr(10))) AS line FROM d),
 real AS (SELECT r, line, trim(lower(regexp_replace(line, '[\x20\x09-\x0D]+', ' ', 'g'))) AS norm
          FROM lines WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
 dup AS (SELECT r, count(*) - count(DISTINCT line) AS n FROM real GROUP BY r),
-sketch AS (SELECT r, list(x ORDER BY length(x) DESC, x DESC)[1:{SKETCH_WORDS}] AS s
-           FROM (SELECT DISTINCT r, unnest(words) AS x FROM w) GROUP BY r),
+sketch AS (SELECT r, list_sort(list_distinct(list_filter(words,
+             lambda x: length(x) = list_max(list_transform(words, lambda y: length(y)))))) AS s FROM w WHERE len(words) > 0),
 held AS (SELECT d.host, real.norm, sketch.s, d.t, d.r FROM real JOIN d USING (r) JOIN sketch USING (r)),
 freq AS (SELECT host, norm FROM held GROUP BY host, norm
          HAVING count(DISTINCT s) >= {LINE_DOCUMENTS} AND 2 * count(DISTINCT s) > count(DISTINCT t)),
