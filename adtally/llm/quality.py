@@ -74,11 +74,13 @@ def line_rows(rows: DataFrame) -> DataFrame:
     # the sketch is made once a text, before its lines become rows
     cut = rows.select("host", "doc_id", "key", "_text", _words("_text").alias("_words"))
     cut = cut.select("host", "doc_id", "key", "_text", "_words", F.array_max(F.transform("_words", lambda w: F.char_length(w))).alias("_most"))
-    longest = F.array_sort(F.array_distinct(F.filter("_words", lambda w: F.char_length(w) == F.col("_most"))))
+    # _most is used twice, so that Spark keeps it a column and doesn't make it anew for every word
+    longest = F.when(F.col("_most") > 0, F.array_sort(F.array_distinct(F.filter("_words", lambda w: F.char_length(w) == F.col("_most")))))
     cut = cut.select("host", "doc_id", "key", F.xxhash64(longest).alias("sketch"), F.split("_text", "\n").alias("_lines"))
     cut = cut.select("host", "doc_id", "key", "sketch", F.posexplode("_lines").alias("at", "_line"))
+    cut = cut.where(F.col("_line").rlike(r"[^\x20\x09-\x0D]"))
     normal = F.trim(F.lower(F.regexp_replace("_line", _GAP, " ")))
-    cut = cut.select("host", "doc_id", "key", "sketch", "at", normal.alias("_line")).where("_line <> ''")
+    cut = cut.select("host", "doc_id", "key", "sketch", "at", normal.alias("_line"))
     # two hashes of 96 bits together name a line
     return cut.select("host", "doc_id", "key", "sketch", "at", F.struct(F.xxhash64("_line").alias("a"), F.hash("_line").alias("b")).alias("line"),
                       F.size(F.split("_line", " ")).cast("long").alias("words"))
