@@ -58,7 +58,7 @@ def with_metrics(df: DataFrame, text: str = "_text") -> DataFrame:
         F.slice(F.transform("_hashes", lambda h, i: F.xxhash64(h, F.get("_hashes", i + 1), F.get("_hashes", i + 2))),
                 F.lit(1), F.greatest(F.size("_hashes") - 2, F.lit(0))).alias("_windows"))
     done = [c for c in df.columns if c != "_windows"]
-    df = df.select(*done, F.when(F.size(F.array_distinct("_windows")) < F.size("_windows"), F.array_sort(
+    df = df.select(*done, F.when(F.size(F.array_distinct("_windows")) < F.size("_windows"), F.sort_array(
         F.transform("_windows", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))).alias("_sorted"))
     twice = F.transform("_sorted", lambda e, j: F.when(
         (e["h"] == F.get("_sorted", j - 1)["h"]) | (e["h"] == F.get("_sorted", j + 1)["h"]), e["i"]))
@@ -75,7 +75,7 @@ def line_rows(rows: DataFrame) -> DataFrame:
     cut = rows.select("host", "doc_id", "key", "_text", _words("_text").alias("_words"))
     cut = cut.select("host", "doc_id", "key", "_text", "_words", F.array_max(F.transform("_words", lambda w: F.char_length(w))).alias("_most"))
     # _most is used twice, so that Spark keeps it a column and doesn't make it anew for every word
-    longest = F.when(F.col("_most") > 0, F.array_sort(F.array_distinct(F.filter("_words", lambda w: F.char_length(w) == F.col("_most")))))
+    longest = F.when(F.col("_most") > 0, F.sort_array(F.array_distinct(F.filter("_words", lambda w: F.char_length(w) == F.col("_most")))))
     cut = cut.select("host", "doc_id", "key", F.xxhash64(longest).alias("sketch"), F.split("_text", "\n").alias("_lines"))
     cut = cut.select("host", "doc_id", "key", "sketch", F.posexplode("_lines").alias("at", "_line"))
     cut = cut.where(F.col("_line").rlike(r"[^\x20\x09-\x0D]"))
