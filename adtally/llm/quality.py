@@ -6,10 +6,13 @@ rules. Across texts: normalised lines are hashed and counted per host (the
 documents hold it. Boilerplate lines are taken out, and a document that is
 depleted by that is rejected.
 
-Copies and near copies of one page are no evidence of boilerplate: documents
-count as different by a sketch (their longest words), which most
-copies share, and a line counts as boilerplate only if most of the texts that
-hold it differ in sketch. So a large group of copies does not reject itself.
+Copies and near copies of one page are no evidence of boilerplate. Exact copies
+are one text. Of the texts of a host that hold a line, one counts only if it is
+no near copy of one that counts by a lesser key; what is compared is the rest of
+the texts, without the line in question: a sample of its three-word windows (the
+least hash of each of ``SAMPLES`` classes), found by bands and compared in full.
+So a large group of copies does not reject itself, and neither a line that is
+most of its texts nor the size of a host hides boilerplate.
 
 Defined results: a null text has no words; a null source is a host of its own;
 null doc_ids stay; repeated rows give repeated rows; an empty table gives an
@@ -27,6 +30,10 @@ from adtally.llm.common import materialize, old_names, own_names, sized_broadcas
 LEAST_WORDS, MOST_REPEATED_PERCENT = 50, 50
 #: A line is boilerplate of a host from this many different documents on.
 LINE_DOCUMENTS = 10
+#: Near copies: this share of the samples of either text is the same.
+NEAR_PERCENT = 60
+#: Samples of a text, and how many of them a band has.
+SAMPLES, BAND = 64, 4
 #: Depleted: fewer words than LEAST_WORDS are left, and more than this share
 #: of the words went with boilerplate lines.
 DEPLETED_PERCENT = 30
@@ -69,33 +76,82 @@ def with_metrics(df: DataFrame, text: str = "_text") -> DataFrame:
                          | (100 * F.col("n_repeat_words") > MOST_REPEATED_PERCENT * F.col("n_words")))
 
 
-def line_rows(rows: DataFrame) -> DataFrame:
-    """A row per line with a word: host, doc_id, key, sketch, at, line (hash), words."""
-    # the sketch is made once a text, before its lines become rows
-    cut = rows.select("host", "doc_id", "key", "_text", _words("_text").alias("_words"))
-    cut = cut.select("host", "doc_id", "key", "_text", "_words", F.array_max(F.transform("_words", lambda w: F.char_length(w))).alias("_most"))
-    # _most is used twice, so that Spark keeps it a column and doesn't make it anew for every word
-    longest = F.when(F.col("_most") > 0, F.sort_array(F.array_distinct(F.filter("_words", lambda w: F.char_length(w) == F.col("_most")))))
-    cut = cut.select("host", "doc_id", "key", F.xxhash64(longest).alias("sketch"), F.split("_text", "\n").alias("_lines"))
-    cut = cut.select("host", "doc_id", "key", "sketch", F.posexplode("_lines").alias("at", "_line"))
+def _cut_lines(rows: DataFrame, *kept: str) -> DataFrame:
+    """A row per line with a word: the columns ``kept``, at, line (hash), _line (normalised)."""
+    cut = rows.select(*kept, F.split("_text", "\n").alias("_lines"))
+    cut = cut.select(*kept, F.posexplode("_lines").alias("at", "_line"))
     cut = cut.where(F.col("_line").rlike(r"[^\x20\x09-\x0D]"))
-    normal = F.trim(F.lower(F.regexp_replace("_line", _GAP, " ")))
-    cut = cut.select("host", "doc_id", "key", "sketch", "at", normal.alias("_line"))
+    cut = cut.select(*kept, "at", F.trim(F.lower(F.regexp_replace("_line", _GAP, " "))).alias("_line"))
     # two hashes of 96 bits together name a line
-    return cut.select("host", "doc_id", "key", "sketch", "at", F.struct(F.xxhash64("_line").alias("a"), F.hash("_line").alias("b")).alias("line"),
-                      F.size(F.split("_line", " ")).cast("long").alias("words"))
+    return cut.select(*kept, "at", F.struct(F.xxhash64("_line").alias("a"), F.hash("_line").alias("b")).alias("line"), "_line")
 
 
-def boilerplate_lines(lines: DataFrame) -> DataFrame:
+def line_rows(rows: DataFrame) -> DataFrame:
+    """A row per line with a word: host, doc_id, key, at, line (hash), words."""
+    cut = _cut_lines(rows, "host", "doc_id", "key")
+    return cut.select("host", "doc_id", "key", "at", "line", F.size(F.split("_line", " ")).cast("long").alias("words"))
+
+
+def _samples(texts: DataFrame) -> DataFrame:
+    """(key, samples) of ``texts`` (key, _text): for each class of window hashes
+    the least hash, its line, and the least hash outside that line."""
+    cut = _cut_lines(texts, "key").select("key", "line", F.transform(F.split("_line", " "), lambda w: F.xxhash64(w)).alias("_hashes"))
+    windows = F.slice(F.transform("_hashes", lambda h, i: F.xxhash64(h, F.get("_hashes", i + 1), F.get("_hashes", i + 2))),
+                      F.lit(1), F.greatest(F.size("_hashes") - 2, F.lit(1)))
+    found = cut.select("key", "line", F.explode(windows).alias("h"))
+    least = found.groupBy("key", F.pmod("h", F.lit(SAMPLES)).cast("int").alias("class"), "line").agg(F.min("h").alias("h"))
+    least = least.groupBy("key", "class").agg(F.sort_array(F.collect_list(F.struct("h", "line"))).alias("_all"))
+    # the same window may stand in several lines: it is there without one of them
+    least = least.select("key", F.struct("class", F.get("_all", F.lit(0)).alias("first"), F.get("_all", F.lit(1))["h"].alias("next")).alias("s"))
+    return least.groupBy("key").agg(F.collect_list("s").alias("_s")).select("key", F.map_from_entries(
+        F.transform("_s", lambda s: F.struct(s["class"], F.struct(s["first"]["h"].alias("h"), s["first"]["line"].alias("line"), s["next"].alias("next"))))).alias("samples"))
+
+
+def _copied(nodes: DataFrame) -> DataFrame:
+    """(host, line, key) of the ``nodes`` (host, line, key, rest) that are near
+    copies of a text with a lesser key; ``rest``: samples without the line.
+
+    Every text meets the one of least key in each of its bands, so a group of
+    any size makes pairs in proportion to its size."""
+    bands = F.array(*[F.when(F.size(F.array_compact(part)) > 0, F.struct(F.lit(i).alias("i"), F.xxhash64(part).alias("h")))
+                      for i, part in ((i, F.slice("rest", i + 1, BAND)) for i in range(0, SAMPLES, BAND))])
+    # texts of nothing else than the line are alike
+    bands = F.when(F.size(F.array_compact("rest")) > 0, F.array_compact(bands)).otherwise(F.array(F.struct(F.lit(-1).alias("i"), F.lit(0).cast("long").alias("h"))))
+    dealt = nodes.select("host", "line", "key", F.explode(bands).alias("band"))
+    first = dealt.groupBy("host", "line", "band").agg(F.min("key").alias("first"), F.count("*").alias("n")).where("n > 1")
+    first = materialize(first.select(F.col("host").alias("_host"), F.col("line").alias("_line"), F.col("band").alias("_band"), "first"), "bands")
+    met = dealt.join(first, (F.col("line") == F.col("_line")) & (F.col("band") == F.col("_band")) & F.col("host").eqNullSafe(F.col("_host")))
+    pairs = met.where("key > first").select("host", "line", "key", "first").distinct()
+    own, other = (nodes.select(F.col("host").alias(f"_h{i}"), F.col("line").alias(f"_l{i}"), F.col("key").alias(f"_k{i}"), F.col("rest").alias(f"rest{i}")) for i in (0, 1))
+    for side, at, i in ((own, "key", 0), (other, "first", 1)):
+        pairs = pairs.join(side, (F.col("line") == F.col(f"_l{i}")) & (F.col(at) == F.col(f"_k{i}")) & F.col("host").eqNullSafe(F.col(f"_h{i}")))
+    both = F.arrays_zip("rest0", "rest1")
+    same = F.size(F.filter(both, lambda x: x["rest0"] == x["rest1"]))
+    either = F.size(F.filter(both, lambda x: x["rest0"].isNotNull() | x["rest1"].isNotNull()))
+    return pairs.where(100 * same >= NEAR_PERCENT * either).select("host", "line", "key").distinct()
+
+
+def boilerplate_lines(lines: DataFrame, rows: DataFrame) -> DataFrame:
     """(host, line) of the lines that enough different documents of a host hold.
 
     Each level is pre-aggregated before its shuffle; the first is spread by
-    text, so a line of a third of all rows is no hot key.
+    text, so a line of a third of all rows is no hot key. Only texts that hold a
+    line of enough texts are compared.
     """
-    texts = lines.select("host", "line", "sketch", "key").distinct()
-    sketches = texts.groupBy("host", "line", "sketch").agg(F.count("*").alias("n"))
-    counted = sketches.groupBy("host", "line").agg(F.count("*").alias("different"), F.sum("n").alias("texts"))
-    return counted.where((F.col("different") >= LINE_DOCUMENTS) & (2 * F.col("different") > F.col("texts"))).select("host", "line")
+    texts = lines.select("host", "line", "key").distinct()
+    common = texts.groupBy("host", "line").agg(F.count("*").alias("n")).where(F.col("n") >= LINE_DOCUMENTS)
+    common = materialize(common.select(F.col("host").alias("_host"), F.col("line").alias("_line")), "common")
+    n = common.count()
+    held = materialize(texts.join(sized_broadcast(common, n), (F.col("line") == F.col("_line")) & F.col("host").eqNullSafe(F.col("_host")), "left_semi"), "held")
+    keys = materialize(held.select("key").distinct(), "keys")
+    samples = _samples(rows.join(sized_broadcast(keys), "key", "left_semi").select("key", "_text").dropDuplicates(["key"]))
+    rest = F.transform(F.sequence(F.lit(0), F.lit(SAMPLES - 1)), lambda i: F.col("samples")[i])
+    nodes = held.join(samples, "key").select("host", "line", "key", rest.alias("_rest"))
+    nodes = materialize(nodes.select("host", "line", "key", F.transform(
+        "_rest", lambda s: F.when(s["line"] == F.col("line"), s["next"]).otherwise(s["h"])).alias("rest")), "rests")
+    copied = _copied(nodes).select(F.col("host").alias("_host"), F.col("line").alias("_line"), F.col("key").alias("_key"))
+    different = held.join(copied, (F.col("line") == F.col("_line")) & (F.col("key") == F.col("_key")) & F.col("host").eqNullSafe(F.col("_host")), "left_anti")
+    return different.groupBy("host", "line").agg(F.count("*").alias("n")).where(F.col("n") >= LINE_DOCUMENTS).select("host", "line")
 
 
 def _rows(docs: DataFrame, id_col: str, text_col: str, host_col: str) -> DataFrame:
@@ -106,8 +162,9 @@ def _rows(docs: DataFrame, id_col: str, text_col: str, host_col: str) -> DataFra
 
 def boilerplate_words(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source") -> DataFrame:
     """(host, doc_id, key, boilerplate_words) of the documents that hold boilerplate lines."""
-    lines = materialize(line_rows(_rows(docs, id_col, text_col, host_col)), "lines")
-    frequent = materialize(boilerplate_lines(lines).select(F.col("host").alias("_host"), F.col("line").alias("_line")), "boilerplate")
+    rows = _rows(docs, id_col, text_col, host_col)
+    lines = materialize(line_rows(rows), "lines")
+    frequent = materialize(boilerplate_lines(lines, rows).select(F.col("host").alias("_host"), F.col("line").alias("_line")), "boilerplate")
     met = lines.join(sized_broadcast(frequent), (F.col("line") == F.col("_line")) & F.col("host").eqNullSafe(F.col("_host")), "left_semi")
     # repeated rows have the same lines at the same places: counted once
     once = met.select("host", "doc_id", "key", "at", "words").distinct()
