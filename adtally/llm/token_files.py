@@ -1,7 +1,8 @@
 """Token ids in binary files of patched frame-of-reference blocks.
 
-Documents are dealt out by ascending id; every task encodes its texts, appends
-the end id to each and writes shard files of bounded size to the shared folder
+Documents are dealt out by ascending id; every task encodes its texts as the
+tokenizers library does by default (an added token such as <|endoftext|> in a
+text gets its own id), appends the end id to each and writes shard files of bounded size to the shared folder
 (under a temporary name, renamed when whole: a task that runs again writes the
 same files again). A shard holds its documents' ids and counts, an index of
 where every block begins, and the blocks: 256 ids less the block's least, packed
@@ -35,7 +36,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from adtally.llm.common import importable, materialize, ranges, steps
+from adtally.llm.common import importable, materialize, ranges, steps, text_bytes
 from adtally.llm.pieces import PieceCoder
 from adtally.session import scratch_path
 
@@ -163,18 +164,75 @@ class Shard:
         return got[a - first * BLOCK: b - first * BLOCK]
 
 
-_CODERS: dict[str, PieceCoder] = {}
-
-
-def coder(path: str) -> PieceCoder:
+class TextCoder:
+    """Ids of whole texts as the tokenizer gives them (add_special_tokens=False).
+
+    Its added tokens are found in a text first, as the library does; the
+    stretches between them are encoded by pieces, each as a text of its own. If
+    an added token takes white space or word borders into account, or they are of
+    two kinds, or stand in normalized text, a text that may hold one goes through
+    the library whole.
+    """
+
+    def __init__(self, tokenizer):
+        self.tokenizer = tokenizer
+        self.pieces = PieceCoder(lambda pieces: _encode(tokenizer, pieces))
+        added = tokenizer.get_added_tokens_decoder()
+        self.number = {t.content: i for i, t in added.items()}
+        self.normalized = tokenizer.normalizer is not None and any(t.normalized for t in added.values())
+        # tokens that are not normalized go before those that are
+        self.plain = not any(t.lstrip or t.rstrip or t.single_word for t in added.values()) and len({t.normalized for t in added.values()}) < 2
+        # the leftmost, and of those the longest
+        self.search = re.compile("|".join(map(re.escape, sorted(self.number, key=len, reverse=True)))) if added else None
+
+    def ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts one after the other, where each text's begin, with the end)."""
+        if self.normalized:
+            return self._joined([self._whole(t or "") for t in texts.to_pylist()])
+        raw = text_bytes(texts)[0].tobytes() if self.search else b""
+        if not any(t.encode() in raw for t in self.number):
+            return self.pieces.ids(texts)
+        values = [t or "" for t in texts.to_pylist()]
+        if not self.plain:
+            flat, at = self.pieces.ids(texts)
+            return self._joined([self._whole(t) if self.search.search(t) else flat[a:b] for t, a, b in zip(values, at, at[1:])])
+        stretches, numbers, last = [], [], []
+        for text in values:
+            at = 0
+            for m in self.search.finditer(text):
+                stretches.append(text[at:m.start()])
+                numbers.append(self.number[m.group()])
+                at = m.end()
+            stretches.append(text[at:])
+            numbers.append(-1)  # no token after a text's last stretch
+            last.append(len(stretches))
+        flat, at = self.pieces.ids(pa.array(stretches, pa.string()))
+        after = np.array(numbers, np.int64)
+        token = after >= 0
+        ends = np.concatenate([[0], np.cumsum(np.diff(at) + token)])
+        out = np.empty(int(ends[-1]), np.uint32)
+        out[ranges(ends[:-1], np.diff(at))] = flat
+        out[ends[1:][token] - 1] = after[token]
+        return out, ends[np.concatenate([[0], np.array(last, np.int64)])]
+
+    def _whole(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
+
+    @staticmethod
+    def _joined(each: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        return np.concatenate([np.zeros(0, np.uint32), *each]), np.concatenate([[0], np.cumsum([len(x) for x in each], dtype=np.int64)])
+
+
+_CODERS: dict[str, TextCoder] = {}
+
+
+def coder(path: str) -> TextCoder:
     if path not in _CODERS:
         # one core per task, as Spark has scheduled it
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        t = Tokenizer.from_file(path)
-        t.encode_special_tokens = True  # their strings in a text are ordinary text
-        _CODERS[path] = PieceCoder(lambda pieces: _encode(t, pieces))
+        _CODERS[path] = TextCoder(Tokenizer.from_file(path))
     return _CODERS[path]
 
 
