@@ -17,7 +17,9 @@ pairs. Leaders are the members with most meetings, so that a text finds the one
 it was copied from. Candidates are verified on the full shingle multisets. Where
 a bucket then still holds several components, its next leaders are compared with
 the members of other components: all pairs of a bucket of up to ``LEADERS + 1``
-members, and a number of pairs in proportion to its size in a larger one.
+members. In a larger one the sketches of all pairs of different components are
+compared, block by block; those that agree are verified in rounds, the best few
+of two components first, until every such pair is joined or tried.
 
 Defined results: a null text is empty; words are lower-case alphanumeric runs;
 a text of one to four words is one shingle; texts without words are copies only
@@ -50,6 +52,8 @@ REGISTERS = BANDS * ROWS
 LEAST_AGREE = 57
 #: Leaders of a bucket that still holds several components.
 LEADERS = 8
+#: Members of a block of a bucket, of which two meet in one step.
+BLOCK = 1000
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -215,6 +219,7 @@ def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: st
     bridges = materialize(_bridges(held, leaders, labels, pairs, signed, texts), "bridges")
     if bridges.take(1):
         labels = _merged(labels, bridges)
+    labels = _joined_in_full(held.where(F.col("size") > LEADERS + 1), labels, pairs, signed, texts)
     rooted = nodes.join(sized_broadcast(labels), "fp", "left").select("fp", "first_id", F.coalesce("root", "fp").alias("root"))
     classes = rooted.groupBy("root").agg(F.min("first_id").alias("class_id"))
     named = rooted.join(classes, "root").select("fp", "class_id", "root")
@@ -254,6 +259,82 @@ def _bridges(held: DataFrame, leaders: DataFrame, labels: DataFrame, tried: Data
     return _verified(materialize(pairs, "bridge-pairs"), texts)
 
 
+def _joined_in_full(held: DataFrame, labels: DataFrame, tried: DataFrame, signed: DataFrame, texts: DataFrame) -> DataFrame:
+    """``labels`` after every pair of agreeing sketches of a bucket of ``held`` is in one component or verified.
+
+    A round takes a number of pairs of two components and block pair, the best
+    first, and the next one four times as many; it is the last if none was left out."""
+    most = LEADERS
+    while True:
+        cells = _cells(held, labels, signed)
+        if cells is None:
+            return labels
+        found = materialize(cells.groupBy("band", "i", "j").applyInArrow(_crossing(most), "a string, b string, more boolean"), "crossing")
+        fresh = materialize(found.select("a", "b").distinct().join(tried, ["a", "b"], "left_anti"), "fresh")
+        links = materialize(_verified(fresh, texts), "links")
+        if links.take(1):
+            labels = _merged(labels, links)
+        if not found.where("more").take(1):
+            return labels
+        tried, most = tried.unionByName(fresh), 4 * most
+
+
+def _cells(held: DataFrame, labels: DataFrame, signed: DataFrame) -> DataFrame | None:
+    """(band, i, j, own, fp, root, sketch): the members of blocks i and j of a
+    bucket of several components. Blocks of its largest one have numbers below
+    zero and do not meet each other."""
+    labelled = held.join(sized_broadcast(labels), "fp", "left").select("band", "fp", F.coalesce("root", "fp").alias("root"))
+    labelled = materialize(labelled, "labelled")
+    sizes = labelled.groupBy("band", "root").agg(F.count("*").alias("n"))
+    mixed = sizes.groupBy("band").agg(F.count("*").alias("roots"), F.sum("n").alias("total"), F.max(F.struct("n", "root")).alias("top")).where("roots > 1")
+    mixed = materialize(mixed.select("band", F.col("top.root").alias("top"), F.ceil(F.col("top.n") / BLOCK).cast("int").alias("inside"),
+                                     F.ceil((F.col("total") - F.col("top.n")) / BLOCK).cast("int").alias("outside")), "mixed")
+    n = mixed.count()
+    if not n:
+        return None
+    rows = labelled.join(sized_broadcast(mixed, n), "band").withColumn("largest", F.col("root") == F.col("top"))
+    h = F.xxhash64("fp")
+    rows = rows.withColumn("own", F.when(F.col("largest"), -1 - F.pmod(h, F.col("inside"))).otherwise(F.pmod(h, F.col("outside"))).cast("int"))
+    others = F.sequence(F.lit(0), F.col("outside") - 1)
+    met = F.when(F.col("largest"), F.transform(others, lambda y: F.struct(y.alias("i"), F.col("own").alias("j")))).otherwise(F.concat(
+        F.transform(others, lambda y: F.struct(F.least("own", y).alias("i"), F.greatest("own", y).alias("j"))),
+        F.transform(F.sequence(F.lit(1), F.col("inside")), lambda y: F.struct(F.col("own").alias("i"), (-y).alias("j")))))
+    rows = rows.select("band", "fp", "root", "own", met.alias("met")).join(signed.select("fp", "sketch"), "fp")
+    return rows.select("band", "own", "fp", "root", "sketch", F.explode("met").alias("cell")).select("band", "cell.i", "cell.j", "own", "fp", "root", "sketch")
+
+
+def _crossing(most: int):
+    """Pairs of a cell whose sketches agree and whose components differ: up to
+    ``most`` of two components, by agreement; ``more``: some were left out."""
+    def run(cell: pa.Table) -> pa.Table:
+        cell = cell.combine_chunks()
+        own, i, j = cell["own"].to_numpy(), cell["i"][0].as_py(), cell["j"][0].as_py()
+        names = np.array(cell["fp"].to_pylist(), object)
+        order = np.argsort(names)
+        names, own = names[order], own[order]
+        root = np.unique(np.array(cell["root"].to_pylist(), object), return_inverse=True)[1][order]
+        sketch = np.frombuffer(b"".join(cell["sketch"].to_pylist()), np.uint16).reshape(-1, REGISTERS)[order]
+        left, right = np.flatnonzero(own == i), np.flatnonzero(own == j)
+        parts = []
+        for x in left:
+            to = right[(root[right] != root[x]) & ((right > x) if i == j else True)]
+            agree = (sketch[to] == sketch[x]).sum(axis=1)
+            good = agree >= LEAST_AGREE
+            parts.append((np.full(int(good.sum()), x), to[good], agree[good]))
+        x, y, agree = (np.concatenate(c) if parts else np.zeros(0, np.int64) for c in (list(zip(*parts)) or [()] * 3))
+        two = np.minimum(root[x], root[y]) * len(names) + np.maximum(root[x], root[y])
+        by = np.lexsort((y, x, -agree, two))
+        x, y, two = x[by], y[by], two[by]
+        first = np.flatnonzero(np.append(True, two[1:] != two[:-1])) if len(two) else np.zeros(0, np.int64)
+        nth = np.arange(len(two)) - np.repeat(first, np.diff(np.append(first, len(two))))
+        kept = nth < most
+        a, b = names[np.minimum(x, y)[kept]].tolist(), names[np.maximum(x, y)[kept]].tolist()
+        more = not kept.all()
+        return pa.table({"a": pa.array(a, pa.string()), "b": pa.array(b, pa.string()), "more": pa.array([more] * len(a), pa.bool_())})
+
+    return run
+
+
 def _agreeing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         if not batch.num_rows:
