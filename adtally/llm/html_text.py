@@ -10,8 +10,10 @@ by how much of the text stands in links,
 with C characters, T tags, LC and LT those in links, NC = C - LC, and Cb, LCb
 those of the body (counts below one are one). A node's density sum is the sum of
 its children's densities; the node with the greatest one holds the main text.
-The least density on the path from the body to that node is the threshold: of
-its subtree, parts that are less dense and hold more link than other text go.
+The least density on the path from the body to that node is the threshold. All
+blocks of an article or main element stay; elsewhere in the chosen subtree
+containers and lists that are less dense and hold more link than other text go
+(unmarked menus), while headings and paragraphs always stay.
 
 Elements that are never main text by their kind (scripts, styles, forms, menus,
 headers and footers of the page, sidebars) and those whose class or id says so
@@ -53,6 +55,10 @@ _ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|aria-hidden|style)\s*(?:=\s*(\
 _SPACE = re.compile(r"\s+")
 
 
+#: Text by their kind, also if they are one link.
+_TEXT = frozenset("h1 h2 h3 h4 h5 h6 hgroup p pre blockquote figcaption dd dt".split())
+
+
 class Node:
     __slots__ = ("tag", "children", "dropped", "in_article", "chars", "tags", "link_chars", "link_tags", "density")
 
@@ -186,7 +192,8 @@ def main_node(root: Node) -> tuple[Node, float]:
 
 
 def blocks(node: Node, threshold: float) -> list[str]:
-    """Texts of the block elements under ``node`` in page order."""
+    """Texts of the block elements under ``node`` in page order; ``threshold``
+    holds outside of articles only."""
     out: list[str] = []
     current: list[str] = []
 
@@ -196,24 +203,25 @@ def blocks(node: Node, threshold: float) -> list[str]:
         if text:
             out.append(text)
 
-    stack: list[Node | str | None] = [node]
+    stack: list[tuple[Node | str | None, bool]] = [(node, False)]
     while stack:
-        item = stack.pop()
+        item, whole = stack.pop()
         if item is None:
             close()
         elif isinstance(item, str):
             current.append(item)
         elif not item.dropped:
-            if item is not node and item.tag in _BLOCK and item.density < threshold and 2 * item.link_chars > item.chars:
-                continue  # a link list inside the article
+            whole = whole or item.in_article or item.tag == "main" or item.tag in _TEXT
+            if not whole and item is not node and item.tag in _BLOCK and item.density < threshold and 2 * item.link_chars > item.chars:
+                continue  # a link list outside of an article
             if item.tag == "br":
                 current.append(" ")
                 continue
             block = item.tag in _BLOCK
             if block:
                 close()
-                stack.append(None)
-            stack.extend(reversed(item.children))
+                stack.append((None, whole))
+            stack.extend((c, whole) for c in reversed(item.children))
     close()
     return out
 
