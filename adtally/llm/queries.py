@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adtally.llm import bpe, decontam, html_text, near_dups, pii, quality, repeats, secrets, token_files, url_filter
+from adtally.llm import alignment, bpe, class_lm, decontam, html_text, merkle, near_dups, pii, quality, repeats, secrets, token_files, url_filter
 from adtally.llm.common import table
 
 #: The rules of op5.
@@ -64,8 +64,20 @@ def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.remove_repeats(table(spark, sf_dir, "documents"))
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.audit(table(spark, sf_dir, "documents"))
+
+
+def op13_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return class_lm.score_documents(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    named = (op1_secrets, op2_decontaminate, op3_token_files, op4_near_duplicates, op5_url_filter, op6_bpe, op7_html_text, op8_quality, op9_pii, op10_repeats)
+    named = (op1_secrets, op2_decontaminate, op3_token_files, op4_near_duplicates, op5_url_filter, op6_bpe, op7_html_text, op8_quality, op9_pii, op10_repeats, op11_alignment, op12_merkle, op13_class_lm)
     return {f.__name__: f for f in named}
 
 
@@ -89,4 +101,4 @@ FROM h LEFT JOIN fit USING (r)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_secrets": secrets.ORACLE, "op5_url_filter": _url_oracle(), "op8_quality": quality.ORACLE}
+    return {"op1_secrets": secrets.ORACLE, "op5_url_filter": _url_oracle(), "op8_quality": quality.ORACLE, "op12_merkle": merkle.ORACLE}
