@@ -7,6 +7,7 @@ FIXTURES.md) and runs over the whole tables.
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -30,6 +31,7 @@ from adtally.plans import (
     daily_reports,
     kpi_report_cte,
     kpi_report_two_step,
+    read_quarantine,
     run_etl,
     run_reports,
     stamp_date,
@@ -42,12 +44,12 @@ from adtally.sources import read_ad_log, read_day
 from adtally.streaming import start_etl_stream
 
 # The training-data operators and their pipeline are an optional part.
+# Any import error of theirs, a library that is not installed too, leaves them out.
 try:
     import corpus_pipeline
     from adtally.llm import queries as llm_queries
-except ModuleNotFoundError as missing:
-    if missing.name not in ("corpus_pipeline", "adtally.llm"):
-        raise
+except ImportError as missing:
+    logging.getLogger(__name__).warning("without the training-data operators: %s", missing)
     corpus_pipeline = llm_queries = None
 
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -207,6 +209,38 @@ def q_report_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(schema).parquet(out)
 
 
+#: Of 50 events, one line is cut off and one has a text for a number.
+_CUT_LINE = "concat('{\"uuid\":\"u', CAST(event_id AS STRING), '\",\"ip\":')"
+_TYPE_LINE = "concat('{\"uuid\":\"u', CAST(event_id AS STRING), '\",\"requestmode\":\"none\"}')"
+
+
+def q_etl_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A log with broken lines through the ETL: the readable rows as written, and the
+    text of the others from the quarantine."""
+    logged = fx.ad_log_from(spark, sf_dir).drop("ip_num")
+    number = F.expr("CAST(substring(uuid, 2) AS BIGINT)").alias("event_id")
+    lines = logged.select(number, F.to_json(F.struct(*logged.columns)).alias("value")).selectExpr(
+        f"CASE event_id % 50 WHEN 7 THEN {_CUT_LINE} WHEN 8 THEN {_TYPE_LINE} ELSE value END AS value")
+    path, out, aside = (scratch_path(spark, f"quarantine-{x}") for x in ("log", "fact", "lines"))
+    lines.write.text(path)
+    run_etl(spark, path, _dictionary(spark, sf_dir), out, run_date=fx.ETL_RUN_DATE, log_schema=DATED_LOG_SCHEMA, stamp=False, quarantine=aside)
+    good = spark.read.schema(ENRICHED_SCHEMA).parquet(out).select("uuid", "requestmode", "city", "date_str", F.lit(None).cast("string").alias("line"))
+    nothing = [F.lit(None).cast(t).alias(c) for c, t in good.dtypes[:3]]
+    return good.unionByName(read_quarantine(spark, aside).select(*nothing, F.col("load_date").alias("date_str"), "line"))
+
+
+def q_report_upsert_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One upsert of two days into a history of all days: their rows are replaced,
+    the other days are neither read nor written."""
+    enriched = _enriched(spark, sf_dir)
+    history = enriched.groupBy(F.col("date_str").alias("report_date"), *REGION).count()
+    out = scratch_path(spark, "upsert-days")
+    upsert_partitions(history, out, REGION)
+    days = history.where(F.col("report_date").isin(fx.PREVIOUS_DAY, fx.DAY)).withColumn("count", F.col("count") + 1000)
+    upsert_partitions(days, out, REGION)
+    return spark.read.schema(history.schema).parquet(out)
+
+
 def q_stream_etl(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ETL as a file-stream query run to completion (availableNow)."""
     out = scratch_path(spark, "stream-etl")
@@ -286,6 +320,8 @@ def _reference_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "sink_parquet_rerun": q_sink_parquet_rerun,
         "sink_table_rerun": q_sink_table_rerun,
         "report_upsert": q_report_upsert,
+        "report_upsert_days": q_report_upsert_days,
+        "etl_quarantine": q_etl_quarantine,
         "daily_kpi_region": q_daily_kpi_region,
         "daily_distribution": q_daily_distribution,
         "daily_kpi_channel": q_daily_kpi_channel,
@@ -482,6 +518,18 @@ UNION ALL SELECT p.province, p.city, p.count, '{fx.DAY}' FROM prev p
   WHERE NOT EXISTS (SELECT 1 FROM cur c WHERE c.province IS NOT DISTINCT FROM p.province
                                           AND c.city IS NOT DISTINCT FROM p.city)"""
         ),
+        "report_upsert_days": fx.with_fixtures(
+            f"""SELECT province, city, date_str AS report_date,
+  count(*) + CASE WHEN date_str IN ('{fx.PREVIOUS_DAY}', '{fx.DAY}') THEN 1000 ELSE 0 END AS count
+FROM enriched GROUP BY province, city, date_str"""
+        ),
+        "etl_quarantine": fx.with_fixtures(
+            f"""SELECT uuid, requestmode, city, date_str, NULL AS line FROM enriched
+WHERE CAST(substr(uuid, 2) AS BIGINT) % 50 NOT IN (7, 8)
+UNION ALL SELECT NULL, NULL, NULL, '{fx.ETL_RUN_DATE}',
+  '{{"uuid":"u' || event_id || '",' || CASE event_id % 50 WHEN 7 THEN '"ip":' ELSE '"requestmode":"none"}}' END
+FROM events WHERE event_id % 50 IN (7, 8)"""
+        ),
         "daily_kpi_region": _kpi_sql("province, city", strict, fx.DAY, _DAY),
         "daily_distribution": _distribution_sql(fx.DAY, _DAY),
         "daily_kpi_channel": _kpi_sql("channelid", strict, fx.DAY, _DAY),

@@ -43,8 +43,11 @@ def _parser() -> argparse.ArgumentParser:
     etl.add_argument("--output", required=True, help="parquet path, or table name with --table")
     etl.add_argument("--date", default=None, help="partition date (default: yesterday)")
     etl.add_argument("--keep-date", action="store_true", help="keep the date_str of the log")
-    etl.add_argument("--parse-mode", choices=("PERMISSIVE", "DROPMALFORMED", "FAILFAST"), default="PERMISSIVE")
+    etl.add_argument("--parse-mode", choices=("PERMISSIVE", "DROPMALFORMED", "FAILFAST"), default=None,
+                     help="Spark's handling of broken lines (default: they are left out of the table and counted)")
+    etl.add_argument("--quarantine", default=None, help="folder for the text of broken lines, by load date")
     etl.add_argument("--log-schema", default=None, help="DDL of the log's columns, to keep more than the standard ones")
+    etl.add_argument("--infer-schema", action="store_true", help="infer the log's columns (one more pass over the log)")
     etl.add_argument("--rebalance", action="store_true", help="size the files per day (multi-day backfills)")
     etl.add_argument("--table-format", choices=("parquet", "orc", "hive"), default="parquet")
     rep = sub.add_parser("reports", help="all reports of one day -> upserted report tables")
@@ -67,9 +70,9 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         spark = (builder.enableHiveSupport() if args.hive else builder).getOrCreate()
     try:
         if args.command == "etl":
-            schema = args.log_schema or (DATED_LOG_SCHEMA if args.keep_date else RAW_LOG_SCHEMA)
+            schema = None if args.infer_schema else args.log_schema or (DATED_LOG_SCHEMA if args.keep_date else RAW_LOG_SCHEMA)
             run_etl(spark, args.log, _dictionary(spark, args.dictionary), args.output, run_date=args.date,
-                    to_table=args.table, log_schema=schema, stamp=not args.keep_date, mode=args.parse_mode,
+                    to_table=args.table, log_schema=schema, stamp=not args.keep_date, mode=args.parse_mode, quarantine=args.quarantine,
                     rebalance=args.rebalance, table_format=args.table_format, table_path=args.table_path)
         else:
             if args.table:

@@ -3,6 +3,7 @@
 from adtally.plans.jobs import (
     daily_reports,
     deliver,
+    read_quarantine,
     run_etl,
     run_reports,
     separate_reports,
@@ -16,6 +17,7 @@ __all__ = [
     "deliver",
     "kpi_report_cte",
     "kpi_report_two_step",
+    "read_quarantine",
     "run_etl",
     "run_reports",
     "separate_reports",

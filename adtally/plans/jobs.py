@@ -6,14 +6,15 @@ or exits anything.
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable, Iterator, Mapping, Sequence
 from contextlib import contextmanager
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from adtally.functions.dates import report_date_col
+from adtally.functions.dates import report_date_col, yesterday
 from adtally.operators.distribution import finish_distribution, region_distribution
 from adtally.operators.enrich import enrich_ips
 from adtally.operators.kpi import DIMENSIONS, REGION, finish_kpi, kpi_report
@@ -23,10 +24,13 @@ from adtally.session import shared_dir
 from adtally.sinks.partitioned import write_partitions, write_table_partitions
 from adtally.sinks.upsert import upsert_partitions
 from adtally.sources.day import read_day, require_rows
-from adtally.sources.json_log import read_ad_log
+from adtally.sources.json_log import broken_lines, is_broken, read_ad_log, read_split_log, sound_rows
 
 
+log = logging.getLogger(__name__)
+
 DATE_COLUMN = "date_str"
+QUARANTINE_SCHEMA = "line string, file string"
 
 #: Where a report goes: a parquet path, or a function that takes the report.
 Output = str | Callable[[DataFrame, Sequence[str]], None]
@@ -47,10 +51,12 @@ def run_etl(
     log_schema=RAW_LOG_SCHEMA,
     stamp: bool = True,
     table_format: str = "parquet",
-    mode: str = "PERMISSIVE",
+    mode: str | None = None,
     rebalance: bool = False,
     max_records_per_file: int | None = None,
     table_path: str | None = None,
+    quarantine: str | None = None,
+    observation: Observation | None = None,
     **lookup,
 ) -> DataFrame:
     """JSON log -> IP enrichment -> date stamp -> rerun-safe partitioned write.
@@ -58,15 +64,33 @@ def run_etl(
     ``output`` is a parquet path, or a catalog table name with
     ``to_table=True`` (``table_format='hive'`` for a Hive-format table on a
     session with Hive support). ``stamp=False`` keeps a ``date_str`` already
-    in the log. ``mode`` is the JSON parse mode (PERMISSIVE keeps a malformed
-    line as a row of NULLs, DROPMALFORMED drops it, FAILFAST fails the job).
+    in the log. ``log_schema=None`` infers it (a pass of its own).
+
+    Lines that cannot be read never become rows of the output, unless ``mode``
+    asks for it. They are told apart in the scan that writes the others, and
+    counted in it with them (``observe``): ``observation`` then has ``rows`` and
+    ``broken``. With ``quarantine``, a folder, their text and file replace those
+    of the same load date (``run_date``) there; only a log that has some is read
+    again for them. Without, their number is logged. ``mode`` is a JSON parse
+    mode instead: PERMISSIVE keeps a malformed line as a row of NULLs,
+    DROPMALFORMED drops it, FAILFAST fails the job.
     ``rebalance=True`` sizes output files per day for multi-day backfills
     (see :func:`write_partitions`); ``table_path`` places a new catalog table
     (default: the session's warehouse). Every column of the log is kept, the
     date column comes last. Returns the enriched DataFrame written.
     """
-    log = read_ad_log(spark, log_path, schema=log_schema, mode=mode)
-    enriched = enrich_ips(log, ip_dictionary, **lookup)
+    if mode is not None and quarantine is not None:
+        raise ValueError("give a parse mode or a quarantine folder")
+    split = None
+    if mode is not None:
+        rows = read_ad_log(spark, log_path, schema=log_schema, mode=mode)
+        if observation is not None:
+            rows = rows.observe(observation, F.count(F.lit(1)).alias("rows"), F.lit(0).cast("long").alias("broken"))
+    else:
+        split = read_split_log(spark, log_path, log_schema)
+        observation = observation or Observation()
+        rows = sound_rows(split.observe(observation, F.count_if(~is_broken()).alias("rows"), F.count_if(is_broken()).alias("broken")))
+    enriched = enrich_ips(rows, ip_dictionary, **lookup)
     if stamp:
         enriched = stamp_date(enriched, run_date)
     enriched = enriched.select(*[c for c in enriched.columns if c != DATE_COLUMN], DATE_COLUMN)
@@ -75,9 +99,25 @@ def run_etl(
         write_table_partitions(enriched, output, fmt=table_format, path=table_path, **files)
     else:
         write_partitions(enriched, output, **files)
+    if split is not None:
+        _set_aside(split, observation.get["broken"], quarantine, run_date)
     return enriched
 
 
+def _set_aside(split: DataFrame, broken: int, quarantine: str | None, run_date: str | None) -> None:
+    """Replace the quarantine of the load date by the broken lines of ``split``."""
+    if broken:
+        log.warning("%d broken line(s) of the log %s", broken, f"go to {quarantine}" if quarantine else "are left out")
+    if quarantine is not None:
+        lines = broken_lines(split) if broken else split.sparkSession.createDataFrame([], QUARANTINE_SCHEMA)
+        lines.write.mode("overwrite").parquet(f"{quarantine.rstrip('/')}/load_date={run_date or yesterday()}")
+
+
+def read_quarantine(spark: SparkSession, quarantine: str) -> DataFrame:
+    """(line, file, load_date) of every broken line set aside."""
+    return spark.read.schema(f"{QUARANTINE_SCHEMA}, load_date string").parquet(quarantine)
+
+
 def _gid(all_dims: Sequence[str], group: Sequence[str]) -> int:
     # grouping_id(): bit (n-1-i) is set when all_dims[i] is not grouped.
     n = len(all_dims)

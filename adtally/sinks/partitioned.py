@@ -84,7 +84,8 @@ def write_table_partitions(
     spark = df.sparkSession
     partition_cols = list(partition_cols)
     if not spark.catalog.tableExists(table):
-        creator = df.limit(0).write.format(fmt).partitionBy(*partition_cols)
+        # An empty frame of its own: a job over df would end its observations.
+        creator = spark.createDataFrame([], df.schema).write.format(fmt).partitionBy(*partition_cols)
         if path:
             creator = creator.option("path", path)
         creator.saveAsTable(table)

@@ -26,6 +26,10 @@ from adtally.session import shared_dir
 from adtally.sinks.partitioned import write_partitions, write_table_partitions
 
 
+#: Most partition values that are put into a filter as a list.
+LISTED_PARTITIONS = 10_000
+
+
 def _read_existing(new: DataFrame, target: str, is_table: bool) -> DataFrame | None:
     spark = new.sparkSession
     if is_table:
@@ -40,6 +44,19 @@ def _read_existing(new: DataFrame, target: str, is_table: bool) -> DataFrame | N
         return None
 
 
+def touched_rows(old: DataFrame, new: DataFrame, partition_col: str) -> DataFrame:
+    """The rows of ``old`` in the partitions that ``new`` has rows in. Up to
+    ``LISTED_PARTITIONS`` values are a literal list, so that the scan of ``old``
+    lists and reads only their folders; beyond it a semi-join picks the rows."""
+    values = new.select(partition_col).distinct()
+    listed = [r[0] for r in values.limit(LISTED_PARTITIONS + 1).collect()]
+    if len(listed) > LISTED_PARTITIONS:
+        found = values.withColumnRenamed(partition_col, "_touched")
+        return old.join(found, old[partition_col].eqNullSafe(found["_touched"]), "left_semi")
+    some = F.col(partition_col).isin([v for v in listed if v is not None])
+    return old.where(some | F.col(partition_col).isNull() if None in listed else some)
+
+
 def upsert_partitions(
     new: DataFrame,
     target: str,
@@ -63,8 +80,7 @@ def upsert_partitions(
     if old is None:
         merged = new
     else:
-        touched = new.select(partition_col).distinct()
-        old_touched = old.join(touched, partition_col, "left_semi")
+        old_touched = touched_rows(old, new, partition_col)
         on = [old_touched[k].eqNullSafe(new[k]) for k in keys]
         kept = old_touched.join(new, on, "left_anti")
         merged = new.unionByName(kept).checkpoint(eager=True)

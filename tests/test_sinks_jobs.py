@@ -1,6 +1,8 @@
 import os
+import re
 
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -8,7 +10,7 @@ import __spark_entry__ as entry
 from adtally import fixtures as fx
 from adtally.errors import DuplicateKeyError, EmptyDayError
 from adtally.operators import enrich_ips, kpi_report, region_distribution
-from adtally.plans import daily_reports, run_etl, run_reports, separate_reports
+from adtally.plans import daily_reports, read_quarantine, run_etl, run_reports, separate_reports
 from adtally.schema import DATED_LOG_SCHEMA, ENRICHED_SCHEMA
 from adtally.session import scratch_path, unique_name
 from adtally.sinks import upsert_partitions, write_partitions, write_table_partitions
@@ -247,7 +249,7 @@ def test_etl_parse_mode(spark):
     log = scratch_path(spark, "t-mode")
     spark.createDataFrame([('{"uuid":"a","ip":"1.2.3.4"}',), ("not json",)], "value string").write.text(log)
     d = fx.ip_dict_from(spark, SF001)
-    kept = run_etl(spark, log, d, scratch_path(spark, "t-mode-out"), run_date="2024-02-01")
+    kept = run_etl(spark, log, d, scratch_path(spark, "t-mode-out"), run_date="2024-02-01", mode="PERMISSIVE")
     assert kept.count() == 2
     dropped = run_etl(spark, log, d, scratch_path(spark, "t-mode-out2"), run_date="2024-02-01",
                       mode="DROPMALFORMED")
@@ -281,3 +283,87 @@ def test_rebalanced_backfill_write(spark, enriched):
     assert n_bal <= n_plain
     schema = enriched.select(*[c for c in enriched.columns if c != "date_str"], "date_str").schema
     assert _rows(spark.read.schema(schema).parquet(balanced)) == _rows(spark.read.schema(schema).parquet(plain))
+
+
+BROKEN_LOG = ['{"uuid":"a","ip":"1.2.3.4","requestmode":1}', "not json", '{"uuid":"b","requestmode":"x"}', "", '{"uuid":"c"', '{"uuid":"d"}', "not json"]
+
+
+def _broken_log(spark, lines=BROKEN_LOG):
+    path = scratch_path(spark, "t-broken-log")
+    spark.createDataFrame([(x,) for x in lines], "value string").write.text(path)
+    return path
+
+
+def test_broken_lines_go_to_the_quarantine(spark):
+    d, out, aside = fx.ip_dict_from(spark, SF001), scratch_path(spark, "t-q-out"), scratch_path(spark, "t-q")
+    seen = Observation()
+    run_etl(spark, _broken_log(spark), d, out, run_date="2024-02-01", quarantine=aside, observation=seen)
+    assert seen.get == {"rows": 2, "broken": 4}
+    assert sorted(r["uuid"] for r in spark.read.parquet(out).collect()) == ["a", "d"]
+    rows = read_quarantine(spark, aside).collect()
+    assert sorted(r["line"] for r in rows) == sorted(['{"uuid":"b","requestmode":"x"}', '{"uuid":"c"', "not json", "not json"])
+    assert {r["load_date"] for r in rows} == {"2024-02-01"} and all("t-broken-log" in r["file"] for r in rows)
+    # another day is added, a rerun of a day replaces it, also by nothing
+    run_etl(spark, _broken_log(spark, ["?"]), d, out, run_date="2024-02-02", quarantine=aside)
+    assert read_quarantine(spark, aside).count() == 5
+    run_etl(spark, _broken_log(spark, ['{"uuid":"e"}']), d, out, run_date="2024-02-01", quarantine=aside)
+    assert [r["line"] for r in read_quarantine(spark, aside).collect()] == ["?"]
+
+
+def test_broken_lines_are_left_out_unless_asked_for(spark):
+    d, out, seen = fx.ip_dict_from(spark, SF001), scratch_path(spark, "t-left-out"), Observation()
+    run_etl(spark, _broken_log(spark), d, out, run_date="2024-02-01", observation=seen)
+    assert spark.read.parquet(out).count() == 2 and seen.get["broken"] == 4
+    with pytest.raises(ValueError):
+        run_etl(spark, _broken_log(spark), d, out, mode="PERMISSIVE", quarantine=out)
+
+
+def test_quarantine_with_an_inferred_schema(spark):
+    d = fx.ip_dict_from(spark, SF001)
+    for lines, broken in ((BROKEN_LOG, 3), (['{"uuid":"a","ip":"1.2.3.4"}', '{"uuid":"b","more":1,"ip":null}'], 0)):
+        seen, out = Observation(), scratch_path(spark, "t-infer-out")
+        run_etl(spark, _broken_log(spark, lines), d, out, run_date="2024-02-01", log_schema=None, observation=seen, quarantine=scratch_path(spark, "t-infer-q"))
+        assert seen.get["broken"] == broken
+        assert spark.read.parquet(out).count() == len([x for x in lines if x]) - broken
+
+
+def test_command_line_quarantine(spark):
+    from adtally.__main__ import main
+
+    dictionary, out, aside = (scratch_path(spark, f"t-cli-q-{x}") for x in ("dict", "out", "aside"))
+    fx.ip_dict_from(spark, SF001).write.parquet(dictionary)
+    args = ["etl", "--log", _broken_log(spark), "--dictionary", dictionary, "--output", out, "--date", "2024-02-01", "--quarantine", aside]
+    assert main(args, spark=spark) == 0
+    assert spark.read.parquet(out).count() == 2 and read_quarantine(spark, aside).count() == 4
+    assert main([*args, "--infer-schema"], spark=spark) == 0  # requestmode is text then
+    assert spark.read.parquet(out).count() == 3 and read_quarantine(spark, aside).count() == 3
+
+
+def test_upsert_reads_only_touched_partitions(spark):
+    from adtally.sinks.upsert import touched_rows
+
+    days = [f"2024-01-{d:02d}" for d in range(1, 11)]
+    history = spark.createDataFrame([(d, p, 1) for d in days for p in ("p", "q", None)], "report_date string, province string, count int")
+    out = scratch_path(spark, "t-touched")
+    upsert_partitions(history, out, ["province"])
+    new = spark.createDataFrame([("2024-01-03", "p", 7), ("2024-01-04", None, 8), ("2024-01-20", "p", 9)], history.schema)
+    old = touched_rows(spark.read.schema(history.schema).parquet(out), new, "report_date")
+    plan = old._jdf.queryExecution().executedPlan().toString()
+    listed = re.search(r"PartitionFilters: \[([^\]]*)\]", plan)[1]
+    assert " IN (" in listed and all(d in listed for d in ("2024-01-03", "2024-01-04", "2024-01-20"))
+    assert "Join" not in plan and old.count() == 6
+    upsert_partitions(new, out, ["province"])
+    back = {(r["report_date"], r["province"]): r["count"] for r in spark.read.schema(history.schema).parquet(out).collect()}
+    assert len(back) == 31 and back["2024-01-03", "p"] == 7 and back["2024-01-04", None] == 8 and back["2024-01-20", "p"] == 9
+    assert sum(back.values()) == 28 + 7 + 8 + 9
+
+
+def test_touched_partitions_beyond_a_list(spark, monkeypatch):
+    from adtally.sinks import upsert
+
+    monkeypatch.setattr(upsert, "LISTED_PARTITIONS", 1)
+    old = spark.createDataFrame([("a", 1), ("b", 2), (None, 3), ("c", 4)], "d string, n int")
+    new = spark.createDataFrame([("a", 0), (None, 0)], "d string, n int")
+    assert sorted(r["n"] for r in upsert.touched_rows(old, new, "d").collect()) == [1, 3]
+    monkeypatch.setattr(upsert, "LISTED_PARTITIONS", 5)
+    assert sorted(r["n"] for r in upsert.touched_rows(old, new, "d").collect()) == [1, 3]
