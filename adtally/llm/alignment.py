@@ -15,7 +15,8 @@ their documents, plane by plane, weighted by what the plane stands for.
 
 Texts are encoded by their different pieces, cut where neither tokenizer looks
 across: before a single space, and around a single line feed, between characters
-that are no white space (``Aligner`` checks the vocabulary of B for that). Pieces
+that are no white space; between a letter or digit and a punctuation mark that no
+entry of B has after one (``Aligner`` looks through the vocabulary of B). Pieces
 start and end on a group border, so a text's groups and links are those of its
 pieces, one after the other.
 
@@ -31,6 +32,7 @@ from __future__ import annotations
 import hashlib
 import os
 import re
+import string
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,7 +42,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from adtally.llm.common import importable, materialize, ranges, steps, text_bytes
-from adtally.llm.pieces import _INK, _LEAD2, _LEAD3, _STARTS
+from adtally.llm.pieces import _ALNUM, _INK, _LATIN, _LEAD2, _LEAD3, _STARTS
 from adtally.llm.token_files import _encode
 
 #: Bytes of text and documents of a chunk (documents: numbers of 16 bits).
@@ -54,8 +56,9 @@ _PLAIN = re.compile(r" ?\S+").fullmatch
 _TOGETHER = 500
 
 
-def cut_places(raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """Ascending byte positions at which a new piece starts, text starts included."""
+def cut_places(raw: np.ndarray, offsets: np.ndarray, marks: np.ndarray) -> np.ndarray:
+    """Ascending byte positions at which a new piece starts, text starts included.
+    marks: which bytes start a piece after a letter or digit."""
     cut = np.zeros(len(raw) + 1, bool)
     if len(raw) > 2:
         tail = (raw & 0xC0) == 0x80
@@ -65,6 +68,9 @@ def cut_places(raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         alone = ends[:-2] & _STARTS[raw[2:]]  # one byte between two such characters
         cut[1:-2] = ((raw[1:-1] == 32) | (raw[1:-1] == 10)) & alone
         cut[2:-1] |= (raw[1:-1] == 10) & alone
+        word = _ALNUM[raw]  # the last byte of a letter or digit
+        word[1:] |= (raw[:-1] == 0xC3) & _LATIN[raw[1:]]
+        cut[1:-1] |= marks[raw[1:]] & word[:-1]
     cut[offsets] = True
     cut[len(raw)] = False
     return np.flatnonzero(cut)
@@ -112,6 +118,10 @@ class Aligner:
         across = [p for i, p in enumerate(pieces) if "▁" in p[1:] and p.strip("▁") or "\n" in p]
         if len(self.feed) != 1 or across:
             raise ValueError("tokenizer B merges across spaces or line feeds")
+        # A ends a match before every punctuation mark but the apostrophe.
+        joined = {y for i, p in enumerate(pieces) if not self.b.is_byte(i) for x, y in zip(p, p[1:]) if x.isalnum()}
+        self.marks = np.zeros(256, bool)
+        self.marks[[ord(c) for c in string.punctuation if c != "'" and c not in joined]] = True
         self.young: dict[str, tuple] = {}
         self.old: dict[str, tuple] = {}
 
@@ -203,7 +213,7 @@ def _aligned(tool: Aligner, texts: pa.Array) -> tuple[dict[str, list], np.ndarra
     names = ("n_a", "n_b", "n_groups", "n_links")
     if not len(raw):
         return {c: np.zeros(n, np.int64) for c in names} | {"groups_sha256": [""] * n}, *(np.zeros(0, np.int64),) * 3
-    starts = cut_places(raw, offsets)
+    starts = cut_places(raw, offsets, tool.marks)
     bounds = np.append(starts, len(raw)).astype(np.int32)
     coded = pa.StringArray.from_buffers(len(starts), pa.py_buffer(bounds), pa.py_buffer(raw)).dictionary_encode()
     number = coded.indices.to_numpy()
