@@ -29,19 +29,22 @@ from adtally.operators import (
 )
 from adtally.plans import (
     daily_reports,
+    daily_sums,
     kpi_report_cte,
     kpi_report_two_step,
+    period_reports,
     read_quarantine,
     run_etl,
     run_reports,
     stamp_date,
+    store_sums,
     table_output,
 )
 from adtally.schema import DATED_LOG_SCHEMA, ENRICHED_SCHEMA
 from adtally.session import scratch_path, unique_name
 from adtally.sinks import upsert_partitions, write_partitions, write_table_partitions
 from adtally.sources import read_ad_log, read_day
-from adtally.streaming import start_etl_stream
+from adtally.streaming import DictionaryVersions, read_stream_output, start_batched_etl_stream, start_etl_stream
 
 # The training-data operators and their pipeline are an optional part.
 # Any import error of theirs, a library that is not installed too, leaves them out.
@@ -102,6 +105,19 @@ def q_ip_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _enriched(spark, sf_dir)
 
 
+def _nested_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The dictionary's ranges under one of all addresses, each with two nested ones."""
+    ranges = _dictionary(spark, sf_dir)
+    outer, inner = (ranges.selectExpr(f"ip_start + {a} AS ip_start", f"ip_start + {b} AS ip_end", "province", f"concat(city, '{mark}') AS city")
+                    for a, b, mark in ((1_000_000, 20_999_999, " A"), (5_000_000, 5_999_999, " B")))
+    world = ranges.agg(F.min("ip_start") * 0, F.max("ip_end") * 0 + 4294967295, F.lit("WORLD"), F.lit("WORLD"))
+    return ranges.union(outer).union(inner).union(world)
+
+
+def q_ip_enrich_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return enrich_ips(fx.ad_log_from(spark, sf_dir), _nested_dictionary(spark, sf_dir), nested=True).select("uuid", "ip", "province", "city")
+
+
 def q_ip_to_long(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = fx.ad_log_from(spark, sf_dir)
     return log.select("uuid", "ip", ip_to_long("ip").alias("ip_num"))
@@ -254,6 +270,38 @@ def q_stream_etl(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(ENRICHED_SCHEMA).parquet(out)
 
 
+def q_stream_dictionary_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream of two files, with a new dictionary between them and the salted
+    join: the rows of each file have the cities of its own version."""
+    log, out, checkpoint, versions = (scratch_path(spark, f"stream-versions-{x}") for x in ("log", "out", "checkpoint", "dict"))
+    events, first = fx.ad_log_from(spark, sf_dir).drop("ip_num"), _dictionary(spark, sf_dir)
+    dictionary = DictionaryVersions(spark, versions)
+    for part, ranges in ((f"date_str < '{fx.DAY}'", first), (f"date_str >= '{fx.DAY}'", first.withColumn("city", F.concat("city", F.lit(" 2"))))):
+        events.where(part).write.mode("append").json(log)
+        dictionary.publish(ranges)
+        query = start_batched_etl_stream(spark, log, dictionary, out, checkpoint, available_now=True, broadcast=False)
+        query.awaitTermination()  # availableNow ends by itself
+        if query.exception() is not None:
+            raise RuntimeError(str(query.exception()))
+    return read_stream_output(spark, out)
+
+
+def q_kpi_period_from_sums(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The region KPI report over all days, from stored daily sums."""
+    folder = scratch_path(spark, "daily-sums")
+    store_sums(daily_sums(_enriched(spark, sf_dir)), folder, "all")
+    return period_reports(spark, folder, fx.FIRST_DAY, fx.ALL_DAYS_REPORT_DATE)["kpi_region"]
+
+
+def q_late_events_kpi(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A day in two batches, the late one delivered twice: the report of the whole day."""
+    day, folder = _enriched_day(spark, sf_dir), scratch_path(spark, "late-sums")
+    late = F.expr("CAST(substring(uuid, 2) AS BIGINT) % 3 = 0")
+    for batch, part in (("on-time", ~late), ("late", late), ("late", late)):
+        store_sums(daily_sums(day.where(part)), folder, batch)
+    return period_reports(spark, folder, fx.DAY, fx.DAY)["kpi_region"]
+
+
 def q_etl_reports_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both jobs end to end: JSON log -> run_etl into a catalog table ->
     run_reports for one day -> the upserted region KPI report, read back."""
@@ -293,6 +341,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def _reference_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "ip_enrich": q_ip_enrich,
+        "ip_enrich_nested": q_ip_enrich_nested,
         "ip_to_long": q_ip_to_long,
         "dict_split": q_dict_split,
         "etl_stamp_date": q_etl_stamp_date,
@@ -326,6 +375,9 @@ def _reference_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "daily_distribution": q_daily_distribution,
         "daily_kpi_channel": q_daily_kpi_channel,
         "stream_etl": q_stream_etl,
+        "stream_dictionary_versions": q_stream_dictionary_versions,
+        "kpi_period_from_sums": q_kpi_period_from_sums,
+        "late_events_kpi": q_late_events_kpi,
         "etl_reports_day": q_etl_reports_day,
     }
 
@@ -449,6 +501,15 @@ def _reference_oracle_sql() -> dict[str, str]:
     all_days = fx.ALL_DAYS_REPORT_DATE
     return {
         "ip_enrich": fx.with_fixtures("SELECT * FROM enriched"),
+        "ip_enrich_nested": fx.with_fixtures(
+            """, nested AS (
+  SELECT ip_start, ip_end, province, city FROM ip_dict
+  UNION ALL SELECT ip_start + 1000000, ip_start + 20999999, province, city || ' A' FROM ip_dict
+  UNION ALL SELECT ip_start + 5000000, ip_start + 5999999, province, city || ' B' FROM ip_dict
+  UNION ALL SELECT 0, 4294967295, 'WORLD', 'WORLD')
+SELECT uuid, ip, arg_min(province, d.ip_end - d.ip_start) AS province, arg_min(city, d.ip_end - d.ip_start) AS city
+FROM ad_log LEFT JOIN nested d ON ip_num BETWEEN d.ip_start AND d.ip_end GROUP BY uuid, ip"""
+        ),
         "ip_to_long": fx.with_fixtures("SELECT uuid, ip, ip_num FROM ad_log"),
         "dict_split": fx.with_fixtures("SELECT ip_start, ip_end, province, city FROM ip_dict"),
         "etl_stamp_date": fx.with_fixtures(
@@ -534,5 +595,10 @@ FROM events WHERE event_id % 50 IN (7, 8)"""
         "daily_distribution": _distribution_sql(fx.DAY, _DAY),
         "daily_kpi_channel": _kpi_sql("channelid", strict, fx.DAY, _DAY),
         "stream_etl": fx.with_fixtures(f"SELECT {_ENRICHED_COLS} FROM enriched"),
+        "stream_dictionary_versions": fx.with_fixtures(
+            f"""SELECT {_ENRICHED_COLS.replace("city", f"CASE WHEN date_str < '{fx.DAY}' THEN city ELSE city || ' 2' END AS city")} FROM enriched"""
+        ),
+        "kpi_period_from_sums": _kpi_sql("province, city", strict, all_days),
+        "late_events_kpi": _kpi_sql("province, city", strict, fx.DAY, _DAY),
         "etl_reports_day": _kpi_sql("province, city", strict, fx.DAY, _DAY),
     }

@@ -46,6 +46,7 @@ BAD_IP_TEXT = "bad-ip"
 
 # Fixed report dates used by the registered queries.
 DAY = "2024-01-15"
+FIRST_DAY = "2024-01-01"
 PREVIOUS_DAY = "2024-01-14"
 ALL_DAYS_REPORT_DATE = "2024-01-30"
 ETL_RUN_DATE = "2024-01-31"

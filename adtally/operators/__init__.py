@@ -4,6 +4,7 @@ from adtally.operators.distribution import finish_distribution, region_distribut
 from adtally.operators.enrich import dictionary_from_regions, enrich_ips
 from adtally.operators.kpi import DIMENSIONS, finish_kpi, kpi_counts, kpi_report
 from adtally.operators.map_feed import map_feed
+from adtally.operators.nested_ranges import disjoint_ranges
 from adtally.operators.range_join import DictionaryStats, dictionary_stats, range_lookup
 from adtally.operators.topn import top_n_by_measure, top_n_by_total, top_n_per_measure
 
@@ -12,6 +13,7 @@ __all__ = [
     "DictionaryStats",
     "dictionary_from_regions",
     "dictionary_stats",
+    "disjoint_ranges",
     "enrich_ips",
     "finish_distribution",
     "finish_kpi",

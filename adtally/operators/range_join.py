@@ -20,18 +20,21 @@ typical range touches one or two buckets and a probe meets few candidates:
 
 * a bucket touched by more than ``dense_ranges`` ranges (a dense region of
   narrow ranges, measured at the width in use) is re-exploded 2^6 times finer,
-  level by level, once, and checkpointed; a probe finds its level through joins
-  against the refined bucket sets, so no probe meets more than ``dense_ranges``
-  candidates and no candidate is ever dropped.
-
-Ranges must not overlap (a key would match twice and duplicate its row); the
-check runs as one distributed job over the dictionary, which also measures
+  level by level, once, and checkpointed; a probe finds its level in a map of one
+  bit per bucket, of at most 2^32 / dense_ranges bits a level whatever the
+  dictionary, which is broadcast: the log is never shuffled for it. So no probe
+  meets more than ``dense_ranges`` candidates and no candidate is ever dropped.
+
+Ranges must not overlap (a key would match twice and duplicate its row), unless
+``nested=True``: then nested ranges are cut into disjoint ones first
+(:mod:`adtally.operators.nested_ranges`). The check runs as one distributed job over the dictionary, which also measures
 its size and the per-bucket density that decide the plan.
 """
 
 from __future__ import annotations
 
 import logging
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
@@ -39,6 +42,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DataType, MapType, StructType
 
 from adtally.errors import OverlappingRangesError
+from adtally.operators.nested_ranges import disjoint_ranges
 from adtally.session import shared_dir
 
 # IPv4 keys live in [0, 2^32).
@@ -52,7 +56,12 @@ CHECK_BUCKET_BITS = 20
 # times finer (recursively), so a probe never meets more candidates.
 DEFAULT_DENSE_RANGES = 32
 REFINE_BITS = 6
+# Below this the map of refined buckets (2^32 / dense_ranges bits) would be no
+# size to broadcast.
+MIN_DENSE_RANGES = 4
 DEFAULT_MAX_BROADCAST_BYTES = 256 * 1024 * 1024
+# Keys that a caller may name as hot (they are written into the plan).
+MAX_HOT_KEYS = 1000
 # Estimated bytes per exploded dictionary row besides its strings
 # (three longs, two string headers, row overhead).
 _ROW_OVERHEAD_BYTES = 64
@@ -190,15 +199,32 @@ def max_touching(ranges: DataFrame, start: str, end: str, bits: int) -> int:
 def refinement_levels(ranges: DataFrame, start: str, end: str, bits: int, dense: int, stats: DictionaryStats | None) -> list[int]:
     """Widths of the finer levels needed so that no probe meets more than
     ``dense`` candidates, each 2^REFINE_BITS times finer, by measuring each."""
-    levels: list[int] = []
     known = stats.density if stats is not None else {}
-    while True:
-        if bits not in known:
-            known[bits] = max_touching(ranges, start, end, bits)
-        if bits == 0 or known[bits] <= dense:
-            return levels
-        bits = max(0, bits - REFINE_BITS)
-        levels.append(bits)
+    if bits not in known:
+        known[bits] = max_touching(ranges, start, end, bits)
+    levels: list[int] = []
+    worst, dim = known[bits], None
+    while bits and worst > dense:
+        fine = max(0, bits - REFINE_BITS)
+        # only what lies in buckets that are too dense is cut finer
+        dim = _finer(explode_ranges(ranges, start, end, [], bits) if dim is None else dim, bits, fine, dense)
+        worst = int(dim.groupBy(_B).count().agg(F.max("count")).first()[0] or 0)
+        levels.append(fine)
+        bits = fine
+    return levels
+
+
+def _dense_buckets(dim: DataFrame, dense: int) -> DataFrame:
+    return dim.groupBy(_B).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > dense).select(_B)
+
+
+def _finer(dim: DataFrame, coarse: int, fine: int, dense: int, hot: DataFrame | None = None) -> DataFrame:
+    """The ranges of the buckets that more than ``dense`` ranges touch, exploded
+    into finer buckets within them."""
+    hot = _dense_buckets(dim, dense) if hot is None else hot
+    lo = F.greatest(F.col(_LO), F.shiftleft(F.col(_B), coarse))
+    hi = F.least(F.col(_HI), F.shiftleft(F.col(_B) + 1, coarse) - 1)
+    return dim.join(hot, _B, "left_semi").withColumn(_B, F.explode(F.sequence(F.shiftright(lo, fine), F.shiftright(hi, fine))))
 
 
 def range_lookup(
@@ -215,6 +241,8 @@ def range_lookup(
     dense_ranges: int = DEFAULT_DENSE_RANGES,
     refine: list[int] | None = None,
     stats: DictionaryStats | None = None,
+    hot_keys: Sequence[int] | None = None,
+    nested: bool = False,
 ) -> DataFrame:
     """Left range join: every event row once, plus ``payload`` of its range
     (NULL when the key is NULL or falls in no range).
@@ -230,13 +258,22 @@ def range_lookup(
     here. ``stats`` reuses a :func:`dictionary_stats` result (computed with the
     same ``start``/``end``/``payload``), so several lookups against one
     dictionary validate it once.
+
+    ``hot_keys`` names the keys with very many rows, if they are known (from the
+    report of the day before, say): then only their rows are salted and nothing is
+    counted first, neither in a batch nor in a stream. ``nested=True`` lets
+    ranges nest; a key gets the narrowest range that holds it.
     """
     payload = list(payload)
+    if nested:
+        ranges, stats = disjoint_ranges(ranges.select(start, end, *payload), start, end), None
     clash = set(payload) & set(events.columns)
     if clash:
         raise ValueError(f"events already have columns {sorted(clash)}")
     if bucket_bits is not None and not 0 < bucket_bits < KEY_DOMAIN_BITS:
         raise ValueError("bucket_bits must be in (0, 32)")
+    if dense_ranges < MIN_DENSE_RANGES:
+        raise ValueError(f"dense_ranges must be at least {MIN_DENSE_RANGES}")
 
     if stats is not None and bucket_bits is not None and bucket_bits not in stats.exploded_rows:
         stats = None  # computed for other widths: measure again
@@ -277,11 +314,11 @@ def range_lookup(
         .withColumn(_LV, F.lit(0))
     )
     if refine:
-        dim, probe = _refine(dim, probe, bucket_bits, refine, dense_ranges, max_broadcast_bytes)
+        dim, probe = _refine(dim, probe, bucket_bits, refine, dense_ranges)
 
     on_cols = [_LV, _B]
     if not broadcast:
-        probe, dim = _salted(events, probe, dim)
+        probe, dim = _salted(events, probe, dim, hot_keys)
         on_cols.append(_S)
     # Unique names on the dictionary side: the refined parts all derive from
     # one dataset, so references must be by name, not by DataFrame.
@@ -312,19 +349,27 @@ def _without_maps(kind: DataType) -> bool:
     return True
 
 
-def _salted(events: DataFrame, probe: DataFrame, dim: DataFrame) -> tuple[DataFrame, DataFrame]:
+def _salted(events: DataFrame, probe: DataFrame, dim: DataFrame, hot_keys: Sequence[int] | None = None) -> tuple[DataFrame, DataFrame]:
     """Both sides with a salt for the buckets that hold more than one task's
     share of the events. At most one bucket per shuffle partition can, so the
-    set that is broadcast is bounded by their number. A stream is not measured."""
+    set that is broadcast is bounded by their number. With ``hot_keys``, only their
+    rows get salts, and the ranges that hold one. A stream is not measured."""
     spark = events.sparkSession
     hashable = [F.col(f.name) for f in events.schema.fields if _without_maps(f.dataType)]
     # the same value in every attempt of a task
     spread = F.xxhash64(*hashable) if hashable else F.lit(0)
     probe = probe.withColumn(_B, F.when(F.col("_rl_key").isNull(), -1 - F.pmod(spread, F.lit(1 << 20))).otherwise(F.col(_B)))
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2)
+    if hot_keys:
+        if len(hot_keys) > MAX_HOT_KEYS:
+            raise ValueError(f"more than {MAX_HOT_KEYS} hot keys")
+        listed = F.array(*[F.lit(int(k)).cast("bigint") for k in hot_keys])
+        salts = F.when(F.exists(listed, lambda k: k.between(F.col(_LO), F.col(_HI))), tasks).otherwise(1)
+        probe = probe.withColumn(_S, F.when(F.array_contains(listed, F.col("_rl_key")), F.pmod(spread, F.lit(tasks))).otherwise(0).cast("int"))
+        return probe, dim.withColumn(_S, F.explode(F.sequence(F.lit(0), salts - 1)))
     if events.isStreaming:
         return probe.withColumn(_S, F.lit(0)), dim.withColumn(_S, F.lit(0))
     shared_dir(spark)
-    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2)
     counts = probe.where(f"{_B} >= 0").groupBy(_LV, _B).agg(F.count(F.lit(1)).alias("_n")).checkpoint(eager=True)
     total = counts.agg(F.sum("_n")).first()[0] or 0
     hot = counts.where(F.col("_n") * tasks > total).select(
@@ -336,36 +381,30 @@ def _salted(events: DataFrame, probe: DataFrame, dim: DataFrame) -> tuple[DataFr
     return probe, dim
 
 
-def _refine(dim: DataFrame, probe: DataFrame, bits: int, levels: list[int], dense: int, max_bytes: int):
+def _refine(dim: DataFrame, probe: DataFrame, bits: int, levels: list[int], dense: int):
     """Re-explode every bucket touched by more than ``dense`` ranges at the
     next, finer width, level by level. Each level is checkpointed, so the
-    dictionary is read and refined once. A probe learns its level from joins
-    against the refined bucket sets, broadcast if they fit ``max_bytes``."""
+    dictionary is read and refined once. A probe learns its level from a broadcast
+    map of the refined buckets."""
     shared_dir(dim.sparkSession)
     done = []
     level_bits = [bits, *levels]
     for lvl, (coarse, fine) in enumerate(zip(level_bits, level_bits[1:])):
         dim = dim.checkpoint(eager=True)
-        hot = dim.groupBy(_B).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > dense).select(_B).checkpoint(eager=True)
+        hot = _dense_buckets(dim, dense).checkpoint(eager=True)
         done.append(dim.join(hot, _B, "left_anti"))
-        lo = F.greatest(F.col(_LO), F.shiftleft(F.col(_B), coarse))
-        hi = F.least(F.col(_HI), F.shiftleft(F.col(_B) + 1, coarse) - 1)
-        dim = (
-            dim.join(hot, _B, "left_semi")
-            .withColumn(_B, F.explode(F.sequence(F.shiftright(lo, fine), F.shiftright(hi, fine))))
-            .withColumn(_LV, F.lit(lvl + 1))
-        )
-        marks = hot.select(F.col(_B).alias("_rl_hot"), F.lit(lvl).alias("_rl_hot_lv"))
-        small = hot.count() * _ROW_OVERHEAD_BYTES <= max_bytes
+        dim = _finer(dim, coarse, fine, dense, hot).withColumn(_LV, F.lit(lvl + 1))
+        # A bit per bucket, 64 to a row. Only a bucket of more than ``dense`` keys can
+        # hold so many ranges, so there are at most 2^32 / dense bits.
+        words = hot.groupBy(F.shiftright(_B, 6).alias("_rl_word")).agg(
+            F.bit_or(F.expr(f"shiftleft(1L, cast({_B} & 63 AS int))")).alias("_rl_bits")).withColumn("_rl_hot_lv", F.lit(lvl)).checkpoint(eager=True)
+        is_hot = F.expr(f"coalesce(shiftright(_rl_bits, cast({_B} & 63 AS int)) & 1, 0) = 1")
         probe = (
-            probe.join(
-                F.broadcast(marks) if small else marks,
-                (F.col(_B) == F.col("_rl_hot")) & (F.col(_LV) == F.col("_rl_hot_lv")),
-                "left",
-            )
-            .withColumn(_B, F.when(F.col("_rl_hot").isNotNull(), F.shiftright("_rl_key", fine)).otherwise(F.col(_B)))
-            .withColumn(_LV, F.when(F.col("_rl_hot").isNotNull(), F.lit(lvl + 1)).otherwise(F.col(_LV)))
-            .drop("_rl_hot", "_rl_hot_lv")
+            probe.join(F.broadcast(words), (F.shiftright(_B, 6) == F.col("_rl_word")) & (F.col(_LV) == F.col("_rl_hot_lv")), "left")
+            .withColumn("_rl_finer", is_hot)
+            .withColumn(_B, F.when(F.col("_rl_finer"), F.shiftright("_rl_key", fine)).otherwise(F.col(_B)))
+            .withColumn(_LV, F.when(F.col("_rl_finer"), F.lit(lvl + 1)).otherwise(F.col(_LV)))
+            .drop("_rl_word", "_rl_bits", "_rl_hot_lv", "_rl_finer")
         )
     out = dim
     for part in done:

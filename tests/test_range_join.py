@@ -166,7 +166,7 @@ def test_refined_buckets_hold_at_most_the_limit(spark):
     levels = refinement_levels(d, "ip_start", "ip_end", bits, 32, st)
     dim = explode_ranges(d, "ip_start", "ip_end", ["province", "city"], bits).withColumn(_LV, F.lit(0))
     probe = spark.createDataFrame([(1,)], "_rl_key bigint").withColumn(_B, F.lit(0).cast("bigint")).withColumn(_LV, F.lit(0))
-    refined, _ = _refine(dim, probe, bits, levels, 32, 256 << 20)
+    refined, _ = _refine(dim, probe, bits, levels, 32)
     worst = refined.groupBy(_LV, _B).count().agg(F.max("count")).first()[0]
     unrefined = dim.groupBy(_B).count().agg(F.max("count")).first()[0]
     assert unrefined > 32 >= worst
@@ -178,3 +178,96 @@ def test_precomputed_stats_are_reused(spark):
     ev = spark.createDataFrame([(k,) for k in (5, 25, 50)], "k bigint")
     out = range_lookup(ev, "k", d, stats=st)
     assert sorted((r["k"], r["province"]) for r in out.collect()) == [(5, "p0"), (25, "p1"), (50, None)]
+
+
+def _narrowest(keys, ranges):
+    out = []
+    for k in keys:
+        hits = [(e - s, p, c) for s, e, p, c in ranges if s <= k <= e]
+        out.append((k, *(min(hits)[1:] if hits else (None, None))))
+    return sorted(out)
+
+
+def _nest(rnd, lo, hi, depth, out):
+    """Random ranges nested in lo..hi."""
+    at = lo
+    while at <= hi and len(out) < 400:
+        width = rnd.choice([1, 2, 3, 17, 256, 70_000, 1 << 21, 1 << 26])
+        s = at + rnd.choice([0, 0, 1, 1000])
+        e = min(s + width - 1, hi)
+        if s > hi or (s, e) == (lo, hi):
+            return
+        out.append((s, e, f"p{len(out)}", f"c{depth}"))
+        if depth < 4 and e > s:
+            _nest(rnd, s, e, depth + 1, out)
+        at = e + 1 + rnd.choice([0, 0, 5, 1 << 22])
+
+
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_nested_ranges_give_the_narrowest(spark, broadcast):
+    import duckdb
+
+    rnd = random.Random(11)
+    ranges = [(0, (1 << 32) - 1, "world", "w"), ((1 << 32) - 1, (1 << 32) - 1, "last", "l")]
+    _nest(rnd, 5, 1 << 31, 0, ranges)
+    assert len(ranges) > 300
+    edges = [x for s, e, *_ in ranges for x in (s - 1, s, e, e + 1) if 0 <= x < 1 << 32]
+    keys = edges + [rnd.randrange(1 << 32) for _ in range(2000)]
+    out = range_lookup(spark.createDataFrame([(k,) for k in keys], "k bigint"), "k", _dict(spark, ranges), nested=True, broadcast=broadcast, bucket_bits=None if broadcast else 20)
+    got = sorted(tuple(r) for r in out.collect())
+    assert got == _narrowest(keys, ranges)
+    con = duckdb.connect()
+    con.execute("CREATE TABLE d (s BIGINT, e BIGINT, p VARCHAR, c VARCHAR)")
+    con.executemany("INSERT INTO d VALUES (?, ?, ?, ?)", ranges)
+    con.execute("CREATE TABLE k (i BIGINT, k BIGINT)")
+    con.executemany("INSERT INTO k VALUES (?, ?)", list(enumerate(keys)))
+    assert got == sorted(con.execute("SELECT k, arg_min(p, e - s), arg_min(c, e - s) FROM k LEFT JOIN d ON k BETWEEN s AND e GROUP BY i, k").fetchall())
+
+
+def test_disjoint_ranges_stay_what_they_are(spark):
+    from adtally.operators import disjoint_ranges
+
+    cut = sorted(tuple(r) for r in disjoint_ranges(_dict(spark)).collect())
+    assert cut == sorted(RANGES)
+    assert disjoint_ranges(_dict(spark, [])).collect() == []
+
+
+@pytest.mark.parametrize("bad", [
+    [(0, 10, "a", "b"), (5, 15, "c", "d")],
+    [(0, 100, "a", "b"), (10, 50, "c", "d"), (40, 60, "e", "f")],
+    [(0, 10, "a", "b"), (0, 10, "c", "d")],
+    [(10, 0, "a", "b")],
+    [(None, 0, "a", "b")],
+])
+def test_overlap_without_nesting_still_raises(spark, bad):
+    ev = spark.createDataFrame([(1,)], "k bigint")
+    with pytest.raises(OverlappingRangesError):
+        range_lookup(ev, "k", _dict(spark, bad), nested=True)
+
+
+def test_hot_keys_are_salted_without_a_count(spark):
+    rows = [(i, 25 if i % 3 == 0 else i % 20) for i in range(3000)]
+    ev = spark.createDataFrame(rows, "id bigint, k bigint")
+    out = range_lookup(ev, "k", _dict(spark), broadcast=False, hot_keys=[25])
+    want = range_lookup(ev, "k", _dict(spark), broadcast=True)
+    assert sorted(map(tuple, out.select("id", "k", "city").collect())) == sorted(map(tuple, want.select("id", "k", "city").collect()))
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join") == 1  # none with counted buckets
+    with pytest.raises(ValueError):
+        range_lookup(ev, "k", _dict(spark), broadcast=False, hot_keys=range(5000))
+
+
+def test_levels_cost_no_shuffle_of_the_log(spark):
+    # 300 single addresses in one corner of a dictionary of wide ranges
+    wide = [(i << 22, (i << 22) + (1 << 21) - 1, "w", f"w{i}") for i in range(1, 400)]
+    dense = [(i * 2, i * 2, "d", f"d{i}") for i in range(300)]
+    keys = [(k,) for k in [*range(0, 700), *[(i << 22) + 5 for i in range(400)]]]
+    ev = spark.createDataFrame(keys, "k bigint")
+    out = range_lookup(ev, "k", _dict(spark, wide + dense), broadcast=False, max_broadcast_bytes=1)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    levels = plan.count("_rl_bits")
+    assert levels and plan.count("SortMergeJoin") == 1
+    assert plan.count("Exchange hashpartitioning") == 2  # both sides of the final join
+    assert sorted(tuple(r) for r in out.collect()) == _brute([k for k, in keys], wide + dense)
+    with pytest.raises(ValueError):
+        range_lookup(ev, "k", _dict(spark), dense_ranges=1)
