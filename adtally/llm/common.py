@@ -37,6 +37,26 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+class Scratch:
+    """Intermediate tables in one folder of the shared scratch area, each of which
+    can be dropped when its last reader is done."""
+
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark, self.root = spark, scratch_path(spark, f"llm-{name}")
+
+    def table(self, df: DataFrame, name: str) -> DataFrame:
+        """As ``materialize``."""
+        df.write.parquet(f"{self.root}/{name}")
+        return self.spark.read.schema(df.schema).parquet(f"{self.root}/{name}")
+
+    def drop(self, *names: str) -> None:
+        """Delete tables; DataFrames over them can no longer be read."""
+        hadoop = self.spark._jvm.org.apache.hadoop.fs
+        for name in names:
+            path = hadoop.Path(f"{self.root}/{name}")
+            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def own_names(df: DataFrame) -> tuple[DataFrame, dict[str, str]]:
     """``df`` with names that clash with no other, and the new name of each old one."""
     names = {c: f"_in_{i}" for i, c in enumerate(df.columns)}
