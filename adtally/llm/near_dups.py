@@ -17,9 +17,11 @@ pairs. Leaders are the members with most meetings, so that a text finds the one
 it was copied from. Candidates are verified on the full shingle multisets. Where
 a bucket then still holds several components, its next leaders are compared with
 the members of other components: all pairs of a bucket of up to ``LEADERS + 1``
-members. In a larger one the sketches of all pairs of different components are
-compared, block by block; those that agree are verified in rounds, the best few
-of two components first, until every such pair is joined or tried.
+members. In a larger one long sketches of the members of different components are
+compared, block by block, where their common shingles can be enough: a shingle that
+one member alone holds is in no pair's intersection. Pairs that agree are verified
+in rounds, the best few of two components first, until every such pair is joined
+or tried; of the buckets that two texts share the first one emits them.
 
 Defined results: a null text is empty; words are lower-case alphanumeric runs;
 a text of one to four words is one shingle; texts without words are copies only
@@ -50,6 +52,9 @@ REGISTERS = BANDS * ROWS
 #: A pair between components is verified if this many registers agree; at
 #: similarity 0.8 (76.8 of 96 expected) it is missed with probability 1e-6.
 LEAST_AGREE = 57
+#: Registers of 8 bits of the sketches by which all members of a bucket are compared;
+#: at similarity 0.8 (820 expected, deviation 12.8) a pair is missed with probability 1e-6.
+LONG, LONG_AGREE = 1024, 759
 #: Leaders of a bucket that still holds several components.
 LEADERS = 8
 #: Members of a block of a bucket, of which two meet in one step.
@@ -260,29 +265,36 @@ def _bridges(held: DataFrame, leaders: DataFrame, labels: DataFrame, tried: Data
 
 
 def _joined_in_full(held: DataFrame, labels: DataFrame, tried: DataFrame, signed: DataFrame, texts: DataFrame) -> DataFrame:
-    """``labels`` after every pair of agreeing sketches of a bucket of ``held`` is in one component or verified.
+    """``labels`` after every pair of a bucket of ``held`` that can be similar is in one component or verified.
 
     A round takes a number of pairs of two components and block pair, the best
-    first, and the next one four times as many; it is the last if none was left out."""
-    most = LEADERS
+    first, and the next one four times as many of the buckets that had more; it is
+    the last if none had."""
+    mixed = _mixed(held, labels)
+    if mixed is None:
+        return labels
+    traits = _traits(mixed.select("fp").distinct(), signed, texts)  # later rounds have no other members
+    held = materialize(held.select("band", "fp").join(traits.select("fp"), "fp", "left_semi"), "able")
+    most = 4 * LEADERS
     while True:
-        cells = _cells(held, labels, signed)
-        if cells is None:
+        mixed = _mixed(held, labels)
+        if mixed is None:
             return labels
-        found = materialize(cells.groupBy("band", "i", "j").applyInArrow(_crossing(most), "a string, b string, more boolean"), "crossing")
+        found = materialize(_cells(mixed, traits).groupBy("band", "i", "j").applyInArrow(_crossing(most), "a string, b string, band long, more boolean"), "crossing")
         fresh = materialize(found.select("a", "b").distinct().join(tried, ["a", "b"], "left_anti"), "fresh")
         links = materialize(_verified(fresh, texts), "links")
         if links.take(1):
             labels = _merged(labels, links)
-        if not found.where("more").take(1):
+        unfinished = materialize(found.where("more").select("band").distinct(), "unfinished")
+        if not unfinished.take(1):
             return labels
+        held = held.join(sized_broadcast(unfinished), "band", "left_semi")
         tried, most = tried.unionByName(fresh), 4 * most
 
 
-def _cells(held: DataFrame, labels: DataFrame, signed: DataFrame) -> DataFrame | None:
-    """(band, i, j, own, fp, root, sketch): the members of blocks i and j of a
-    bucket of several components. Blocks of its largest one have numbers below
-    zero and do not meet each other."""
+def _mixed(held: DataFrame, labels: DataFrame) -> DataFrame | None:
+    """(band, fp, root, top, inside, outside): the members of the buckets that hold
+    several components, the largest one and how many blocks it and the others make."""
     labelled = held.join(sized_broadcast(labels), "fp", "left").select("band", "fp", F.coalesce("root", "fp").alias("root"))
     labelled = materialize(labelled, "labelled")
     sizes = labelled.groupBy("band", "root").agg(F.count("*").alias("n"))
@@ -290,36 +302,79 @@ def _cells(held: DataFrame, labels: DataFrame, signed: DataFrame) -> DataFrame |
     mixed = materialize(mixed.select("band", F.col("top.root").alias("top"), F.ceil(F.col("top.n") / BLOCK).cast("int").alias("inside"),
                                      F.ceil((F.col("total") - F.col("top.n")) / BLOCK).cast("int").alias("outside")), "mixed")
     n = mixed.count()
-    if not n:
-        return None
-    rows = labelled.join(sized_broadcast(mixed, n), "band").withColumn("largest", F.col("root") == F.col("top"))
+    return labelled.join(sized_broadcast(mixed, n), "band") if n else None
+
+
+def _shingle_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for part in steps(batch, "text"):
+            hashes, counts, doc, _ = weighted_shingles(part.column("text"))
+            yield pa.RecordBatch.from_arrays([part.column("fp").take(pa.array(doc)), pa.array(hashes.view(np.int64)), pa.array(counts)], names=["fp", "shingle", "n"])
+
+
+def _long_sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for part in steps(batch, "text"):
+            hashes, counts, doc, _ = weighted_shingles(part.column("text"))
+            codes = (mix(bag_signatures(hashes, counts, doc, part.num_rows, LONG)) >> np.uint64(56)).astype(np.uint8)
+            yield pa.RecordBatch.from_arrays([part.column("fp"), pa.array([x.tobytes() for x in codes], pa.binary())], names=["fp", "long"])
+
+
+def _traits(members: DataFrame, signed: DataFrame, texts: DataFrame) -> DataFrame:
+    """(fp, bands, long, shingles, free) of the members that can have a partner among
+    them. free: shingles that another member holds too. What two texts share is free
+    in both, so a text less than ``THRESHOLD`` of which is free is similar to none."""
+    members = materialize(members, "members")
+    asked = texts.join(sized_broadcast(members), "fp", "left_semi")
+    rows = asked.mapInArrow(_shingle_rows, "fp string, shingle long, n long")
+    alone = rows.groupBy("shingle").agg(F.count("*").alias("texts"), F.min("n").alias("n"), F.min(F.unhex("fp")).alias("fp")).where("texts = 1")
+    alone = materialize(alone.groupBy("fp").agg(F.sum("n").alias("alone")).select(F.lower(F.hex("fp")).alias("fp"), "alone"), "alone")
+    free = F.col("shingles") - F.coalesce("alone", F.lit(0))
+    able = signed.join(sized_broadcast(members), "fp", "left_semi").join(sized_broadcast(alone), "fp", "left").select("fp", "bands", "shingles", free.alias("free"))
+    able = able.where(F.col("free") >= F.lit(THRESHOLD) * F.col("shingles"))
+    sketches = asked.mapInArrow(_long_sketches, "fp string, long binary")
+    return materialize(able.join(sketches, "fp"), "traits")
+
+
+def _cells(mixed: DataFrame, traits: DataFrame) -> DataFrame:
+    """(band, i, j, own, fp, root and traits): the members of blocks i and j of a
+    bucket of several components. Blocks of its largest one have numbers below
+    zero and do not meet each other."""
+    rows = mixed.withColumn("largest", F.col("root") == F.col("top"))
     h = F.xxhash64("fp")
     rows = rows.withColumn("own", F.when(F.col("largest"), -1 - F.pmod(h, F.col("inside"))).otherwise(F.pmod(h, F.col("outside"))).cast("int"))
     others = F.sequence(F.lit(0), F.col("outside") - 1)
     met = F.when(F.col("largest"), F.transform(others, lambda y: F.struct(y.alias("i"), F.col("own").alias("j")))).otherwise(F.concat(
         F.transform(others, lambda y: F.struct(F.least("own", y).alias("i"), F.greatest("own", y).alias("j"))),
         F.transform(F.sequence(F.lit(1), F.col("inside")), lambda y: F.struct(F.col("own").alias("i"), (-y).alias("j")))))
-    rows = rows.select("band", "fp", "root", "own", met.alias("met")).join(signed.select("fp", "sketch"), "fp")
-    return rows.select("band", "own", "fp", "root", "sketch", F.explode("met").alias("cell")).select("band", "cell.i", "cell.j", "own", "fp", "root", "sketch")
+    rows = rows.select("band", "fp", "root", "own", met.alias("met")).join(traits, "fp")
+    return rows.select("*", F.explode("met").alias("cell")).select("band", "cell.i", "cell.j", "own", "fp", "root", "bands", "long", "shingles", "free")
 
 
 def _crossing(most: int):
-    """Pairs of a cell whose sketches agree and whose components differ: up to
-    ``most`` of two components, by agreement; ``more``: some were left out."""
+    """Pairs of a cell whose long sketches agree and whose components differ: up to
+    ``most`` of two components, by agreement; ``more``: some were left out. Of the
+    buckets that two texts share only the first emits them."""
     def run(cell: pa.Table) -> pa.Table:
         cell = cell.combine_chunks()
-        own, i, j = cell["own"].to_numpy(), cell["i"][0].as_py(), cell["j"][0].as_py()
+        own, i, j, band = cell["own"].to_numpy(), cell["i"][0].as_py(), cell["j"][0].as_py(), cell["band"][0].as_py()
         names = np.array(cell["fp"].to_pylist(), object)
         order = np.argsort(names)
         names, own = names[order], own[order]
         root = np.unique(np.array(cell["root"].to_pylist(), object), return_inverse=True)[1][order]
-        sketch = np.frombuffer(b"".join(cell["sketch"].to_pylist()), np.uint16).reshape(-1, REGISTERS)[order]
+        bands = cell["bands"].combine_chunks().flatten().to_numpy().reshape(-1, BANDS)[order]
+        sketch = np.frombuffer(b"".join(cell["long"].to_pylist()), np.uint8).reshape(-1, LONG)[order]
+        size, free = cell["shingles"].to_numpy()[order], cell["free"].to_numpy()[order]
         left, right = np.flatnonzero(own == i), np.flatnonzero(own == j)
         parts = []
         for x in left:
-            to = right[(root[right] != root[x]) & ((right > x) if i == j else True)]
+            # no more than what is free in both can be common
+            able = np.minimum(free[right], free[x]) * (1 + THRESHOLD) >= THRESHOLD * (size[right] + size[x])
+            to = right[able & (root[right] != root[x]) & ((right > x) if i == j else True)]
+            same = bands[to] == bands[x]
+            to = to[bands[x][same.argmax(axis=1)] == band] if len(to) else to
             agree = (sketch[to] == sketch[x]).sum(axis=1)
-            good = agree >= LEAST_AGREE
+            good = agree >= LONG_AGREE
             parts.append((np.full(int(good.sum()), x), to[good], agree[good]))
         x, y, agree = (np.concatenate(c) if parts else np.zeros(0, np.int64) for c in (list(zip(*parts)) or [()] * 3))
         two = np.minimum(root[x], root[y]) * len(names) + np.maximum(root[x], root[y])
@@ -330,7 +385,7 @@ def _crossing(most: int):
         kept = nth < most
         a, b = names[np.minimum(x, y)[kept]].tolist(), names[np.maximum(x, y)[kept]].tolist()
         more = not kept.all()
-        return pa.table({"a": pa.array(a, pa.string()), "b": pa.array(b, pa.string()), "more": pa.array([more] * len(a), pa.bool_())})
+        return pa.table({"a": pa.array(a, pa.string()), "b": pa.array(b, pa.string()), "band": pa.array([band] * len(a), pa.int64()), "more": pa.array([more] * len(a), pa.bool_())})
 
     return run
 
