@@ -11,17 +11,20 @@ with C characters, T tags, LC and LT those in links, NC = C - LC, and Cb, LCb
 those of the body (counts below one are one). A node's density sum is the sum of
 its children's densities; the node with the greatest one holds the main text.
 The least density on the path from the body to that node is the threshold. All
-blocks of an article or main element stay; elsewhere in the chosen subtree
-containers and lists that are less dense and hold more link than other text go
+blocks of an article or main element stay. Where there is none, elements beside the
+path to the chosen node stay too if they reach the threshold (an article in several
+containers); in what is chosen containers and lists that are less dense and hold more link than other text go
 (unmarked menus), while headings and paragraphs always stay.
 
 Elements that are never main text by their kind (scripts, styles, forms, menus,
 headers and footers of the page, sidebars) and those whose class or id says so
-(adverts, notices, reader comments) are left out before densities are computed.
+(adverts, notices, reader comments) are left out before densities are computed;
+inside an article only a whole class name counts (``header`` in ``entry-header`` does not).
 
 Text is cut at block elements; references are decoded, white space in a block
 becomes one space, blocks are joined by a line feed. Defined results: a null or
-empty page has the text ''; a page without tags is one block; repeated rows give
+empty page has the text ''; a page without tags is one block; a page of any length
+is parsed whole, in time proportional to it; ids are cast to long; repeated rows give
 repeated rows; null ids and urls stay; further columns are ignored.
 """
 
@@ -50,7 +53,14 @@ _NEVER = frozenset("nav aside form button select option dialog menu head noscrip
 _NAMED = re.compile(r"(?:^|[\s_-])(?:ads?|advert\w*|banner|sponsor\w*|promo\w*|cookies?|consent|notice|popup|modal|newsletter|subscribe|"
                     r"comments?|replies|disqus|sidebar|side|nav|navbar|navigation|menu|breadcrumbs?|pagination|pager|header|masthead|"
                     r"footer|related|recommend\w*|share|sharing|social|widget|toolbar|login|signup|search)(?:$|[\s_-])", re.I)
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>", re.S)
+#: Of the names above, those of what may also stand inside an article, as a whole
+#: word of a class or id: adverts, notices, forms, menus and reader comments.
+_NAMED_INSIDE = re.compile(r"(?:^|\s)(?:ads?|ad[_-]\S+|advert\w*|sponsor(?:ed)?|cookies?|consent|notice|popup|modal|newsletter|subscribe|"
+                           r"comments?|comment-list|replies|disqus|sidebar|nav|navbar|navigation|menu|breadcrumbs?|pagination|pager|login|signup)(?:$|\s)", re.I)
+_SKIPPED = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)", re.S)
+_NAME = re.compile(r"[A-Za-z]")
+_NAME_END = re.compile(r"[\s/>]")
+_STOP = re.compile(r"[>\"']")
 _ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|aria-hidden|style)\s*(?:=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?", re.I)
 _SPACE = re.compile(r"\s+")
 
@@ -74,7 +84,7 @@ def _unwanted(tag: str, attributes: str, inside_article: bool) -> bool:
         return False
     for name, value in _ATTRIBUTE.findall(attributes):
         name, value = name.lower(), value.strip("\"'")
-        if name in ("class", "id") and _NAMED.search(value):
+        if name in ("class", "id") and (_NAMED_INSIDE if inside_article else _NAMED).search(value):
             return True
         if name == "role" and value.lower() in ("navigation", "banner", "contentinfo", "complementary", "search", "form", "dialog", "alert"):
             return True
@@ -83,26 +93,76 @@ def _unwanted(tag: str, attributes: str, inside_article: bool) -> bool:
     return False
 
 
+class _Ahead:
+    """Where a pattern next matches; asked at ascending places, it goes over the
+    page once in all."""
+
+    def __init__(self, pattern: re.Pattern, page: str):
+        self.pattern, self.page, self.found = pattern, page, -1
+
+    def __call__(self, at: int) -> int:
+        if self.found < at:
+            m = self.pattern.search(self.page, at)
+            self.found = m.start() if m else len(self.page)
+        return self.found
+
+
+def _tokens(page: str) -> Iterator[tuple[int, int, str | None, bool, str]]:
+    """(begin, end, tag or None for what is no element, whether it closes one,
+    attributes) of all markup, in time proportional to the page. A ``<`` of which the tag
+    ends nowhere outside quotes is text."""
+    stop_after, name_end = _Ahead(_STOP, page), _Ahead(_NAME_END, page)
+    bad: set[int] = set()  # quotes after which no tag ends
+    at, last = 0, page.rfind(">")
+    while (begin := page.find("<", at)) >= 0:
+        at = begin + 1
+        skipped = _SKIPPED.match(page, begin)
+        if skipped:
+            at = skipped.end()
+            yield begin, at, None, False, skipped.group()
+            continue
+        closes = page.startswith("/", at)
+        if at > last or not _NAME.match(page, at + closes):
+            continue
+        named = name_end(at + closes)
+        stop, walked = stop_after(named), []
+        while stop < len(page) and stop not in bad and page[stop] != ">":
+            walked.append(stop)
+            quoted = page.find(page[stop], stop + 1)
+            found = _STOP.search(page, quoted + 1) if quoted >= 0 else None
+            stop = found.start() if found else len(page)
+        if stop < len(page) and stop not in bad:
+            at = stop + 1
+            yield begin, at, page[begin + 1 + closes: named].lower(), closes, page[named:stop]
+        else:
+            bad.update(walked)
+
+
 def parse(page: str) -> Node:
     """The page's tree; end tags that HTML lets one leave out are supplied."""
     root = Node("#root")
     open_nodes = [root]
-    at = 0
-    while True:
-        m = _TOKEN.search(page, at)
-        text = page[at:m.start()] if m else page[at:]
-        if text:
-            open_nodes[-1].children.append(html.unescape(text))
-        if not m:
-            return root
-        at = m.end()
-        tag = m.group(2)
+    ends: dict[str, _Ahead] = {}
+
+    def raw_end(tag: str, at: int) -> int:
+        """After the end tag of an element whose content is no markup."""
+        if tag not in ends:
+            ends[tag] = _Ahead(re.compile(rf"</{tag}\s*>", re.I), page)
+        close = ends[tag](at)
+        return page.find(">", close) + 1 if close < len(page) else len(page)
+
+    done = 0
+    for begin, end, tag, closing, attributes in _tokens(page):
+        if begin < done:
+            continue  # in the raw text of an element
+        if begin > done:
+            open_nodes[-1].children.append(html.unescape(page[done:begin]))
+        done = end
         if tag is None:
-            if m.group().startswith("<![CDATA["):
-                open_nodes[-1].children.append(m.group()[9:].removesuffix("]]>"))
+            if attributes.startswith("<![CDATA["):
+                open_nodes[-1].children.append(attributes[9:].removesuffix("]]>"))
             continue
-        tag = tag.lower()
-        if m.group(1):
+        if closing:
             for i in range(len(open_nodes) - 1, 0, -1):
                 if open_nodes[i].tag == tag:
                     del open_nodes[i:]
@@ -119,13 +179,15 @@ def parse(page: str) -> Node:
                     del open_nodes[i:]
                     break
         inside = open_nodes[-1].in_article
-        node = Node(tag, _unwanted(tag, m.group(3), inside), inside or tag == "article")
+        node = Node(tag, _unwanted(tag, attributes, inside), inside or tag == "article")
         open_nodes[-1].children.append(node)
         if tag in _RAW:
-            end = re.compile(rf"</{tag}\s*>", re.I).search(page, at)
-            at = end.end() if end else len(page)
-        elif tag not in _VOID and not m.group(3).rstrip().endswith("/"):
+            done = raw_end(tag, end)
+        elif tag not in _VOID and not attributes.rstrip().endswith("/"):
             open_nodes.append(node)
+    if done < len(page):
+        open_nodes[-1].children.append(html.unescape(page[done:]))
+    return root
 
 
 def _in_order(root: Node) -> list[Node]:
@@ -168,8 +230,10 @@ def measure(root: Node) -> None:
         node.density = c / t * math.log(max(c / lc * t / lt, 1.0)) / math.log(max(base, 1 + 1e-9)) if base > 1 + 1e-9 else c / t * math.log(max(c / lc * t / lt, 1.0))
 
 
-def main_node(root: Node) -> tuple[Node, float]:
-    """The subtree of the greatest density sum, and the threshold of its path."""
+def main_node(root: Node) -> tuple[Node, float, list[Node]]:
+    """The subtree of the greatest density sum, the threshold of its path, and the
+    nodes that hold main text: that subtree, or, where no article or main element
+    holds it, also the elements beside its path that reach the threshold."""
     nodes = _in_order(root)
     parent = {id(c): n for n in nodes for c in n.children if isinstance(c, Node) and not c.dropped}
     body = next((n for n in nodes if n.tag == "body"), root)
@@ -188,12 +252,27 @@ def main_node(root: Node) -> tuple[Node, float]:
         threshold = min(threshold, node.density)
         if node.tag in ("article", "main"):
             best = node
-    return best, threshold
-
-
-def blocks(node: Node, threshold: float) -> list[str]:
-    """Texts of the block elements under ``node`` in page order; ``threshold``
-    holds outside of articles only."""
+    if best.in_article or best.tag == "main":
+        return best, threshold, [best]
+    path, node = {id(best)}, best
+    while node is not body and id(node) in parent:
+        node = parent[id(node)]
+        path.add(id(node))
+    chosen, stack = [], [body]
+    while stack:
+        node = stack.pop()
+        if node is best:
+            chosen.append(node)
+        elif id(node) in path:
+            stack.extend(c for c in reversed(node.children) if isinstance(c, Node) and not c.dropped)
+        elif node.density >= threshold and 2 * node.link_chars <= node.chars and node.chars:
+            chosen.append(node)
+    return best, threshold, chosen
+
+
+def blocks(chosen: list[Node], threshold: float) -> list[str]:
+    """Texts of the block elements under the chosen nodes in page order;
+    ``threshold`` holds outside of articles only."""
     out: list[str] = []
     current: list[str] = []
 
@@ -203,7 +282,8 @@ def blocks(node: Node, threshold: float) -> list[str]:
         if text:
             out.append(text)
 
-    stack: list[tuple[Node | str | None, bool]] = [(node, False)]
+    tops = {id(n) for n in chosen}
+    stack: list[tuple[Node | str | None, bool]] = [(n, False) for n in reversed(chosen)]
     while stack:
         item, whole = stack.pop()
         if item is None:
@@ -212,7 +292,7 @@ def blocks(node: Node, threshold: float) -> list[str]:
             current.append(item)
         elif not item.dropped:
             whole = whole or item.in_article or item.tag == "main" or item.tag in _TEXT
-            if not whole and item is not node and item.tag in _BLOCK and item.density < threshold and 2 * item.link_chars > item.chars:
+            if not whole and id(item) not in tops and item.tag in _BLOCK and item.density < threshold and 2 * item.link_chars > item.chars:
                 continue  # a link list outside of an article
             if item.tag == "br":
                 current.append(" ")
@@ -231,7 +311,8 @@ def main_text(page: str | None) -> str:
         return ""
     root = parse(page)
     measure(root)
-    return "\n".join(blocks(*main_node(root)))
+    _, threshold, chosen = main_node(root)
+    return "\n".join(blocks(chosen, threshold))
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
