@@ -13,14 +13,16 @@ The bitmap is the only thing that is broadcast; its size is bounded whatever
 the benchmark's size. It never drops a true hit: the join behind it decides.
 
 Defined results: null texts are empty; words are lower-case alphanumeric runs;
-an item shorter than the longest mask is too short to be evidence and is never
-reported; repeated rows and repeated items are reported once; null ids are kept
+an item shorter than the longest mask leaks where all its words stand in a row
+(gaps would leave too few to tell it from common speech), one without words never;
+texts of any length are taken whole, in steps; repeated rows and repeated items are reported once; null ids are kept
 as null. An empty table on either side gives an empty result. Further columns
 are ignored.
 """
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,6 +36,8 @@ from adtally.llm.words import mix, word_hashes
 #: The masks, of six words each.
 MASKS = ("111111", "110110101", "101011011", "1110010011")
 SPAN = max(map(len, MASKS))
+#: Number of the mask of no words; a short item's mask has its length added.
+WHOLE = 100
 #: An item leaks if one alignment certifies this many of its words, or this
 #: share of a short item.
 LEAK_WORDS, LEAK_SHARE = 12, 0.6
@@ -43,15 +47,16 @@ _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD
                  0xA0761D6478BD642F, 0xE7037ED1A0B428DB], np.uint64)
 
 
-def mask_hashes(words: np.ndarray, first: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
-    """(mask number, text of each window, word position in it, hash)."""
+def mask_hashes(words: np.ndarray, first: np.ndarray, short: tuple[int, ...] = ()) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """(mask number, text of each window, word position in it, hash). ``short``:
+    lengths of short items, each a mask of all its words, numbered ``WHOLE`` and on."""
     n = np.diff(first)
-    for number, mask in enumerate(MASKS):
+    for number, mask in [*enumerate(MASKS), *((WHOLE + k, "1" * k) for k in short)]:
         size = len(words) - len(mask) + 1
         if size <= 0:
             continue
         acc = np.full(size, number + 1, np.uint64)
-        for odd, j in zip(_ODD, (j for j, c in enumerate(mask) if c == "1")):
+        for odd, j in zip(itertools.cycle(_ODD), (j for j, c in enumerate(mask) if c == "1")):
             acc += words[j: j + size] * odd
             acc ^= acc >> np.uint64(29)
         text = np.repeat(np.arange(len(n)), n)[:size]
@@ -65,8 +70,9 @@ def _item_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         for part in steps(batch, "text"):
             words, first = word_hashes(part.column("text"))
             n = np.diff(first)
-            for number, text, at, h in mask_hashes(words, first):
-                ok = n[text] >= SPAN
+            lengths = tuple(int(k) for k in np.unique(n[(n > 0) & (n < SPAN)]))
+            for number, text, at, h in mask_hashes(words, first, lengths):
+                ok = n[text] == number - WHOLE if number >= WHOLE else n[text] >= SPAN
                 text, at, h = text[ok], at[ok], h[ok]
                 yield pa.RecordBatch.from_arrays(
                     [part.column("item_id").take(pa.array(text)), pa.array(n[text], pa.int32()), pa.array(np.full(len(at), number), pa.int32()),
@@ -74,7 +80,7 @@ def _item_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                     names=["item_id", "item_words", "mask", "item_at", "hash"])
 
 
-def _doc_windows(bitmap):
+def _doc_windows(bitmap, short: tuple[int, ...]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.frombuffer(bitmap.value, np.uint8)
         shift = np.uint64(64 - BITMAP_LOG2)
@@ -82,7 +88,7 @@ def _doc_windows(bitmap):
             for part in steps(batch, "text"):
                 words, first = word_hashes(part.column("text"))
                 found = []
-                for _, text, at, h in mask_hashes(words, first):
+                for _, text, at, h in mask_hashes(words, first, short):
                     slot = h >> shift
                     hit = np.flatnonzero((bits[slot >> np.uint64(3)] >> (slot & np.uint64(7)).astype(np.uint8)) & 1)
                     found.append((text[hit], at[hit], h[hit]))
@@ -120,17 +126,19 @@ def benchmark_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id
     spark = docs.sparkSession
     items = benchmark.select(F.col(item_col).cast("long").alias("item_id"), F.coalesce(F.col(item_text_col).cast("string"), F.lit("")).alias("text")).distinct()
     windows = materialize(items.mapInArrow(_item_windows, "item_id long, item_words int, mask int, item_at int, hash long"), "item-windows")
+    short = tuple(sorted(r[0] for r in windows.where(F.col("mask") >= WHOLE).select("item_words").distinct().collect()))  # below SPAN
     bitmap = spark.sparkContext.broadcast(_bitmap(windows.select("hash").distinct()))
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_key(F.col(text_col)).alias("fp"),
                        F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    met = rows.mapInArrow(_doc_windows(bitmap), "doc_id long, fp string, at int, hash long")
-    offsets = F.create_map(*[x for i, m in enumerate(MASKS) for x in (F.lit(i), F.array(*[F.lit(j) for j, c in enumerate(m) if c == "1"]))])
+    met = rows.mapInArrow(_doc_windows(bitmap, short), "doc_id long, fp string, at int, hash long")
+    masks = [*enumerate(MASKS), *((WHOLE + k, "1" * k) for k in short)]
+    offsets = F.create_map(*[x for i, m in masks for x in (F.lit(i), F.array(*[F.lit(j) for j, c in enumerate(m) if c == "1"]))])
     hits = (met.join(sized_broadcast(windows), "hash")
             .select("doc_id", "fp", "item_id", "item_words", (F.col("at") - F.col("item_at")).alias("first_word"),
                     F.explode(F.transform(offsets[F.col("mask")], lambda j: j + F.col("item_at"))).alias("certified")))
     words = (hits.groupBy("doc_id", "fp", "item_id", "item_words", "first_word", "certified").agg(F.lit(1).alias("one"))
              .groupBy("doc_id", "fp", "item_id", "item_words", "first_word").agg(F.count("*").alias("matched_words")))
-    enough = F.least(F.lit(LEAK_WORDS), F.ceil(F.col("item_words") * F.lit(LEAK_SHARE)))
+    enough = F.when(F.col("item_words") < SPAN, F.col("item_words")).otherwise(F.least(F.lit(LEAK_WORDS), F.ceil(F.col("item_words") * F.lit(LEAK_SHARE))))
     return (words.where(F.col("matched_words") >= enough)
             .groupBy("doc_id", "fp", "item_id")
             .agg(F.max(F.struct("matched_words", (-F.col("first_word")).alias("at"), "item_words")).alias("best"))
