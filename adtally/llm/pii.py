@@ -21,6 +21,7 @@ an empty result; further columns are ignored (``redact`` returns them).
 from __future__ import annotations
 
 import bisect
+import itertools
 import hashlib
 import re
 from collections import Counter
@@ -104,12 +105,13 @@ def candidates(text: str, taken: list[tuple[str, int, int]]) -> list[tuple[str,
     """Loose candidates that touch no span of ``taken``, leftmost first per kind."""
     spans = sorted((b, e) for _, b, e in taken)
     starts = [b for b, _ in spans]
+    reach = list(itertools.accumulate((e for _, e in spans), max))  # the greatest end so far
     out = []
     for kind, pattern in (("email_words", _EMAIL_WORDS), ("phone_local", _PHONE_LOCAL), ("national_id", _NATIONAL), ("name", _NAME)):
         for m in pattern.finditer(text):
             b, e = m.span()
             i = bisect.bisect_left(starts, e)
-            if not any(y > b for _, y in spans[max(0, i - 8): i]):
+            if not i or reach[i - 1] <= b:
                 out.append((kind, b, e))
     return out
 
