@@ -155,15 +155,16 @@ def matches(rows: DataFrame, entries: DataFrame, column: str = "entry") -> DataF
 
     ``entries``: strings of a host and the beginning of a path, such as
     ``example.net/en/``."""
-    files = build_list(entries, column=column)
+    # measured before it is built: one file holds LOCAL_BYTES at most, or a range of the keys
+    listed = entries.where(F.col(column).isNotNull()).agg(F.sum(F.octet_length(column) + 16)).first()[0] or 0
+    local = listed <= LOCAL_BYTES
+    files = build_list(entries, 1 if local else RANGES, column)
     # distinct lengths of listed paths: bounded by the longest path, not by the list
     lengths = sorted(r[0] for r in entries.where(F.col(column).isNotNull()).select(
         (F.char_length(column) - F.char_length(F.substring_index(column, "/", 1))).alias("n")).distinct().collect())
-    total = files.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
-    if total <= LOCAL_BYTES:
+    if local:
         paths = [r["path"] for r in files.select("path").collect()]
         return rows.mapInArrow(_probe_whole(paths, lengths), f"{_ddl(rows)}, entry string")
-    files = build_list(entries, RANGES, column)
     where = {r["part"]: r["path"] for r in files.select("part", "path").collect()}
     asked = rows.select("host", "path").distinct()
     spread = asked.mapInArrow(_spread(lengths, RANGES), "host string, path string, part long, candidate string, key long")
