@@ -203,7 +203,9 @@ def keep_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     return old_names(kept, names)
 
 
-#: The same rules in DuckDB SQL over the view ``documents``.
+#: The rules in DuckDB SQL over the view ``documents``. A line counts for every
+#: different text there; the code leaves near copies of a text out of that count,
+#: which changes no row where fewer than LINE_DOCUMENTS of them hold a line.
 ORACLE = rf"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, source AS host, coalesce(text, '') AS t FROM documents),
 w AS (SELECT *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS words FROM d),
@@ -215,11 +217,8 @@ lines AS (SELECT r, unnest(string_split(t, chr(10))) AS line FROM d),
 real AS (SELECT r, line, trim(lower(regexp_replace(line, '[\x20\x09-\x0D]+', ' ', 'g'))) AS norm
          FROM lines WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
 dup AS (SELECT r, count(*) - count(DISTINCT line) AS n FROM real GROUP BY r),
-sketch AS (SELECT r, list_sort(list_distinct(list_filter(words,
-             lambda x: length(x) = list_max(list_transform(words, lambda y: length(y)))))) AS s FROM w WHERE len(words) > 0),
-held AS (SELECT d.host, real.norm, sketch.s, d.t, d.r FROM real JOIN d USING (r) JOIN sketch USING (r)),
-freq AS (SELECT host, norm FROM held GROUP BY host, norm
-         HAVING count(DISTINCT s) >= {LINE_DOCUMENTS} AND 2 * count(DISTINCT s) > count(DISTINCT t)),
+held AS (SELECT d.host, real.norm, d.t, d.r FROM real JOIN d USING (r)),
+freq AS (SELECT host, norm FROM held GROUP BY host, norm HAVING count(DISTINCT t) >= {LINE_DOCUMENTS}),
 gone AS (SELECT r, sum(len(string_split(norm, ' '))) AS n FROM held h
          WHERE EXISTS (SELECT 1 FROM freq f WHERE f.norm = h.norm AND f.host IS NOT DISTINCT FROM h.host) GROUP BY r),
 m AS (SELECT w.doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(length(array_to_string(words, '')) AS BIGINT) AS word_chars,
