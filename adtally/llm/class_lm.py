@@ -14,9 +14,15 @@ corpus once and kept as a row per unit with its neighbours (at most two for each
 unit); a round moves the units whose turn it is, each in its own task against the
 class counts of the round's start, and the class counts are summed anew.
 
-Word counts stay in a distributed table. Frequent words' counts go to the tasks
-with the units; the rarer words of a chunk of texts are written as postings
-(word, which texts), joined with the counts by word, and sent back to the chunk.
+Then every rarer training word is a unit of its own: the classes before and after
+all its occurrences are gathered by word, it leaves its form and moves to the class
+of the greatest gain, all words against the same class counts. No word is left to
+its form but those that are not in the training text. The bigrams of classes are
+counted anew over the texts with every word in its own class.
+
+Counts and classes of words stay in a distributed table. Those of frequent words go
+to the tasks with the units; the rarer words of a chunk of texts are written as
+postings (word, its places), joined with the table by word, and sent back to the chunk.
 
 Smoothing: emissions (n + 0.5) / (N(class) + 0.5 * (different words of it + 1)),
 so that every class keeps room for a word it has not seen; transitions are mixed
@@ -43,7 +49,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from adtally.llm.common import Scratch, importable, materialize, steps, text_bytes
+from adtally.llm.common import Scratch, importable, steps, text_bytes
 from adtally.llm.words import _CODES, mix, powers
 
 #: Share of the training tokens from which on a word is a unit of its own, and the
@@ -57,6 +63,10 @@ CLASSES, ROUNDS, TURNS = 64, 12, 3
 CHUNK_BYTES, CHUNK_DOCS = 8 << 20, 1 << 16
 #: Different keys that a task holds before it writes their counts, and rows before it packs them.
 HELD_KEYS, HELD_ROWS = 1 << 19, 1 << 18
+#: Rare words whose gains are computed together.
+_WORDS = 256
+#: For a word that was not learned from: it stays in the class of its form.
+_NO_CLASS = 255
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[32, *range(9, 14)]] = True
@@ -181,6 +191,36 @@ def gains(matrix: np.ndarray, own: int, right: np.ndarray, left: np.ndarray, twi
     return out - g(rows + right.sum()) + g(rows) - g(columns + left.sum()) + g(columns)
 
 
+def word_gains(matrix: np.ndarray, own: np.ndarray, right: np.ndarray, left: np.ndarray, twice: np.ndarray) -> np.ndarray:
+    """``gains`` of many words at once, a row for each."""
+    def g(x):
+        return x * np.log(np.maximum(x, 1))
+
+    word = np.arange(len(own))
+    after, before = right.astype(float), left.astype(float)
+    after[word, own] -= twice
+    before[word, own] -= twice
+    diagonal = np.repeat(np.diagonal(matrix)[None], len(own), 0)
+    diagonal[word, own] -= after[word, own] + before[word, own] + twice
+    out = g(diagonal + after + before + twice[:, None]) - g(diagonal + after) - g(diagonal + before) + g(diagonal)
+    for bigrams, moved, other in ((matrix.T, after, before), (matrix, before, after)):
+        i, d = np.nonzero(moved)
+        if len(i):
+            n, cell = moved[i, d], np.arange(len(i))
+            rest = bigrams[d]
+            rest[cell, own[i]] -= n
+            inside = d == own[i]
+            rest[inside] -= other[i[inside]]
+            rest[cell[inside], own[i[inside]]] -= twice[i[inside]]
+            start = np.flatnonzero(np.concatenate([[True], i[1:] != i[:-1]]))
+            out[i[start]] += np.add.reduceat(g(rest + n[:, None]) - g(rest), start)
+    for margin, n in ((matrix.sum(1), right.sum(1)), (matrix.sum(0), left.sum(1))):
+        rest = np.repeat(margin[None], len(own), 0)
+        rest[word, own] -= n
+        out += g(rest) - g(rest + n[:, None])
+    return out
+
+
 def likelihood(matrix: np.ndarray) -> float:
     """The part of the training text's log likelihood that the classes decide."""
     def g(x):
@@ -279,19 +319,92 @@ def exchange(contexts: DataFrame, tokens: np.ndarray) -> tuple[np.ndarray, np.nd
     return best[1], best[2]
 
 
+def _grouped(keys: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, list[list[bytes]]]:
+    """(different keys, for each of ``values`` the bytes of every key's ones), in the order of the first."""
+    order = np.lexsort((values[0], keys))
+    keys = keys[order]
+    start = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
+    at = list(zip(start.tolist(), [*start[1:].tolist(), len(keys)]))
+    out = []
+    for x in values:
+        size, raw = x.dtype.itemsize, x[order].tobytes()
+        out.append([raw[size * i: size * j] for i, j in at])
+    return keys[start], out
+
+
+def _homes(rows: DataFrame, units: Units, classes: np.ndarray, matrix: np.ndarray) -> DataFrame:
+    """word, n, class of every training word that is no unit: the class of the greatest gain."""
+    size = CLASSES + 1
+
+    def contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, total = [], 0
+
+        def close() -> pa.RecordBatch:
+            word, (near,) = _grouped(*(np.concatenate(x) for x in zip(*held)))
+            held.clear()
+            return pa.RecordBatch.from_arrays([pa.array(word), pa.array(near, pa.binary())], names=["word", "near"])
+
+        for batch in batches:
+            for part in steps(batch, "text", 1 << 19):
+                hashes, forms, first = words(part.column("text"))
+                hashes = hashes & ~np.int64(FORMS - 1) | forms
+                unit, known = units.of(hashes, forms)
+                cls = classes[_sequence(unit, first)].astype(np.int64)
+                owner = np.repeat(np.arange(part.num_rows), np.diff(first))
+                at = (np.arange(len(hashes)) + owner)[~known]
+                again = np.zeros(len(hashes), np.int64)
+                again[:-1] = (hashes[1:] == hashes[:-1]) & (owner[1:] == owner[:-1])
+                before = np.where(at > 0, cls[at - 1], 0)
+                held.append((hashes[~known], (before | cls[at + 1] << 7 | again[~known] << 14).astype("<u2")))
+                total += len(at)
+                if total > HELD_ROWS:
+                    yield close()
+                    total = 0
+        if held:
+            yield close()
+
+    def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for begin in range(0, batch.num_rows, _WORDS):
+                part = batch.slice(begin, _WORDS)
+                near = [b"".join(x) for x in part.column("near").to_pylist()]
+                n = np.array([len(x) >> 1 for x in near], np.int64)
+                word = part.column("word").to_numpy()
+                code, of = np.frombuffer(b"".join(near), "<u2").astype(np.int64), np.repeat(np.arange(len(n)), n)
+                left, right = (np.bincount(of * size + c, minlength=len(n) * size).reshape(-1, size) for c in (code & 127, code >> 7 & 127))
+                own = classes[(word & (FORMS - 1)) + 1].astype(np.int64)
+                twice = np.bincount(of, code >> 14, len(n))
+                gain = word_gains(matrix, own, right, left, twice)
+                best = 1 + np.argmax(gain[:, 1:], 1)
+                row = np.arange(len(n))
+                best = np.where(gain[row, best] > gain[row, own] + 1e-6, best, own)
+                yield pa.RecordBatch.from_arrays([pa.array(word), pa.array(n), pa.array(best, pa.int32())], names=["word", "n", "class"])
+
+    near = rows.mapInArrow(contexts, "word long, near binary").groupBy("word").agg(F.collect_list("near").alias("near"))
+    return near.mapInArrow(settle, "word long, n long, class int")
+
+
 @dataclass(frozen=True)
-class ClassModel:
+class Classes:
+    """What is learned before the bigrams of the final classes are counted."""
+
     units: Units
-    classes: np.ndarray  # of every unit
-    transition: np.ndarray  # log10 P(class | class before)
-    emission: np.ndarray  # log10 of the class's denominator
-    vocabulary: DataFrame  # word, n of the rarer training words
+    classes: np.ndarray  # of every unit; a form's is that of its words that were not learned from
+    vocabulary: DataFrame  # word, n, class of the rarer training words
+    share: np.ndarray  # training tokens of every class
+    types: np.ndarray  # different training words of every class
     n_tokens: int  # training tokens, ends included
     n_types: int  # different ones
 
 
-def train(docs: DataFrame, text_col: str = "text") -> ClassModel:
-    """Learn from every row of ``docs``."""
+@dataclass(frozen=True)
+class ClassModel(Classes):
+    transition: np.ndarray  # log10 P(class | class before)
+    emission: np.ndarray  # log10 of the class's denominator
+
+
+def _cluster(docs: DataFrame, text_col: str) -> Classes:
+    """The classes of all words of ``docs``."""
     importable(docs.sparkSession)
     rows = docs.select(F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"))
 
@@ -300,17 +413,18 @@ def train(docs: DataFrame, text_col: str = "text") -> ClassModel:
         hashes, forms, _ = words(texts)
         return hashes & ~np.int64(FORMS - 1) | forms
 
-    vocabulary = materialize(_counted(rows, hashed, "word"), "lm-words")
+    scratch = Scratch(docs.sparkSession, "lm-train")
+    vocabulary = scratch.table(_counted(rows, hashed, "word"), "words")
     ends = rows.count()
-    total, types = vocabulary.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
+    total, n_types = vocabulary.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     n_tokens = total + ends
     frequent = F.col("n") >= max(UNIT_LEAST, UNIT_RATE * n_tokens)
     top = np.array(sorted(vocabulary.where(frequent).collect()), np.int64).reshape(-1, 2)  # at most 1 / UNIT_RATE rows
-    rare = vocabulary.where(~frequent)
     tokens, kinds = np.zeros(FORMS + 1, np.int64), np.zeros(FORMS + 1, np.int64)
     tokens[0], kinds[0] = ends, min(ends, 1)
-    for form, n, different in rare.groupBy(F.col("word").bitwiseAND(FORMS - 1)).agg(F.sum("n"), F.count("*")).collect():
+    for form, n, different in vocabulary.where(~frequent).groupBy(F.col("word").bitwiseAND(FORMS - 1)).agg(F.sum("n"), F.count("*")).collect():
         tokens[form + 1], kinds[form + 1] = n, different
+    scratch.drop("words")
     units = Units(top[:, 0].copy(), np.concatenate([tokens, top[:, 1]]), np.concatenate([kinds, np.ones(len(top), np.int64)]))
 
     def bigrams(texts: pa.Array) -> np.ndarray:
@@ -319,40 +433,63 @@ def train(docs: DataFrame, text_col: str = "text") -> ClassModel:
         after = _sequence(unit, first)
         return np.concatenate([[0], after[:-1]]) << 32 | after
 
-    scratch = Scratch(docs.sparkSession, "lm-train")
     pairs = scratch.table(_counted(rows, bigrams, "pair"), "bigrams")
     lists = pairs.mapInArrow(_packed, "unit long, other binary, n binary").groupBy("unit")
     contexts = scratch.table(lists.agg(F.collect_list(F.struct("other", "n")).alias("near")), "contexts")
     scratch.drop("bigrams")
     classes, matrix = exchange(contexts, units.tokens)
     scratch.drop("contexts")
+    rare = scratch.table(_homes(rows, units, classes, matrix), "homes")
+    own = np.concatenate([[0], np.arange(FORMS + 1, len(units.tokens))])
+    share, types = (np.bincount(classes[own], x[own], CLASSES + 1) for x in (units.tokens, units.types))
+    for c, n, different in rare.groupBy("class").agg(F.sum("n"), F.count("*")).collect():  # a row per class
+        share[c] += n
+        types[c] += different
+    return Classes(units, classes, rare, share, types, n_tokens, n_types + min(ends, 1))
+
+
+def _fitted(found: Classes, classed: DataFrame) -> ClassModel:
+    """The model of the bigrams of classes in ``classed`` training texts."""
     size = CLASSES + 1
-    share = np.bincount(classes, units.tokens, size)
-    prior = (share + 0.5) / (n_tokens + 0.5 * size)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cells = np.zeros(size * size, np.int64)
+        for batch in batches:
+            after = np.frombuffer(b"".join(batch.column("classes").to_pylist()), np.uint8).astype(np.int64)
+            cells += np.bincount(np.concatenate([[0], after[:-1]]) * size + after, minlength=size * size)
+        used = np.flatnonzero(cells)
+        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(cells[used])], names=["cell", "n"])
+
+    matrix = np.zeros(size * size)
+    for cell, n in classed.select("classes").mapInArrow(run, "cell long, n long").groupBy("cell").agg(F.sum("n")).collect():  # a row per pair of classes
+        matrix[cell] = n
+    matrix = matrix.reshape(size, size)
+    prior = (found.share + 0.5) / (found.n_tokens + 0.5 * size)
     transition = np.log10((matrix + size * prior) / (matrix.sum(1, keepdims=True) + size))
-    emission = np.log10(share + 0.5 * (np.bincount(classes, units.types, size) + 1))
-    return ClassModel(units, classes, transition, emission, rare, n_tokens, types + min(ends, 1))
+    return ClassModel(**vars(found), transition=transition, emission=np.log10(found.share + 0.5 * (found.types + 1)))
+
+
+def train(docs: DataFrame, text_col: str = "text") -> ClassModel:
+    """Learn from every row of ``docs``."""
+    found = _cluster(docs, text_col)
+    return _fitted(found, _classed(docs.select(F.lit(0).alias("doc_id"), F.col(f"`{text_col}`").alias("text")), found, "doc_id", "text"))
 
 
 def _by_chunk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Postings with the count of their word, all that a task holds of a chunk in one
-    row: a text's number and a count for each."""
+    """Postings with the count and class of their word, all that a task holds of a
+    chunk in one row: for each occurrence its place, the count and the class."""
     held, size = [], 0
 
     def close() -> pa.RecordBatch:
-        chunk, docs, n = (np.concatenate(x) for x in zip(*held))
-        order = np.lexsort((n, chunk))
-        chunk, docs, n = chunk[order], docs[order].tobytes(), n[order].astype("<i8").tobytes()
-        start = np.flatnonzero(np.concatenate([[True], chunk[1:] != chunk[:-1]])) if len(chunk) else np.zeros(0, np.int64)
-        at = list(zip(start.tolist(), [*start[1:].tolist(), len(chunk)]))
+        chunk, (n, cls, places) = _grouped(*(np.concatenate(x) for x in zip(*held)))
         held.clear()
-        return pa.RecordBatch.from_arrays([pa.array(chunk[start], pa.int64()), pa.array([docs[2 * i: 2 * j] for i, j in at], pa.binary()), pa.array([n[8 * i: 8 * j] for i, j in at], pa.binary())],
-                                          names=["of_chunk", "docs", "n"])
+        return pa.RecordBatch.from_arrays([pa.array(chunk, pa.int64()), *(pa.array(x, pa.binary()) for x in (places, n, cls))], names=["of_chunk", "places", "n", "cls"])
 
     for batch in batches:
-        docs = batch.column("docs").to_pylist()
-        many = np.fromiter((len(x) >> 1 for x in docs), np.int64, len(docs))
-        held.append((np.repeat(batch.column("of_chunk").to_numpy(), many), np.frombuffer(b"".join(docs), "<u2"), np.repeat(batch.column("n").to_numpy(), many)))
+        places = batch.column("places").to_pylist()
+        many = np.fromiter((len(x) >> 2 for x in places), np.int64, len(places))
+        held.append((np.repeat(batch.column("of_chunk").to_numpy(), many), np.repeat(batch.column("n").to_numpy().astype("<i8"), many),
+                     np.repeat(batch.column("cls").to_numpy().astype(np.uint8), many), np.frombuffer(b"".join(places), "<u4")))
         size += int(many.sum())
         if size > HELD_ROWS:
             yield close()
@@ -361,23 +498,23 @@ def _by_chunk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield close()
 
 
-def score(docs: DataFrame, model: ClassModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every row."""
+def _classed(docs: DataFrame, model: Classes, id_col: str, text_col: str) -> DataFrame:
+    """doc_id, held_out, n_tokens, n_known, log_n (sum of the log10 of counts and a
+    half), classes (a byte for every token, the end included) of every row."""
     importable(docs.sparkSession)
     kind = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(f"`{id_col}`").alias("doc_id"), held_out(F.col(f"`{id_col}`")).alias("held_out"),
                        F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"))
-    units, classes, transition, emission = model.units, model.classes.astype(np.int64), model.transition, model.emission
+    units, classes = model.units, model.classes.astype(np.uint8)
     # Of the end and of frequent words; the postings bring those of the rarer ones.
     count = units.tokens.copy()
     count[1: FORMS + 1] = 0
     log_count = np.log10(count + 0.5)
     log_count[1: FORMS + 1] = 0
-    base = float(np.log10(model.n_tokens + 0.5 * (model.n_types + 1)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, seq, out = TaskContext.get().partitionId(), 0, None
-        kept, sums, postings, held, size = [], [], [], 0, 0
+        kept, sums, postings, held, size, length = [], [], [], 0, 0, 0
 
         def table(columns: dict, n: int) -> Iterator[pa.RecordBatch]:
             columns["chunk"] = np.full(n, (task << 32) | seq)
@@ -386,69 +523,98 @@ def score(docs: DataFrame, model: ClassModel, id_col: str = "doc_id", text_col:
 
         def close() -> Iterator[pa.RecordBatch]:
             ids = {c: pa.concat_arrays([k.column(c) for k in kept]) for c in ("doc_id", "held_out")}
-            yield from table(ids | {"local": np.arange(held)} | {c: np.concatenate([s[c] for s in sums]) for c in sums[0]}, held)
-            word, doc = (np.concatenate(x) for x in zip(*postings))
-            order = np.lexsort((doc, word))
-            word, doc = word[order], doc[order].astype("<u2").tobytes()
-            start = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1]])) if len(word) else np.zeros(0, np.int64)
-            ends = [*start[1:].tolist(), len(word)]
-            yield from table({"word": word[start], "docs": [doc[2 * i: 2 * j] for i, j in zip(start.tolist(), ends)]}, len(start))
+            yield from table(ids | {"local": np.arange(held)} | {c: np.concatenate([s[c] for s in sums]) for c in ("n_tokens", "n_known", "log_n")}
+                             | {"classes": [x for s in sums for x in s["classes"]]}, held)
+            word, (places,) = _grouped(*(np.concatenate(x) for x in zip(*postings)))
+            yield from table({"word": word, "places": places}, len(word))
 
         for batch in batches:
             if out is None:
                 out = pa.schema([("chunk", pa.int64()), ("local", pa.int32()), batch.schema.field("doc_id"), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()),
-                                 ("base_score", pa.float64()), ("score", pa.float64()), ("word", pa.int64()), ("docs", pa.binary())])
+                                 ("log_n", pa.float64()), ("classes", pa.binary()), ("word", pa.int64()), ("places", pa.binary())])
             for part in steps(batch, "text", 1 << 19):
                 bytes_now = part.column("text").nbytes
                 if held and (held + part.num_rows > CHUNK_DOCS or size + bytes_now > CHUNK_BYTES):
                     yield from close()
-                    kept, sums, postings, held, size, seq = [], [], [], 0, 0, seq + 1
+                    kept, sums, postings, held, size, length, seq = [], [], [], 0, 0, 0, seq + 1
                 hashes, forms, first = words(part.column("text"))
                 hashes = hashes & ~np.int64(FORMS - 1) | forms
                 unit, known = units.of(hashes, forms)
-                n, seen = part.num_rows, _sequence(unit, first)
-                owner = np.repeat(np.arange(n), np.diff(first) + 1)
-                cls = classes[seen]
-                flows = transition[np.concatenate([[0], cls[:-1]]), cls]  # a text follows the end of another one
-                many = np.diff(first) + 1
-                counted = np.bincount(owner, log_count[seen], n)
-                sums.append({"n_tokens": many, "n_known": np.bincount(owner, count[seen] > 0, n).astype(np.int64), "base_score": counted - many * base,
-                             "score": counted + np.bincount(owner, flows - emission[cls], n)})
-                text = np.repeat(np.arange(n), np.diff(first))[~known]
-                postings.append((hashes[~known], text + held))
+                n, seen, many = part.num_rows, _sequence(unit, first), np.diff(first) + 1
+                owner = np.repeat(np.arange(n), many)
+                cls, ends = classes[seen].tobytes(), np.cumsum(many).tolist()
+                sums.append({"n_tokens": many, "n_known": np.bincount(owner, count[seen] > 0, n).astype(np.int64), "log_n": np.bincount(owner, log_count[seen], n),
+                             "classes": [cls[i:j] for i, j in zip([0, *ends], ends)]})
+                place = np.arange(len(unit)) + np.repeat(np.arange(n), np.diff(first))
+                postings.append((hashes[~known], (place[~known] + length).astype("<u4")))
                 kept.append(part)
-                held, size = held + n, size + bytes_now
+                held, size, length = held + n, size + bytes_now, length + len(seen)
         if held:
             yield from close()
 
-    schema = f"chunk long, local int, doc_id {kind}, held_out boolean, n_tokens long, n_known long, base_score double, score double, word long, docs binary"
-    both = materialize(rows.mapInArrow(run, schema), "lm-chunks")
-    documents = both.where("word IS NULL").select("chunk", "local", "doc_id", "held_out", "n_tokens", "n_known", "base_score", "score")
-    postings = both.where("word IS NOT NULL").select(F.col("chunk").alias("of_chunk"), "word", "docs")
-    counts = postings.join(model.vocabulary, "word", "left").select("of_chunk", "docs", F.coalesce("n", F.lit(0)).alias("n"))
-    counts = counts.mapInArrow(_by_chunk, "of_chunk long, docs binary, n binary")
-    trained = model.n_tokens
+    schema = f"chunk long, local int, doc_id {kind}, held_out boolean, n_tokens long, n_known long, log_n double, classes binary, word long, places binary"
+    scratch = Scratch(docs.sparkSession, "lm-score")
+    both = scratch.table(rows.mapInArrow(run, schema), "chunks")
+    documents = both.where("word IS NULL").drop("word", "places")
+    postings = both.where("word IS NOT NULL").select(F.col("chunk").alias("of_chunk"), "word", "places")
+    counts = postings.join(model.vocabulary, "word", "left").select("of_chunk", "places", F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("class", F.lit(_NO_CLASS)).alias("cls"))
+    counts = counts.mapInArrow(_by_chunk, "of_chunk long, places binary, n binary, cls binary")
 
     def add(documents: pa.Table, postings: pa.Table) -> pa.Table:
-        local, total = documents.column("local").to_numpy(), documents.num_rows
-        doc = np.frombuffer(b"".join(postings.column("docs").to_pylist()), "<u2")
-        n = np.frombuffer(b"".join(postings.column("n").to_pylist()), "<i8")
+        documents = documents.sort_by("local")
+        many, total = documents.column("n_tokens").to_numpy(), documents.num_rows
+        token = np.frombuffer(bytearray(b"".join(documents.column("classes").to_pylist())), np.uint8)
+        place, n, cls = (np.frombuffer(b"".join(postings.column(c).to_pylist()), t) for c, t in (("places", "<u4"), ("n", "<i8"), ("cls", np.uint8)))
+        learned = cls != _NO_CLASS
+        token[place[learned]] = cls[learned]
         # Equal counts together, so that the sum of a text does not depend on the order of rows.
         order = np.argsort(n, kind="stable")
-        doc, n = doc[order], n[order]
-        logs = np.bincount(doc, np.log10(n + 0.5), total)[local]
-        known = np.bincount(doc, n > 0, total).astype(np.int64)[local]
-        made = {"n_known": documents.column("n_known").to_numpy() + known, "base_score": documents.column("base_score").to_numpy() + logs, "score": documents.column("score").to_numpy() + logs}
-        return pa.table({c: made.get(c, documents.column(c) if c in documents.column_names else np.full(total, trained)) for c in names})
+        ends = np.cumsum(many)
+        doc, n = np.searchsorted(ends, place[order], "right"), n[order]
+        raw, ends = token.tobytes(), ends.tolist()
+        made = {"n_known": documents.column("n_known").to_numpy() + np.bincount(doc, n > 0, total).astype(np.int64),
+                "log_n": documents.column("log_n").to_numpy() + np.bincount(doc, np.log10(n + 0.5), total),
+                "classes": pa.array([raw[i:j] for i, j in zip([0, *ends], ends)], pa.binary())}
+        return pa.table({c: made.get(c, documents.column(c)) for c in names})
+
+    names = ["doc_id", "held_out", "n_tokens", "n_known", "log_n", "classes"]
+    classed = documents.groupBy("chunk").cogroup(counts.groupBy("of_chunk")).applyInArrow(
+        add, f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, log_n double, classes binary")
+    classed = scratch.table(classed, "classed")
+    scratch.drop("chunks")
+    return classed
+
+
+def _scored(classed: DataFrame, model: ClassModel) -> DataFrame:
+    base, trained = float(np.log10(model.n_tokens + 0.5 * (model.n_types + 1))), model.n_tokens
+    transition, emission = model.transition, model.emission
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in steps(batch, "classes"):
+                many, log_n = part.column("n_tokens").to_numpy(), part.column("log_n").to_numpy()
+                cls = np.frombuffer(b"".join(part.column("classes").to_pylist()), np.uint8)
+                owner = np.repeat(np.arange(part.num_rows), many)
+                flows = transition[np.concatenate([[0], cls[:-1]]), cls]  # a text follows the end of another one
+                made = {"train_tokens": pa.array(np.full(part.num_rows, trained)), "base_score": pa.array(log_n - many * base),
+                        "score": pa.array(log_n + np.bincount(owner, flows - emission[cls], part.num_rows))}
+                yield pa.RecordBatch.from_arrays([made[c] if c in made else part.column(c) for c in names], names=names)
 
     names = ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
-    return documents.groupBy("chunk").cogroup(counts.groupBy("of_chunk")).applyInArrow(
-        add, f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    kind = classed.schema["doc_id"].dataType.simpleString()
+    return classed.mapInArrow(run, f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+
+
+def score(docs: DataFrame, model: ClassModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every row."""
+    return _scored(_classed(docs, model, id_col, text_col), model)
 
 
 def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Learn from the documents that are not held out and score all."""
-    return score(docs, train(docs.where(~held_out(F.col(f"`{id_col}`"))), text_col), id_col, text_col)
+    found = _cluster(docs.where(~held_out(F.col(f"`{id_col}`"))), text_col)
+    classed = _classed(docs, found, id_col, text_col)
+    return _scored(classed, _fitted(found, classed.where("NOT held_out")))
 
 
 def perplexity(scored: DataFrame, column: str = "score") -> DataFrame:

@@ -130,3 +130,80 @@ def test_words_as_by_the_pattern():
     assert np.diff(first).tolist() == [len(w) for w in want]
     flat = [w for ws in want for w in ws]
     assert len(set(hashes.tolist())) == len(set(flat))
+
+
+def test_gains_of_words_are_those_of_units():
+    rng = np.random.default_rng(3)
+    seq, classes, size = rng.integers(0, 30, 3000), rng.integers(0, class_lm.CLASSES + 1, 30), class_lm.CLASSES + 1
+    matrix, rows = _matrix(seq, classes), []
+    for unit in range(30):
+        after, before = seq[1:][seq[:-1] == unit], seq[:-1][seq[1:] == unit]
+        rows.append((np.bincount(classes[after], minlength=size), np.bincount(classes[before], minlength=size), int((after == unit).sum())))
+    right, left, twice = (np.array(x) for x in zip(*rows))
+    got = class_lm.word_gains(matrix, classes, right, left, twice)
+    for unit in range(30):
+        want = class_lm.gains(matrix, int(classes[unit]), right[unit].astype(float), left[unit].astype(float), int(twice[unit]))
+        assert np.allclose(got[unit], want, atol=1e-6)
+
+
+def _rare_rows():
+    # texts of two vocabularies that never mix, a fifth of their words too rare for units of their own
+    rnd = random.Random(4)
+    return [(i, " ".join(f"{'ab'[i % 2]}{rnd.randrange(150)}ring" if rnd.random() < 0.2 else f"{'ab'[i % 2]}{rnd.randrange(6)}" for _ in range(20))) for i in range(600)]
+
+
+def test_every_rare_word_moves_to_its_own_class(spark, monkeypatch):
+    # all rare words have one form: by form, those of both vocabularies would be in one class
+    monkeypatch.setattr(class_lm, "CLASSES", 4)
+    monkeypatch.setattr(class_lm, "UNIT_LEAST", 50)
+    rows = _rare_rows()
+    model = class_lm.train(spark.createDataFrame(rows, "doc_id long, text string"))
+    counts = collections.Counter(t for _, text in rows for t in _tokens(text))
+    hashes, forms, _ = class_lm.words(pa.array([" ".join(counts)]))
+    by_hash = dict(zip((hashes & ~np.int64(class_lm.FORMS - 1) | forms).tolist(), [w for w in counts if w != "\n"]))
+    found = {by_hash[r["word"]]: r for r in model.vocabulary.collect()}
+    rare = {w for w, n in counts.items() if n < 50 and w != "\n"}
+    assert set(found) == rare and len(rare) > 100
+    assert all(r["n"] == counts[w] for w, r in found.items())
+    of = {v: {r["class"] for w, r in found.items() if w.startswith(v)} for v in "ab"}
+    assert not of["a"] & of["b"]
+    # the bigrams of classes are those of the texts with every word in its own class
+    assert model.share.sum() == model.n_tokens == sum(counts.values()) and model.types.sum() == model.n_types == len(counts)
+    assert np.allclose((10.0 ** model.transition).sum(1), 1)
+
+
+def test_scores_by_hand(spark, monkeypatch):
+    monkeypatch.setattr(class_lm, "CHUNK_DOCS", 7)
+    monkeypatch.setattr(class_lm, "HELD_ROWS", 20)
+    rows = [*_rare_rows(), (1001, "aa same same same"), (1002, "never learned from a0ring"), (1003, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    model = class_lm.train(docs.where(~class_lm.held_out(class_lm.F.col("doc_id"))))
+    home = {r["word"]: (r["class"], r["n"]) for r in model.vocabulary.collect()}
+
+    def known(text):
+        hashes, forms, _ = class_lm.words(pa.array([text], pa.string()))
+        hashes = hashes & ~np.int64(class_lm.FORMS - 1) | forms
+        unit, frequent = model.units.of(hashes, forms)
+        out = [(int(model.classes[u]), int(model.units.tokens[u])) if f else home.get(h, (int(model.classes[u]), 0)) for h, u, f in zip(hashes.tolist(), unit.tolist(), frequent.tolist())]
+        return [*out, (0, int(model.units.tokens[0]))]
+
+    size, n = class_lm.CLASSES + 1, model.n_tokens
+    matrix = np.zeros((size, size))
+    for doc_id, text in rows:
+        if not _held(doc_id):
+            before = 0
+            for c, _ in known(text):
+                matrix[before, c] += 1
+                before = c
+    share = matrix.sum(0)
+    prior = (share + 0.5) / (n + 0.5 * size)
+    flow = np.log10((matrix + size * prior) / (matrix.sum(1, keepdims=True) + size))
+    want = {}
+    for doc_id, text in rows:
+        before, total = 0, 0.0
+        for c, k in known(text):
+            total += flow[before, c] + math.log10((k + 0.5) / (share[c] + 0.5 * (model.types[c] + 1)))
+            before = c
+        want[doc_id] = total
+    for scored in (class_lm.score(docs, model).collect(), class_lm.score_documents(docs).collect()):
+        assert {r["doc_id"]: r["score"] for r in scored} == pytest.approx(want, rel=1e-9)
