@@ -49,7 +49,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from adtally.llm.common import Scratch, importable, steps, text_bytes
+from adtally.llm.common import Scratch, batch_bytes, importable, steps, text_bytes
 from adtally.llm.words import _CODES, mix, powers
 
 #: Share of the training tokens from which on a word is a unit of its own, and the
@@ -229,6 +229,24 @@ def likelihood(matrix: np.ndarray) -> float:
     return g(matrix) - g(matrix.sum(0)) - g(matrix.sum(1))
 
 
+def _runs(keys: np.ndarray) -> np.ndarray:
+    """Where a new key begins."""
+    return np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
+
+
+def _lists(values: np.ndarray, start: np.ndarray) -> pa.Array:
+    """The bytes of every run of ``values``, without a Python object for each."""
+    offsets = (np.append(start, len(values)) * values.itemsize).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(start), [None, pa.py_buffer(offsets), pa.py_buffer(values)])
+
+
+def _values(lists: pa.Array, kind: str) -> tuple[np.ndarray, np.ndarray]:
+    """(the values of all of the lists one after the other, how many each has)."""
+    raw, offsets = text_bytes(lists)
+    values = raw.view(kind)
+    return values, np.diff(offsets) // values.itemsize
+
+
 def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Bigrams as lists of neighbours: a row for each unit that a task holds bigrams
     of, with the neighbours (twice the unit, odd if it comes before) and counts."""
@@ -239,12 +257,10 @@ def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         before, after = pair >> 32, pair & ((1 << 32) - 1)
         unit, other, n = np.concatenate([before, after]), np.concatenate([after * 2, before * 2 + 1]), np.concatenate([n, n])
         order = np.lexsort((other, unit))
-        unit, other, n = unit[order], other[order].astype("<u4").tobytes(), n[order].astype("<i8").tobytes()
-        start = np.flatnonzero(np.concatenate([[True], unit[1:] != unit[:-1]])) if len(unit) else np.zeros(0, np.int64)
-        at = list(zip(start.tolist(), [*start[1:].tolist(), len(unit)]))
+        unit, other, n = unit[order], other[order].astype("<u4"), n[order].astype("<i8")
+        start = _runs(unit)
         keys.clear(), counts.clear()
-        return pa.RecordBatch.from_arrays([pa.array(unit[start], pa.int64()), pa.array([other[4 * i: 4 * j] for i, j in at], pa.binary()), pa.array([n[8 * i: 8 * j] for i, j in at], pa.binary())],
-                                          names=["unit", "other", "n"])
+        return pa.RecordBatch.from_arrays([pa.array(unit[start], pa.int64()), _lists(other, start), _lists(n, start)], names=["unit", "other", "n"])
 
     for batch in batches:
         keys.append(batch.column("pair").to_numpy()), counts.append(batch.column("n").to_numpy())
@@ -319,17 +335,12 @@ def exchange(contexts: DataFrame, tokens: np.ndarray) -> tuple[np.ndarray, np.nd
     return best[1], best[2]
 
 
-def _grouped(keys: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, list[list[bytes]]]:
+def _grouped(keys: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, list[pa.Array]]:
     """(different keys, for each of ``values`` the bytes of every key's ones), in the order of the first."""
     order = np.lexsort((values[0], keys))
     keys = keys[order]
-    start = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
-    at = list(zip(start.tolist(), [*start[1:].tolist(), len(keys)]))
-    out = []
-    for x in values:
-        size, raw = x.dtype.itemsize, x[order].tobytes()
-        out.append([raw[size * i: size * j] for i, j in at])
-    return keys[start], out
+    start = _runs(keys)
+    return keys[start], [_lists(x[order], start) for x in values]
 
 
 def _homes(rows: DataFrame, units: Units, classes: np.ndarray, matrix: np.ndarray) -> DataFrame:
@@ -342,7 +353,7 @@ def _homes(rows: DataFrame, units: Units, classes: np.ndarray, matrix: np.ndarra
         def close() -> pa.RecordBatch:
             word, (near,) = _grouped(*(np.concatenate(x) for x in zip(*held)))
             held.clear()
-            return pa.RecordBatch.from_arrays([pa.array(word), pa.array(near, pa.binary())], names=["word", "near"])
+            return pa.RecordBatch.from_arrays([pa.array(word), near], names=["word", "near"])
 
         for batch in batches:
             for part in steps(batch, "text", 1 << 19):
@@ -364,13 +375,12 @@ def _homes(rows: DataFrame, units: Units, classes: np.ndarray, matrix: np.ndarra
             yield close()
 
     def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for begin in range(0, batch.num_rows, _WORDS):
-                part = batch.slice(begin, _WORDS)
-                near = [b"".join(x) for x in part.column("near").to_pylist()]
-                n = np.array([len(x) >> 1 for x in near], np.int64)
-                word = part.column("word").to_numpy()
-                code, of = np.frombuffer(b"".join(near), "<u2").astype(np.int64), np.repeat(np.arange(len(n)), n)
+        def close(of_codes: np.ndarray, codes: np.ndarray) -> Iterator[pa.RecordBatch]:
+            first = _runs(of_codes)
+            many = np.diff(np.append(first, len(of_codes)))
+            for lot in range(0, len(first), _WORDS):
+                word, n = of_codes[first[lot: lot + _WORDS]], many[lot: lot + _WORDS]
+                code, of = codes[first[lot]: first[lot] + n.sum()].astype(np.int64), np.repeat(np.arange(len(n)), n)
                 left, right = (np.bincount(of * size + c, minlength=len(n) * size).reshape(-1, size) for c in (code & 127, code >> 7 & 127))
                 own = classes[(word & (FORMS - 1)) + 1].astype(np.int64)
                 twice = np.bincount(of, code >> 14, len(n))
@@ -380,7 +390,21 @@ def _homes(rows: DataFrame, units: Units, classes: np.ndarray, matrix: np.ndarra
                 best = np.where(gain[row, best] > gain[row, own] + 1e-6, best, own)
                 yield pa.RecordBatch.from_arrays([pa.array(word), pa.array(n), pa.array(best, pa.int32())], names=["word", "n", "class"])
 
-    near = rows.mapInArrow(contexts, "word long, near binary").groupBy("word").agg(F.collect_list("near").alias("near"))
+        last, codes = [], []  # of the last word, which may go on in the next batch
+        for batch in batches:
+            code, many = _values(batch.column("near"), "<u2")
+            word = np.repeat(batch.column("word").to_numpy(), many)
+            cut = int(np.searchsorted(word, word[-1])) if len(word) else 0
+            if cut or last and len(word) and last[-1][-1] != word[-1]:
+                yield from close(np.concatenate([*last, word[:cut]]), np.concatenate([*codes, code[:cut]]))
+                last, codes = [], []
+            if len(word):
+                last.append(word[cut:]), codes.append(code[cut:].copy())
+        if last:
+            yield from close(np.concatenate(last), np.concatenate(codes))
+
+    # Sorted instead of collected: a task has few rows of a word, so lists made before the shuffle save nothing.
+    near = rows.mapInArrow(contexts, "word long, near binary").repartition("word").sortWithinPartitions("word")
     return near.mapInArrow(settle, "word long, n long, class int")
 
 
@@ -455,8 +479,9 @@ def _fitted(found: Classes, classed: DataFrame) -> ClassModel:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cells = np.zeros(size * size, np.int64)
         for batch in batches:
-            after = np.frombuffer(b"".join(batch.column("classes").to_pylist()), np.uint8).astype(np.int64)
-            cells += np.bincount(np.concatenate([[0], after[:-1]]) * size + after, minlength=size * size)
+            for part in steps(batch, "classes", 1 << 19):
+                after = text_bytes(part.column("classes"))[0].astype(np.int64)
+                cells += np.bincount(np.concatenate([[0], after[:-1]]) * size + after, minlength=size * size)
         used = np.flatnonzero(cells)
         yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(cells[used])], names=["cell", "n"])
 
@@ -471,8 +496,9 @@ def _fitted(found: Classes, classed: DataFrame) -> ClassModel:
 
 def train(docs: DataFrame, text_col: str = "text") -> ClassModel:
     """Learn from every row of ``docs``."""
-    found = _cluster(docs, text_col)
-    return _fitted(found, _classed(docs.select(F.lit(0).alias("doc_id"), F.col(f"`{text_col}`").alias("text")), found, "doc_id", "text"))
+    with batch_bytes(docs.sparkSession):
+        found = _cluster(docs, text_col)
+        return _fitted(found, _classed(docs.select(F.lit(0).alias("doc_id"), F.col(f"`{text_col}`").alias("text")), found, "doc_id", "text"))
 
 
 def _by_chunk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -483,13 +509,12 @@ def _by_chunk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def close() -> pa.RecordBatch:
         chunk, (n, cls, places) = _grouped(*(np.concatenate(x) for x in zip(*held)))
         held.clear()
-        return pa.RecordBatch.from_arrays([pa.array(chunk, pa.int64()), *(pa.array(x, pa.binary()) for x in (places, n, cls))], names=["of_chunk", "places", "n", "cls"])
+        return pa.RecordBatch.from_arrays([pa.array(chunk, pa.int64()), places, n, cls], names=["of_chunk", "places", "n", "cls"])
 
     for batch in batches:
-        places = batch.column("places").to_pylist()
-        many = np.fromiter((len(x) >> 2 for x in places), np.int64, len(places))
+        places, many = _values(batch.column("places"), "<u4")
         held.append((np.repeat(batch.column("of_chunk").to_numpy(), many), np.repeat(batch.column("n").to_numpy().astype("<i8"), many),
-                     np.repeat(batch.column("cls").to_numpy().astype(np.uint8), many), np.frombuffer(b"".join(places), "<u4")))
+                     np.repeat(batch.column("cls").to_numpy().astype(np.uint8), many), places.copy()))
         size += int(many.sum())
         if size > HELD_ROWS:
             yield close()
@@ -522,7 +547,7 @@ def _classed(docs: DataFrame, model: Classes, id_col: str, text_col: str) -> Dat
             yield from (whole.slice(i, 50_000) for i in range(0, n, 50_000))
 
         def close() -> Iterator[pa.RecordBatch]:
-            ids = {c: pa.concat_arrays([k.column(c) for k in kept]) for c in ("doc_id", "held_out")}
+            ids = {c: pa.concat_arrays([k[c] for k in kept]) for c in ("doc_id", "held_out")}
             yield from table(ids | {"local": np.arange(held)} | {c: np.concatenate([s[c] for s in sums]) for c in ("n_tokens", "n_known", "log_n")}
                              | {"classes": [x for s in sums for x in s["classes"]]}, held)
             word, (places,) = _grouped(*(np.concatenate(x) for x in zip(*postings)))
@@ -547,7 +572,7 @@ def _classed(docs: DataFrame, model: Classes, id_col: str, text_col: str) -> Dat
                              "classes": [cls[i:j] for i, j in zip([0, *ends], ends)]})
                 place = np.arange(len(unit)) + np.repeat(np.arange(n), np.diff(first))
                 postings.append((hashes[~known], (place[~known] + length).astype("<u4")))
-                kept.append(part)
+                kept.append({c: part.column(c).take(pa.array(np.arange(n))) for c in ("doc_id", "held_out")})  # a slice would keep the batch's texts
                 held, size, length = held + n, size + bytes_now, length + len(seen)
         if held:
             yield from close()
@@ -591,7 +616,7 @@ def _scored(classed: DataFrame, model: ClassModel) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in steps(batch, "classes"):
+            for part in steps(batch, "classes", 1 << 19):
                 many, log_n = part.column("n_tokens").to_numpy(), part.column("log_n").to_numpy()
                 cls = np.frombuffer(b"".join(part.column("classes").to_pylist()), np.uint8)
                 owner = np.repeat(np.arange(part.num_rows), many)
@@ -607,14 +632,18 @@ def _scored(classed: DataFrame, model: ClassModel) -> DataFrame:
 
 def score(docs: DataFrame, model: ClassModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every row."""
-    return _scored(_classed(docs, model, id_col, text_col), model)
+    with batch_bytes(docs.sparkSession):
+        classed = _classed(docs, model, id_col, text_col)
+    return _scored(classed, model)
 
 
 def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Learn from the documents that are not held out and score all."""
-    found = _cluster(docs.where(~held_out(F.col(f"`{id_col}`"))), text_col)
-    classed = _classed(docs, found, id_col, text_col)
-    return _scored(classed, _fitted(found, classed.where("NOT held_out")))
+    with batch_bytes(docs.sparkSession):
+        found = _cluster(docs.where(~held_out(F.col(f"`{id_col}`"))), text_col)
+        classed = _classed(docs, found, id_col, text_col)
+        model = _fitted(found, classed.where("NOT held_out"))
+    return _scored(classed, model)
 
 
 def perplexity(scored: DataFrame, column: str = "score") -> DataFrame:

@@ -4,6 +4,7 @@ import collections
 import math
 import random
 import re
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -13,6 +14,7 @@ from conftest import SF01
 
 from adtally.llm import class_lm
 
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
@@ -207,3 +209,49 @@ def test_scores_by_hand(spark, monkeypatch):
         want[doc_id] = total
     for scored in (class_lm.score(docs, model).collect(), class_lm.score_documents(docs).collect()):
         assert {r["doc_id"]: r["score"] for r in scored} == pytest.approx(want, rel=1e-9)
+
+
+def test_packing_makes_no_object_for_each_key():
+    # every key once: the memory of the arrays alone, not of a Python object for each key
+    n = 200_000
+    words = np.random.default_rng(5).permutation(n).astype(np.int64)
+    pairs = pa.RecordBatch.from_arrays([pa.array(words << 32 | (words + 1)), pa.array(np.ones(n, np.int64))], names=["pair", "n"])
+    chunk = pa.RecordBatch.from_arrays([pa.array(words), pa.array([w.tobytes()[:4] for w in words], pa.binary()), pa.array(np.ones(n, np.int64)), pa.array(np.ones(n, np.int32))],
+                                       names=["of_chunk", "places", "n", "cls"])
+    for pack, batch, arrays in ((class_lm._packed, pairs, 35e6), (class_lm._by_chunk, chunk, 25e6)):
+        tracemalloc.start()
+        rows = sum(b.num_rows for b in pack(iter([batch])))
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert rows >= n
+        assert peak < arrays
+    key, (places,) = class_lm._grouped(np.array([7, 3, 7]), np.array([2, 1, 0], "<u4"))
+    assert key.tolist() == [3, 7] and [np.frombuffer(x, "<u4").tolist() for x in places.to_pylist()] == [[1], [0, 2]]
+    key, (places,) = class_lm._grouped(np.zeros(0, np.int64), np.zeros(0, "<u4"))
+    assert len(key) == len(places) == 0
+
+
+def test_batches_to_python_are_small(spark, monkeypatch):
+    limits, write = [], class_lm.Scratch.table
+    monkeypatch.setattr(class_lm.Scratch, "table", lambda self, df, name: limits.append(spark.conf.get(BATCH_BYTES)) or write(self, df, name))
+    before = spark.conf.get(BATCH_BYTES)
+    docs = spark.createDataFrame([(i, f"one two three {i}") for i in range(20)], "doc_id long, text string")
+    class_lm.score(docs, class_lm.train(docs)).collect()
+    class_lm.score_documents(docs).collect()
+    assert len(limits) >= 8 and all(int(x) <= 4 << 20 for x in limits)
+    assert spark.conf.get(BATCH_BYTES) == before
+
+
+def test_a_word_may_go_on_in_the_next_batch(spark, monkeypatch):
+    monkeypatch.setattr(class_lm, "UNIT_LEAST", 50)
+    monkeypatch.setattr(class_lm, "HELD_ROWS", 20)  # many rows of a word
+    rows = _rare_rows()
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")
+    try:
+        found = class_lm.train(docs).vocabulary.collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    counts = collections.Counter(t for _, text in rows for t in _tokens(text))
+    assert len({r["word"] for r in found}) == len(found)
+    assert sorted(r["n"] for r in found) == sorted(n for w, n in counts.items() if n < 50 and w != "\n")
