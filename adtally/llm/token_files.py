@@ -45,6 +45,8 @@ BLOCK = 256
 PERCENTILE = 90
 #: A shard is closed when it holds this many ids.
 SHARD_TOKENS = 1 << 21
+#: Bytes of text encoded at a time: different pieces are looked up once for each step.
+_STEP = 4 << 20
 _LANES = 64
 _HEAD = np.dtype([("least", "<u4"), ("width", "u1"), ("unused", "u1"), ("exceptions", "<u2")])
 
@@ -237,6 +239,7 @@ def coder(path: str) -> TextCoder:
 
 
 _PLAIN = re.compile(r" ?\S+").fullmatch
+_ALL_PLAIN = re.compile(r"(?: ?\S+\n)* ?\S+").fullmatch
 _TOGETHER = 500
 
 
@@ -245,19 +248,33 @@ def _encode(tokenizer, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
     leading space are encoded many at a time, with a line feed between them: it
     is a match of its own there, and its id marks where a piece ends."""
     feed = tokenizer.encode("\n", add_special_tokens=False).ids
-    plain = [i for i, p in enumerate(pieces) if _PLAIN(p)] if len(feed) == 1 else []
-    out: list = [None] * len(pieces)
-    lots = [plain[k: k + _TOGETHER] for k in range(0, len(plain), _TOGETHER)]
-    texts = ["\n".join([pieces[i] for i in lot]) for lot in lots]
-    for lot, coded in zip(lots, tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
-        ids = np.array(coded.ids, np.uint32)
-        at = np.flatnonzero(ids == feed[0])
-        for i, a, b in zip(lot, [0, *(at + 1).tolist()], [*at.tolist(), len(ids)]):
-            out[i] = ids[a:b]
-    rest = [i for i, x in enumerate(out) if x is None]
-    for i, coded in zip(rest, tokenizer.encode_batch_fast([pieces[i] for i in rest], add_special_tokens=False)):
-        out[i] = np.array(coded.ids, np.uint32)
-    return np.concatenate(out), np.fromiter(map(len, out), np.int64, len(out))
+    texts, plain, rest = [], [], []
+    for k in range(0, len(pieces), _TOGETHER):
+        lot, places = pieces[k: k + _TOGETHER], range(k, min(k + _TOGETHER, len(pieces)))
+        text = "\n".join(lot)
+        if len(feed) != 1:
+            rest += places
+        elif text.count("\n") == len(lot) - 1 and _ALL_PLAIN(text):
+            texts.append(text)
+            plain += places
+        else:
+            fits = [i for i in places if _PLAIN(pieces[i])]
+            rest += [i for i in places if not _PLAIN(pieces[i])]
+            if fits:
+                texts.append("\n".join([pieces[i] for i in fits]))
+                plain += fits
+    flat = [np.zeros(0, np.uint32)]
+    for coded in tokenizer.encode_batch_fast(texts, add_special_tokens=False):
+        flat += [np.array(coded.ids, np.uint32), np.array(feed, np.uint32)]
+    flat = np.concatenate(flat)
+    mark = flat == feed[0] if texts else np.zeros(0, bool)
+    flat, counts = flat[~mark], np.diff(np.flatnonzero(mark), prepend=-1) - 1
+    if not rest:
+        return flat, counts
+    single = [np.array(coded.ids, np.uint32) for coded in tokenizer.encode_batch_fast([pieces[i] for i in rest], add_special_tokens=False)]
+    lengths = np.concatenate([counts, np.fromiter(map(len, single), np.int64, len(single))])
+    back = np.argsort(plain + rest)
+    return np.concatenate([flat, *single])[ranges((np.cumsum(lengths) - lengths)[back], lengths[back])], lengths[back]
 
 
 def _store(folder: str, name: str, content: bytes) -> None:
@@ -287,10 +304,12 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int
             return row
 
         for batch in batches:
-            for part in steps(batch, "text", 1 << 21):
+            for part in steps(batch, "text", _STEP):
                 got, at = encode.ids(part.column("text"))
                 out = np.full(len(got) + part.num_rows, end_id, np.uint32)
-                out[np.arange(len(got)) + np.repeat(np.arange(part.num_rows), np.diff(at))] = got
+                own = np.ones(len(out), bool)
+                own[at[1:] + np.arange(part.num_rows)] = False
+                out[own] = got
                 ids.append(out), counts.append(np.diff(at) + 1), names.extend(part.column("doc_id").to_pylist())
                 held += len(out)
                 if held >= SHARD_TOKENS:
